@@ -12,6 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, FloatType
 
 from regiostat.operators.filters import drop_null_keys
 
@@ -53,9 +54,18 @@ def named_agg(df: DataFrame, keys: Sequence[str], spec: AggSpec,
     group, so such rows are filtered first unless ``drop_missing_keys=False``.
     """
     src = drop_null_keys(df, keys) if drop_missing_keys else df
+    src = nan_to_null(src, {c for _, _, c in spec})
     return src.groupBy(*keys).agg(*[agg_expr(fn, c).alias(out) for out, fn, c in spec])
 
 
+def nan_to_null(df: DataFrame, cols) -> DataFrame:
+    """pandas treats NaN as missing; Spark aggregates would carry it (and
+    ``max`` ranks NaN above every number).  Float columns only."""
+    floats = {f.name for f in df.schema.fields if isinstance(f.dataType, (DoubleType, FloatType))}
+    fix = {c: F.when(~F.isnan(F.col(c)), F.col(c)) for c in cols if c in floats}
+    return df.withColumns(fix) if fix else df
+
+
 def weighted_mean(value: str, weight: str) -> Column:
     """Σ(x·w)/Σw with pandas' NULL rule (S20): missing x skipped in the numerator."""
     num = F.coalesce(F.sum(F.col(value) * F.col(weight)).cast("double"), F.lit(0.0))
@@ -125,7 +135,8 @@ def profile(df: DataFrame, cols: Sequence[str], quantiles: Sequence[float] = (0.
 
     stack = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v"))
                                 for c in cols]))
-    long_df = df.select(*cols).select(stack.alias("_s")).select("_s.column", "_s.v")
+    long_df = df.select(*cols).select(stack.alias("_s")).select(
+        "_s.column", F.when(~F.isnan("_s.v"), F.col("_s.v")).alias("v"))
     basic = long_df.groupBy("column").agg(
         F.count("v").alias("count"),
         (F.sum(F.col("v").cast(f"decimal(38,{mean_scale})")).cast("double") / F.count("v")).alias("mean"),

@@ -89,6 +89,8 @@ def interpolate_linear(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     task is bounded by one block instead of one key (see module doc).
     """
     keys, order = list(keys), list(order)
+    # pandas treats NaN as missing; Spark would carry it as a value
+    df = df.withColumns({c: F.when(~F.isnan(F.col(c)), F.col(c)) for c in cols})
     if block is None:
         return _interpolate_plain(df, keys, order, cols)
     return _interpolate_blocked(df, keys, order, cols, block)
