@@ -99,76 +99,78 @@ def observed_count(df: DataFrame, name: str = "rows"):
 # ---------------------------------------------------------------------------
 # Profile (O-41): count, mean, std, min, quartiles, max, distinct count.
 
-def _ranked_distinct(long_df: DataFrame, name: str, value: str, partitions: int | None) -> DataFrame:
-    """Per column, each distinct value with its rank interval [lo, hi) among the
-    column's sorted non-missing values.
-
-    Value counts are aggregated first (partial aggregation collapses hot
-    values), then range-partitioned by (column, value): each task ranks a
+def _ranked(vc: DataFrame, partitions: int | None) -> DataFrame:
+    """Each distinct (column, v) with its first rank ``_lo`` among the column's
+    sorted values.  Range-partitioned by (column, v): each task ranks one
     contiguous slice; slice totals are prefix-summed over the (few) slices.
-    """
-    vc = long_df.where(F.col(value).isNotNull()).groupBy(name, value).agg(F.count(F.lit(1)).alias("_c"))
+    Distinct values are unique keys, so range partitioning balances even when
+    one value holds a third of the rows (its count is one row here)."""
     n = partitions or vc.sparkSession.sparkContext.defaultParallelism
-    ranged = vc.repartitionByRange(n, name, value).withColumn("_pid", F.spark_partition_id())
-    w_local = Window.partitionBy(name, "_pid").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    ranged = vc.repartitionByRange(n, "column", "v").withColumn("_pid", F.spark_partition_id())
+    w_local = Window.partitionBy("column", "_pid").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
     local = ranged.withColumn("_before", F.coalesce(F.sum("_c").over(w_local), F.lit(0)))
-    slices = ranged.groupBy(name, "_pid").agg(F.sum("_c").alias("_slice"))
-    w_slice = Window.partitionBy(name).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    slices = slices.withColumn("_offset", F.coalesce(F.sum("_slice").over(w_slice), F.lit(0)))
-    out = local.join(F.broadcast(slices.select(name, "_pid", "_offset")), [name, "_pid"])
-    return out.select(name, value, F.col("_c"),
-                      (F.col("_offset") + F.col("_before")).alias("_lo"))
+    slices = ranged.groupBy("column", "_pid").agg(F.sum("_c").alias("_slice"))
+    w_slice = Window.partitionBy("column").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    slices = slices.select("column", "_pid", F.coalesce(F.sum("_slice").over(w_slice), F.lit(0)).alias("_off"))
+    # one row per (column, slice): bounded by columns x partitions
+    out = local.join(F.broadcast(slices), ["column", "_pid"])
+    return out.select("column", "v", "_c", (F.col("_off") + F.col("_before")).alias("_lo"))
 
 
 def profile(df: DataFrame, cols: Sequence[str], quantiles: Sequence[float] = (0.25, 0.5, 0.75),
             std_scale: int | None = 6, mean_scale: int = 6,
-            partitions: int | None = None) -> DataFrame:
+            partitions: int | None = None, cut_lineage: bool = True) -> DataFrame:
     """``describe()`` as a long table, one row per input column:
     (column, count, n_distinct, mean, std, min, p25, p50, p75, max).
 
-    Quantiles are exact with linear interpolation, ``lo + (hi-lo)*frac`` at
-    position ``(count-1)*q`` (pandas/numpy 'linear').  The mean is Σx/count
-    with Σx summed exactly as DECIMAL(38, mean_scale), so it does not depend
-    on the order rows arrive in.
+    The table is scanned once, into per-column value counts (partial
+    aggregation collapses repeated values); with ``cut_lineage`` that table is
+    checkpointed to the cluster's checkpoint folder and every statistic is
+    derived from it.  The mean is Σx/count with Σx summed exactly as
+    DECIMAL(38, mean_scale); std is two-pass sample std; quantiles are exact
+    with linear interpolation ``lo + (hi-lo)*frac`` at position ``(count-1)*q``
+    (pandas/numpy 'linear').  No group is ever collected into one task.
     """
     from regiostat.functions.scalars import round_half_even
+    from regiostat.session import checkpoint_root
 
+    tags = [f"p{int(round(q * 100)):02d}" for q in quantiles]
     stack = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v"))
                                 for c in cols]))
     long_df = df.select(*cols).select(stack.alias("_s")).select(
         "_s.column", F.when(~F.isnan("_s.v"), F.col("_s.v")).alias("v"))
-    basic = long_df.groupBy("column").agg(
-        F.count("v").alias("count"),
-        (F.sum(F.col("v").cast(f"decimal(38,{mean_scale})")).cast("double") / F.count("v")).alias("mean"),
-        F.stddev_samp("v").alias("std"),
-        F.min("v").alias("min"),
-        F.max("v").alias("max"))
-    ranked = _ranked_distinct(long_df, "column", "v", partitions)
-    counts = basic.select("column", "count")
-    wanted = []
-    for q in quantiles:
-        tag = f"p{int(round(q * 100)):02d}"
-        pos = (F.col("count") - F.lit(1)).cast("double") * F.lit(float(q))
-        wanted.append(counts.select("column", F.lit(tag).alias("q"), pos.alias("pos"),
-                                    F.floor(pos).cast("long").alias("lo_i"),
-                                    F.ceil(pos).cast("long").alias("hi_i")))
-    targets = wanted[0]
-    for t in wanted[1:]:
-        targets = targets.unionByName(t)
-    # value at rank r is the distinct value whose interval [lo, lo+c) holds r;
-    # a range condition on the small target table, an equi join on column.
-    t = F.broadcast(targets)
-    hit_lo = ranked.join(t, "column").where((F.col("_lo") <= F.col("lo_i")) & (F.col("lo_i") < F.col("_lo") + F.col("_c")))
-    hit_hi = ranked.join(t, "column").where((F.col("_lo") <= F.col("hi_i")) & (F.col("hi_i") < F.col("_lo") + F.col("_c")))
-    lo = hit_lo.select("column", "q", "pos", "lo_i", F.col("v").alias("lo_v"))
-    hi = hit_hi.select("column", "q", F.col("v").alias("hi_v"))
-    qv = lo.join(hi, ["column", "q"]).select(
-        "column", "q",
-        (F.col("lo_v") + (F.col("hi_v") - F.col("lo_v")) * (F.col("pos") - F.col("lo_i").cast("double"))).alias("qv"))
-    qwide = qv.groupBy("column").pivot("q", [f"p{int(round(q * 100)):02d}" for q in quantiles]).agg(F.first("qv"))
-    ndist = ranked.groupBy("column").agg(F.count(F.lit(1)).alias("n_distinct"))
-    out = basic.join(ndist, "column", "left").join(qwide, "column", "left")
+    vc = long_df.where(F.col("v").isNotNull()).groupBy("column", "v").agg(F.count(F.lit(1)).alias("_c"))
+    if cut_lineage:
+        checkpoint_root(df.sparkSession)
+        vc = vc.checkpoint(eager=True)
+    dec = f"decimal(38,{mean_scale})"
+    basic = vc.groupBy("column").agg(
+        F.sum("_c").alias("count"), F.count(F.lit(1)).alias("n_distinct"),
+        (F.sum(F.col("v").cast(dec) * F.col("_c")).cast("double") / F.sum("_c")).alias("mean"),
+        F.min("v").alias("min"), F.max("v").alias("max"))
+    # per-column summary: one row per column, broadcast by construction
+    b = F.broadcast(basic.select("column", "count", "mean"))
+    sq = vc.join(b, "column").groupBy("column").agg(
+        F.sum(F.col("_c") * (F.col("v") - F.col("mean")) * (F.col("v") - F.col("mean"))).alias("_ss"),
+        F.first("count").alias("_n"))
+    std = sq.select("column", F.sqrt(F.try_divide(F.col("_ss"), (F.col("_n") - F.lit(1)).cast("double")))
+                    .alias("std"))
+    # targets: one row per (column, quantile); positions from the counts
+    qs = F.explode(F.array(*[F.struct(F.lit(t).alias("q"), F.lit(float(q)).alias("qf"))
+                             for t, q in zip(tags, quantiles)]))
+    targets = basic.select("column", "count", qs.alias("_q")).select(
+        "column", "_q.q", ((F.col("count") - F.lit(1)).cast("double") * F.col("_q.qf")).alias("pos"))
+    targets = targets.withColumns({"lo_i": F.floor("pos").cast("long"), "hi_i": F.ceil("pos").cast("long")})
+    ranked = _ranked(vc, partitions)
+    in_lo = (F.col("_lo") <= F.col("lo_i")) & (F.col("lo_i") < F.col("_lo") + F.col("_c"))
+    in_hi = (F.col("_lo") <= F.col("hi_i")) & (F.col("hi_i") < F.col("_lo") + F.col("_c"))
+    hits = ranked.join(F.broadcast(targets), "column").where(in_lo | in_hi)
+    qv = hits.groupBy("column", "q", "pos", "lo_i").agg(
+        F.max(F.when(in_lo, F.col("v"))).alias("lo_v"), F.max(F.when(in_hi, F.col("v"))).alias("hi_v"))
+    qv = qv.select("column", "q", (F.col("lo_v") + (F.col("hi_v") - F.col("lo_v"))
+                                   * (F.col("pos") - F.col("lo_i").cast("double"))).alias("qv"))
+    qwide = qv.groupBy("column").agg(*[F.max(F.when(F.col("q") == t, F.col("qv"))).alias(t) for t in tags])
+    out = basic.join(std, "column", "left").join(qwide, "column", "left")
     if std_scale is not None:
         out = out.withColumn("std", round_half_even("std", std_scale))
-    return out.select("column", "count", "n_distinct", "mean", "std", "min",
-                      *[f"p{int(round(q * 100)):02d}" for q in quantiles], "max")
+    return out.select("column", "count", "n_distinct", "mean", "std", "min", *tags, "max")

@@ -54,7 +54,9 @@ def same_period_override(df: DataFrame, rules: DataFrame, keys: Sequence[str],
             src.withColumnRenamed(year, "dst_year"), on=rk + ["dst_year"], how="left_anti").limit(1).collect()
         if missing:
             raise ValueError(f"same_period_override: no source row for rule {tuple(missing[0])}")
-    out = df.join(broadcast_if_small(src), on=rk + [year], how="left")
+    # src holds at most one row per rule (grouped by the rule keys), and the
+    # rule table passed the size check above: a proven bound, no recount.
+    out = df.join(F.broadcast(src), on=rk + [year], how="left")
     return (out.withColumns({c: F.when(F.col("_hit"), F.col(f"_src.{c}")).otherwise(F.col(c))
                              for c in value_cols})
                .drop("_src", "_hit").select(*df.columns))
