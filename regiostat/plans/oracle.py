@@ -356,6 +356,169 @@ FROM dm WHERE year >= 1996"""
 CSV_LEGACY_CHARSET = CALENDAR + f"""
 SELECT ym, {SEASON_CASE} AS season, {TARIFF_CASE} AS season_tariff, n_orders FROM p"""
 
+def _interp(v: str, keys: str, order: str) -> tuple[str, str]:
+    """Window columns and the value expression of position-linear interpolation."""
+    b = f"(PARTITION BY {keys} ORDER BY {order} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    f = f"(PARTITION BY {keys} ORDER BY {order} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)"
+    cols = (f"LAST_VALUE({v} IGNORE NULLS) OVER {b} AS {v}_pv, "
+            f"LAST_VALUE(CASE WHEN {v} IS NOT NULL THEN i END IGNORE NULLS) OVER {b} AS {v}_pi, "
+            f"FIRST_VALUE({v} IGNORE NULLS) OVER {f} AS {v}_nv, "
+            f"FIRST_VALUE(CASE WHEN {v} IS NOT NULL THEN i END IGNORE NULLS) OVER {f} AS {v}_ni")
+    expr = (f"CASE WHEN {v} IS NOT NULL THEN {v} WHEN {v}_pv IS NULL THEN NULL WHEN {v}_nv IS NULL THEN {v}_pv "
+            f"ELSE {v}_pv + ({v}_nv - {v}_pv) * CAST(i - {v}_pi AS DOUBLE) / CAST({v}_ni - {v}_pi AS DOUBLE) END")
+    return cols, expr
+
+
+_PU_COLS, _PU_EXPR = _interp("pu", "sd_name, sgg_name", "year, month")
+_BL_COLS, _BL_EXPR = _interp("bl", "sd_name, sgg_name", "year, month")
+
+POWER_SILVER_CTE = f"""
+WITH {OBS},
+b AS (
+  SELECT CAST((year * 12 + month) * 100 + station AS BIGINT) AS id, CAST(sd_code AS INTEGER) AS sd_code,
+         year, month, sd_name_std AS sd_name, station_name AS sgg_name, order_cnt AS house_cnt,
+         mean_price - 200000.0 AS power_usage, CAST(floor(min_price) AS BIGINT) AS bill
+  FROM obs
+),
+src AS (
+  SELECT sd_name, sgg_name, month, arg_min(power_usage, id) AS pu, arg_min(bill, id) AS bl
+  FROM b WHERE year = 1995 AND sd_name = 'ASIA' AND sgg_name = 'NATION_7' AND month IN (1, 2)
+  GROUP BY sd_name, sgg_name, month
+),
+o AS (
+  SELECT b.id, b.sd_code, b.year, b.month, b.sd_name, b.sgg_name, b.house_cnt,
+         CASE WHEN s.month IS NOT NULL THEN s.pu ELSE b.power_usage END AS power_usage,
+         CASE WHEN s.month IS NOT NULL THEN s.bl ELSE b.bill END AS bill
+  FROM b LEFT JOIN src s
+    ON b.sd_name = s.sd_name AND b.sgg_name = s.sgg_name AND b.month = s.month AND b.year = 1996
+),
+mg AS (
+  SELECT year, month, arg_min(sd_code, id) AS sd_code, arg_min(sd_name, id) AS sd_name,
+         SUM(house_cnt) AS house_cnt,
+         round_even(COALESCE(SUM(power_usage * house_cnt), 0.0) / CAST(SUM(house_cnt) AS DOUBLE) * 100.0, 0)
+           / 100.0 AS power_usage,
+         CAST(round_even(CAST(COALESCE(SUM(bill * house_cnt), 0) AS DOUBLE) / CAST(SUM(house_cnt) AS DOUBLE), 0)
+           AS BIGINT) AS bill
+  FROM o WHERE contains(sgg_name, 'NATION_1') GROUP BY year, month
+),
+u AS (
+  SELECT id, sd_code, year, month, sd_name, sgg_name, house_cnt, CAST(power_usage AS DOUBLE) AS power_usage,
+         CAST(bill AS DOUBLE) AS bill
+  FROM o WHERE NOT contains(sgg_name, 'NATION_1')
+  UNION ALL
+  SELECT CAST((SELECT MAX(id) FROM o) + ROW_NUMBER() OVER (ORDER BY year, month) AS BIGINT), sd_code, year, month,
+         sd_name, 'NATION_1', CAST(house_cnt AS BIGINT), power_usage, CAST(bill AS DOUBLE)
+  FROM mg
+),
+c AS (
+  SELECT id, sd_code, year, month, sd_name, sgg_name, house_cnt,
+         CASE WHEN power_usage >= 0 THEN power_usage END AS pu, CASE WHEN bill >= 0 THEN bill END AS bl
+  FROM u
+),
+w AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY sd_name, sgg_name ORDER BY year, month) AS i FROM c),
+x AS (SELECT *, {_PU_COLS}, {_BL_COLS} FROM w),
+silver AS (
+  SELECT id, sd_code, year, month, sd_name, sgg_name, house_cnt, {_PU_EXPR} AS power_usage, {_BL_EXPR} AS bill
+  FROM x
+)"""
+
+POWER_SILVER = POWER_SILVER_CTE + """
+SELECT * FROM silver"""
+
+POWER_GOLD = POWER_SILVER_CTE + f"""
+SELECT year, month, CAST((month - 1) // 3 + 1 AS INTEGER) AS quarter,
+       {SEASON_CASE} AS season, {TARIFF_CASE} AS season_tariff,
+       sd_code, sd_name, sgg_name, house_cnt,
+       power_usage AS avg_usage_kwh, bill AS avg_bill_won,
+       house_cnt * power_usage AS total_usage_kwh, house_cnt * bill AS total_bill_won,
+       bill / NULLIF(power_usage, 0.0) AS unit_price,
+       (power_usage / NULLIF(LAG(power_usage, 12) OVER w, 0.0) - 1.0) * 100.0 AS usage_yoy_pct,
+       (power_usage / NULLIF(LAG(power_usage, 1) OVER w, 0.0) - 1.0) * 100.0 AS usage_mom_pct
+FROM silver
+WINDOW w AS (PARTITION BY sd_code, sgg_name ORDER BY year, month)"""
+
+_CLIMATE_KEYS = "WHERE station IS NOT NULL AND sd_code IS NOT NULL AND sd_name_std IS NOT NULL"
+
+CLIMATE_TREND = f"""
+WITH {OBS},
+st AS (
+  SELECT station, sd_code, sd_name_std, year,
+         AVG(mean_price) AS avg_temp, AVG(max_price) AS avg_max_temp, AVG(min_price) AS avg_min_temp,
+         MAX(max_price) AS year_max_temp, MIN(min_price) AS year_min_temp,
+         COALESCE(SUM(total_price), 0.0) AS total_precip_mm, AVG(order_cnt) AS avg_humidity_pct,
+         AVG(order_cnt) AS avg_pressure_hpa, COALESCE(SUM(CAST(order_cnt AS DOUBLE)), 0.0) AS total_sunshine_hr,
+         AVG(mean_price) AS avg_ground_temp
+  FROM obs {_CLIMATE_KEYS}
+  GROUP BY station, sd_code, sd_name_std, year
+  HAVING bit_count(bit_or(1 << month)) = 12
+),
+f AS (
+  SELECT sd_code, sd_name_std, year,
+         AVG(avg_temp) AS avg_temp, AVG(avg_max_temp) AS avg_max_temp, AVG(avg_min_temp) AS avg_min_temp,
+         MAX(year_max_temp) AS year_max_temp, MIN(year_min_temp) AS year_min_temp,
+         AVG(total_precip_mm) AS total_precip_mm, AVG(avg_humidity_pct) AS avg_humidity_pct,
+         AVG(avg_pressure_hpa) AS avg_pressure_hpa, AVG(total_sunshine_hr) AS total_sunshine_hr,
+         AVG(avg_ground_temp) AS avg_ground_temp, AVG(avg_max_temp - avg_min_temp) AS avg_temp_range
+  FROM st GROUP BY sd_code, sd_name_std, year
+)
+SELECT CAST(sd_code AS INTEGER) AS sd_code, sd_name_std, year,
+       {r2('avg_temp')} AS avg_temp, {r2('avg_max_temp')} AS avg_max_temp, {r2('avg_min_temp')} AS avg_min_temp,
+       {r2('year_max_temp')} AS year_max_temp, {r2('year_min_temp')} AS year_min_temp,
+       {r2('total_precip_mm')} AS total_precip_mm, {r2('avg_humidity_pct')} AS avg_humidity_pct,
+       {r2('avg_pressure_hpa')} AS avg_pressure_hpa, {r2('total_sunshine_hr')} AS total_sunshine_hr,
+       {r2('avg_ground_temp')} AS avg_ground_temp, {r2('avg_temp_range')} AS avg_temp_range,
+       {r2('avg_temp - LAG(avg_temp) OVER (PARTITION BY sd_code ORDER BY year)')} AS temp_yoy_diff
+FROM f"""
+
+CLIMATE_COMPARE = f"""
+WITH {OBS},
+st AS (
+  SELECT station, sd_code, sd_name_std, month,
+         AVG(mean_price) AS avg_temp, AVG(max_price) AS avg_max_temp, AVG(min_price) AS avg_min_temp,
+         AVG(max_price - min_price) AS avg_daily_range, AVG(total_price) AS avg_precip_mm,
+         STDDEV_SAMP(total_price) AS precip_stddev, AVG(order_cnt) AS avg_humidity_pct,
+         AVG(order_cnt) AS avg_wind_speed, AVG(CAST(NULL AS DOUBLE)) AS avg_cloud_cover,
+         AVG(order_cnt) AS avg_sunshine_hr, AVG(mean_price) AS avg_solar_mj, AVG(mean_price) AS avg_ground_temp
+  FROM obs {_CLIMATE_KEYS}
+  GROUP BY station, sd_code, sd_name_std, month
+)
+SELECT CAST(sd_code AS INTEGER) AS sd_code, sd_name_std, month,
+       {r2('AVG(avg_temp)')} AS avg_temp, {r2('AVG(avg_max_temp)')} AS avg_max_temp,
+       {r2('AVG(avg_min_temp)')} AS avg_min_temp, {r2('AVG(avg_daily_range)')} AS avg_daily_range,
+       {r2('AVG(avg_precip_mm)')} AS avg_precip_mm, {r2('AVG(precip_stddev)')} AS precip_stddev,
+       {r2('AVG(avg_humidity_pct)')} AS avg_humidity_pct, {r2('AVG(avg_wind_speed)')} AS avg_wind_speed,
+       {r2('AVG(avg_cloud_cover)')} AS avg_cloud_cover, {r2('AVG(avg_sunshine_hr)')} AS avg_sunshine_hr,
+       {r2('AVG(avg_solar_mj)')} AS avg_solar_mj, {r2('AVG(avg_ground_temp)')} AS avg_ground_temp
+FROM st GROUP BY sd_code, sd_name_std, month"""
+
+CLIMATE_EXTREME = f"""
+WITH {OBS},
+st AS (
+  SELECT station, sd_code, sd_name_std, year,
+         MAX(max_price) AS year_max_temp, MIN(min_price) AS year_min_temp, MAX(max_price) AS max_daily_precip,
+         MAX(total_price) AS max_monthly_precip, COALESCE(SUM(total_price), 0.0) AS total_precip_mm,
+         MAX(CAST(order_cnt AS DOUBLE)) AS max_wind_speed, MAX(CAST(NULL AS DOUBLE)) AS max_snowfall_cm
+  FROM obs {_CLIMATE_KEYS}
+  GROUP BY station, sd_code, sd_name_std, year
+),
+f AS (
+  SELECT sd_code, sd_name_std, year,
+         MAX(year_max_temp) AS year_max_temp, MIN(year_min_temp) AS year_min_temp,
+         MAX(year_max_temp - year_min_temp) AS year_temp_range, MAX(max_daily_precip) AS max_daily_precip,
+         MAX(max_monthly_precip) AS max_monthly_precip, AVG(total_precip_mm) AS total_precip_mm,
+         MAX(max_wind_speed) AS max_wind_speed, MAX(max_snowfall_cm) AS max_snowfall_cm
+  FROM st GROUP BY sd_code, sd_name_std, year
+)
+SELECT CAST(sd_code AS INTEGER) AS sd_code, sd_name_std, year,
+       {r2('year_max_temp')} AS year_max_temp, {r2('year_min_temp')} AS year_min_temp,
+       {r2('year_temp_range')} AS year_temp_range, {r2('max_daily_precip')} AS max_daily_precip,
+       {r2('max_monthly_precip')} AS max_monthly_precip, {r2('total_precip_mm')} AS total_precip_mm,
+       {r2('max_wind_speed')} AS max_wind_speed, {r2('max_snowfall_cm')} AS max_snowfall_cm,
+       {r2('max_daily_precip - LAG(max_daily_precip) OVER (PARTITION BY sd_code ORDER BY year)')}
+           AS max_daily_precip_yoy_diff,
+       {r2('year_max_temp - LAG(year_max_temp) OVER (PARTITION BY sd_code ORDER BY year)')} AS max_temp_yoy_diff
+FROM f"""
+
 ORACLE = {
     "region_year_trend": _trend(False),
     "region_year_trend_complete": _trend(True),
@@ -388,4 +551,9 @@ ORACLE = {
     "incremental_ingest": INCREMENTAL_INGEST,
     "write_read_roundtrip": WRITE_READ_ROUNDTRIP,
     "csv_legacy_charset": CSV_LEGACY_CHARSET,
+    "power_silver": POWER_SILVER,
+    "power_gold": POWER_GOLD,
+    "climate_trend_fact": CLIMATE_TREND,
+    "climate_compare_fact": CLIMATE_COMPARE,
+    "climate_extreme_fact": CLIMATE_EXTREME,
 }

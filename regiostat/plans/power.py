@@ -51,6 +51,7 @@ class SilverParams:
     value_cols: Sequence[str] = ("power_usage", "bill")
     series_keys: Sequence[str] = ("sd_name", "sgg_name")
     order: Sequence[str] = ("year", "month")
+    strict_override: bool = True  # a rule without its source row fails, as in the reference
 
 
 def bronze_ingest(spark: SparkSession, landed: DataFrame, bronze: DataFrame | None,
@@ -72,9 +73,10 @@ def power_silver(bronze: DataFrame, params: SilverParams | None = None) -> DataF
     if p.override_rules:
         rules = spark.createDataFrame(
             p.override_rules, "sd_name string, sgg_name string, month int, src_year int, dst_year int")
-        df = same_period_override(df, rules, ["sd_name", "sgg_name"], vals, order_col="id")
+        df = same_period_override(df, rules, ["sd_name", "sgg_name"], vals, order_col="id",
+                                  strict=p.strict_override)
     if p.clean_before_merge:
-        df = null_out_invalid(df.withColumns({c: lenient_double(c) for c in vals}), vals)
+        df = null_out_invalid(_to_numeric(df, vals), vals)
     if p.merge_city:
         merged = weighted_merge(
             df, "sgg_name", p.merge_city, p.merge_city, group=["year", "month"], weight="house_cnt",
@@ -84,11 +86,18 @@ def power_silver(bronze: DataFrame, params: SilverParams | None = None) -> DataF
         max_id = df.agg(global_max(df, "id")).first()[0] or 0
         merged = surrogate_ids(merged, int(max_id), ["year", "month"])
         df = replace_matching(df, "sgg_name", p.merge_city, merged.select(*[c for c in df.columns if c in merged.columns]))
-    df = df.withColumns({c: lenient_double(c) for c in vals})
+    df = _to_numeric(df, vals)
     df = null_out_invalid(df, vals)
     return interpolate_linear(df, list(p.series_keys), list(p.order), vals)
 
 
+def _to_numeric(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """``to_numeric(errors='coerce')``: strings parsed leniently, numbers cast."""
+    types = dict(df.dtypes)
+    return df.withColumns({c: lenient_double(c) if types[c] == "string" else F.col(c).cast("double")
+                           for c in cols})
+
+
 def power_fact(silver: DataFrame, keys: Sequence[str] = ("sd_code", "sgg_name")) -> DataFrame:
     """J-3: calendar dimensions, totals, unit price, MoM and 12-row YoY."""
     df = silver.withColumnsRenamed({"power_usage": "avg_usage_kwh", "bill": "avg_bill_won"})

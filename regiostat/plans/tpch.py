@@ -67,3 +67,75 @@ def district_month(spark: SparkSession, d: str) -> DataFrame:
                       F.col("sd_name_std").alias("sd_name"), F.col("station_name").alias("sgg_name"),
                       F.col("order_cnt").alias("house_cnt"),
                       F.col("mean_price").alias("power_usage"), F.col("min_price").alias("bill"))
+
+
+# Usage offset that turns part of the nation-month means negative (invalid
+# readings that the silver layer nulls and interpolates).
+USAGE_OFFSET = 200_000.0
+
+
+def district_bronze(spark: SparkSession, d: str) -> DataFrame:
+    """Power bronze grain with an insert-ordered id: id grows with (year, month)."""
+    obs = station_month_obs(spark, d)
+    return obs.select(
+        ((F.col("year") * 12 + F.col("month")) * 100 + F.col("station")).cast("long").alias("id"),
+        F.col("sd_code").cast("int").alias("sd_code"), "year", "month",
+        F.col("sd_name_std").alias("sd_name"), F.col("station_name").alias("sgg_name"),
+        F.col("order_cnt").alias("house_cnt"),
+        (F.col("mean_price") - F.lit(USAGE_OFFSET)).alias("power_usage"),
+        F.floor("min_price").cast("long").alias("bill"))
+
+
+# Raw climate header -> expression over the nation-month observations.  Empty
+# strings are missing readings, 'x' a malformed one.
+CLIMATE_RAW_ROLES = [
+    ("지점", "station"), ("지점명", "station_name"), ("일시", "_ym"),
+    ("평균기온(°C)", "mean_price"), ("평균최고기온(°C)", "max_price"), ("평균최저기온(°C)", "min_price"),
+    ("최고기온(°C)", "max_price"), ("최저기온(°C)", "min_price"), ("평균해면기압(hPa)", "order_cnt"),
+    ("평균수증기압(hPa)", "''"), ("평균이슬점온도(°C)", "''"), ("평균상대습도(%)", "order_cnt"),
+    ("월합강수량(00~24h만)(mm)", "total_price"), ("일최다강수량(mm)", "max_price"),
+    ("평균풍속(m/s)", "order_cnt"), ("최대풍속(m/s)", "order_cnt"), ("최다풍향(16방위)", "'NW'"),
+    ("평균운량(1/10)", "''"), ("합계 일조시간(hr)", "order_cnt"), ("합계 일사량(MJ/m2)", "mean_price"),
+    ("최심적설(cm)", "'x'"), ("평균지면온도(°C)", "mean_price"), ("비고", "''"),
+]
+
+
+def climate_raw(spark: SparkSession, d: str) -> DataFrame:
+    """Climate raw rows (all strings, the reference's raw headers) from the
+    nation-month observations."""
+    obs = station_month_obs(spark, d).withColumn(
+        "_ym", F.format_string("%04d-%02d", F.col("year"), F.col("month")))
+    return obs.select(*[F.expr(e).cast("string").alias(h) for h, e in CLIMATE_RAW_ROLES])
+
+
+def climate_meta(spark: SparkSession, d: str) -> DataFrame:
+    """Station metadata: each nation has an old closed record (old address) and
+    a current open one; the address starts with the region name."""
+    n = read_table(spark, d, "nation", ["n_nationkey", "n_name", "n_regionkey"])
+    r = read_table(spark, d, "region", ["r_regionkey", "r_name"])
+    j = lookup_join(n, r, "n_regionkey", "r_regionkey", how="left")
+    cur = j.select(F.col("n_nationkey").alias("지점"), F.col("n_name").alias("지점명"),
+                   F.concat_ws(" ", "r_name", "n_name").alias("지점주소"),
+                   F.lit(None).cast("string").alias("종료일"))
+    old = j.select(F.col("n_nationkey").alias("지점"), F.col("n_name").alias("지점명"),
+                   F.concat_ws(" ", F.lit("OLD"), "r_name").alias("지점주소"),
+                   F.lit("1994-12-31").alias("종료일"))
+    return cur.unionByName(old)
+
+
+def region_alias(spark: SparkSession, d: str) -> DataFrame:
+    """Alias -> code: the region name, its lower-case form and its first word
+    (several aliases per code, each alias once)."""
+    from regiostat.functions.scalars import first_token
+    r = read_table(spark, d, "region", ["r_regionkey", "r_name"])
+    forms = [F.col("r_name"), F.lower("r_name"), first_token("r_name")]
+    out = None
+    for f in forms:
+        part = r.select(f.alias("sd_name_alias"), F.col("r_regionkey").alias("sd_code"))
+        out = part if out is None else out.unionByName(part)
+    return out.distinct()
+
+
+def region_std(spark: SparkSession, d: str) -> DataFrame:
+    r = read_table(spark, d, "region", ["r_regionkey", "r_name"])
+    return r.select(F.col("r_regionkey").cast("int").alias("sd_code"), F.col("r_name").alias("sd_name"))

@@ -70,3 +70,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if "://" not in path or path.startswith("file:"):
         os.makedirs(path.replace("file:", "", 1), exist_ok=True)
     return path
+
+
+def materialize(df):
+    """Cut lineage of a derived input that a plan reads more than once: a
+    reliable checkpoint into the shared checkpoint folder (survives executor
+    loss; never a local checkpoint)."""
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
