@@ -73,15 +73,20 @@ def weighted_merge(df: DataFrame, name_col: str, needle: str, merged_name: str,
     ``weight`` is summed; each of ``means`` becomes Σ(x·w)/Σw.  The numerator
     skips missing values and an all-missing numerator counts as 0 while the
     denominator keeps every weight (S20).  ``first_cols`` take the value of the
-    first row by ``order_col`` (S18).  Decimal inputs keep Σ(x·w) exact.
+    first row by ``order_col`` (S18).  Σ(x·w) is exact: decimals as they are,
+    floating values read at 6 decimals, so the result does not depend on row order.
     """
     part = df.where(contains_literal(name_col, needle, na=False))
     order = F.col(order_col) if order_col else F.lit(0)
     aggs = [F.sum(weight).alias(weight)]
     aggs += [F.min_by(F.col(c), order).alias(c) for c in first_cols]
     wsum = F.sum(F.col(weight))
+    types = dict(df.dtypes)
     for m in means:
-        num = F.coalesce(F.sum(F.col(m) * F.col(weight)).cast("double"), F.lit(0.0))
+        x = F.col(m)
+        if types[m] in ("double", "float"):  # exact Σ(x·w): read x at 6 decimals
+            x = F.when(~F.isnan(x), x).cast("decimal(38,6)")
+        num = F.coalesce(F.sum(x * F.col(weight)).cast("double"), F.lit(0.0))
         aggs.append(F.try_divide(num, wsum.cast("double")).alias(m))
     merged = part.groupBy(*group).agg(*aggs).withColumn(name_col, F.lit(merged_name))
     for c, s in (round_scales or {}).items():

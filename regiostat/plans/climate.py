@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from regiostat.functions.names import clean_headers
 from regiostat.functions.scalars import first_token, lenient_double, strict_int, year_month_parts
-from regiostat.operators.aggregates import AggSpec, named_agg
+from regiostat.operators.aggregates import AggSpec
 from regiostat.operators.corrections import point_update
 from regiostat.operators.filters import drop_contains, month_bitmask_count, prune_single_closed
 from regiostat.operators.joins import assert_unique, lookup_join, unmatched
@@ -141,7 +141,7 @@ def climate_silver(raw: DataFrame, stations: DataFrame, std: DataFrame,
 def two_stage(df: DataFrame, station: str, group: Sequence[str], period: str,
               stage1: AggSpec, derive: dict | None, stage2: AggSpec,
               diffs: Sequence[tuple[str, str]] = (), complete_only: bool = False,
-              month: str = "month", scale: int = 2) -> DataFrame:
+              month: str = "month", scale: int = 2, exact: bool = True) -> DataFrame:
     """Station-level aggregate, derived columns, province aggregate, row-based
     diffs over ``period`` (computed before rounding, S16), then every float
     column rounded half-to-even (S4).
@@ -149,27 +149,66 @@ def two_stage(df: DataFrame, station: str, group: Sequence[str], period: str,
     ``complete_only`` keeps station-periods holding all 12 months (O-31/O-35,
     D1); it is evaluated inside the station aggregate (a month bitmask), so no
     join back to the rows is needed.
+
+    ``exact`` (default) carries mean/sum/max/min in fixed-point units
+    (:mod:`regiostat.functions.exact`): results do not depend on row order and
+    .xx5 ties round to even on the exact value.  Standard deviations stay
+    floating point.  ``exact=False`` uses plain double aggregates (pandas'
+    float arithmetic, order-dependent in the last bits).
     """
     keys1 = [station, *group, period]
-    s1 = list(stage1)
+    src = df.dropna(subset=keys1)
+    extra = [month_bitmask_count(month).alias("_months")] if complete_only else []
+    st = src.groupBy(*keys1).agg(*[_stage_agg(src, fn, col, exact).alias(out) for out, fn, col in stage1],
+                                 *extra)
     if complete_only:
-        src = df.dropna(subset=keys1)
-        st = src.groupBy(*keys1).agg(*[_agg(fn, col).alias(out) for out, fn, col in s1],
-                                     month_bitmask_count(month).alias("_months"))
         st = st.where(F.col("_months") == 12).drop("_months")
-    else:
-        st = named_agg(df, keys1, s1)
     if derive:
         st = st.withColumns(derive)
-    fact = named_agg(st, [*group, period], list(stage2))
+    st = st.dropna(subset=[*group, period])
+    fact = st.groupBy(*group, period).agg(*[_stage_agg(st, fn, col, exact, raw=False).alias(out)
+                                            for out, fn, col in stage2])
     for src_col, out in diffs:
         fact = diff(fact, [group[0]], [period], src_col, out)
-    return round_float_columns(fact, scale)
+    return _finish(fact, scale)
+
+
+def _is_units(df: DataFrame, col: str) -> bool:
+    return dict(df.dtypes).get(col) == "decimal(38,0)"
+
+
+def _stage_agg(df: DataFrame, fn: str, col: str, exact: bool, raw: bool = True):
+    """One named aggregate with pandas semantics (NaN is missing, an
+    all-missing sum is 0).  Exact mode: raw numeric inputs become units (units
+    stay units) for mean/sum/max/min; std is computed on doubles, and a
+    second-stage double (a std) is averaged as a double."""
+    from regiostat.functions.exact import to_units, units_mean
+    units = _is_units(df, col)
+    c = F.col(col)
+    if dict(df.dtypes).get(col) in ("double", "float"):
+        c = F.when(~F.isnan(c), c)
+    if exact and fn in ("mean", "sum", "max", "min") and (units or raw):
+        u = c if units else to_units(c)
+        return {"mean": lambda: units_mean(u),
+                "sum": lambda: F.coalesce(F.sum(u), F.lit(0).cast("decimal(38,0)")),
+                "max": lambda: F.max(u), "min": lambda: F.min(u)}[fn]()
+    v = c.cast("double") / F.lit(1e12) if units else c
+    return {"mean": lambda: F.avg(v), "max": lambda: F.max(v), "min": lambda: F.min(v),
+            "sum": lambda: F.coalesce(F.sum(v).cast("double"), F.lit(0.0)),
+            "std": lambda: F.stddev_samp(v), "count": lambda: F.count(v),
+            "size": lambda: F.count(F.lit(1)), "nunique": lambda: F.count_distinct(v)}[fn]()
 
 
-def _agg(fn, col):
-    from regiostat.operators.aggregates import agg_expr
-    return agg_expr(fn, col)
+def _finish(fact: DataFrame, scale: int) -> DataFrame:
+    """Units -> doubles rounded half-even; float columns rounded (O-25, O-58)."""
+    from regiostat.functions.exact import units_to_double
+    cols = []
+    for name, t in fact.dtypes:
+        if t == "decimal(38,0)":
+            cols.append(units_to_double(name, scale).alias(name))
+        else:
+            cols.append(F.col(f"`{name}`"))
+    return round_float_columns(fact.select(*cols), scale)
 
 
 def fact_climate_trend(silver: DataFrame, c: ClimateCols | None = None,

@@ -12,12 +12,93 @@ def r2(x: str) -> str:
     return f"round_even(({x}) * 100.0, 0) / 100.0"
 
 
+def units(x: str) -> str:
+    """Value -> integer count of 1e-12 units (value read at 6 decimals)."""
+    return f"CAST(CAST(CAST({x} AS DECIMAL(38,6)) * 1000000 AS HUGEINT) * 1000000 AS HUGEINT)"
+
+
+def hediv(a: str, b: str) -> str:
+    """Exact integer a / b (b > 0) rounded half to even."""
+    r = f"(({a}) % ({b}))"
+    q = f"((({a}) - {r}) // ({b}))"
+    return (f"({q} + CASE WHEN 2 * abs({r}) > ({b}) THEN sign({a}) "
+            f"WHEN 2 * abs({r}) = ({b}) AND {q} % 2 <> 0 THEN sign({a}) ELSE 0 END)")
+
+
+def out_units(u: str) -> str:
+    return f"CAST({hediv(u, '10000000000')} AS DOUBLE) / 100.0"
+
+
+def two_stage_sql(src: str, station: str, group: list, period: str, stage1: list, derive: dict,
+                  stage2: list, diffs: list = (), complete: bool = False) -> str:
+    """SQL twin of :func:`regiostat.plans.climate.two_stage` in exact mode.
+
+    stage1/stage2: (out, fn, input); derive: name -> (SQL over stage-1 columns, is_units).
+    """
+    keys1 = [station, *group, period]
+    k1 = ", ".join(keys1)
+    g2 = ", ".join([*group, period])
+    nn = " AND ".join(f"{k} IS NOT NULL" for k in keys1)
+    is_u = {}
+    a1, p1 = [], []
+    for out, fn, x in stage1:
+        if fn == "mean":
+            a1 += [f"SUM({units(x)}) AS s__{out}", f"COUNT({x}) AS n__{out}"]
+            p1.append(f"{hediv(f's__{out}', f'n__{out}')} AS {out}")
+        elif fn == "sum":
+            a1.append(f"COALESCE(SUM({units(x)}), 0) AS {out}")
+            p1.append(out)
+        elif fn in ("max", "min"):
+            a1.append(f"{fn.upper()}({units(x)}) AS {out}")
+            p1.append(out)
+        elif fn == "std":
+            a1.append(f"STDDEV_SAMP(CAST({x} AS DOUBLE)) AS {out}")
+            p1.append(out)
+        is_u[out] = fn != "std"
+    having = "HAVING bit_count(bit_or(1 << month)) = 12" if complete else ""
+    dsel = "".join(f", {e} AS {n}" for n, (e, _) in (derive or {}).items())
+    for n, (_, u) in (derive or {}).items():
+        is_u[n] = u
+    a2, p2, is_u2 = [], [], {}
+    for out, fn, x in stage2:
+        if is_u[x]:
+            if fn == "mean":
+                a2 += [f"SUM({x}) AS s__{out}", f"COUNT({x}) AS n__{out}"]
+                p2.append(f"{hediv(f's__{out}', f'n__{out}')} AS {out}")
+            elif fn == "sum":
+                a2.append(f"COALESCE(SUM({x}), 0) AS {out}")
+                p2.append(out)
+            else:
+                a2.append(f"{fn.upper()}({x}) AS {out}")
+                p2.append(out)
+            is_u2[out] = True
+        else:
+            a2.append({"mean": f"AVG({x})", "max": f"MAX({x})", "min": f"MIN({x})"}[fn] + f" AS {out}")
+            p2.append(out)
+            is_u2[out] = False
+    dd = "".join(f", {x} - LAG({x}) OVER (PARTITION BY {group[0]} ORDER BY {period}) AS {o}" for x, o in diffs)
+    for x, o in diffs:
+        is_u2[o] = is_u2[x]
+    final = [f"{out_units(c) if u else r2(c)} AS {c}" for c, u in is_u2.items()]
+    nn2 = " AND ".join(f"{k} IS NOT NULL" for k in [*group, period])
+    return f"""
+WITH {src},
+s1 AS (SELECT {k1}, {", ".join(a1)} FROM obs WHERE {nn} GROUP BY {k1} {having}),
+st AS (SELECT {k1}, {", ".join(p1)} FROM s1),
+st2 AS (SELECT *{dsel} FROM st),
+s2 AS (SELECT {g2}, {", ".join(a2)} FROM st2 WHERE {nn2} GROUP BY {g2}),
+f AS (SELECT {g2}, {", ".join(p2)} FROM s2),
+d AS (SELECT *{dd} FROM f)
+SELECT {g2}, {", ".join(final)} FROM d"""
+
+
 OBS = """
 obs AS (
   SELECT n.n_nationkey AS station, n.n_name AS station_name, n.n_regionkey AS sd_code,
          r.r_name AS sd_name_std,
          CAST(year(o.o_orderdate) AS INTEGER) AS year, CAST(month(o.o_orderdate) AS INTEGER) AS month,
-         CAST(SUM(CAST(o.o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / COUNT(*) AS mean_price,
+         round_even(CAST(SUM(CAST(o.o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / COUNT(*) * 100.0, 0) / 100.0
+           AS mean_price,
          CAST(SUM(CAST(o.o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total_price,
          MAX(o.o_totalprice) AS max_price, MIN(o.o_totalprice) AS min_price, COUNT(*) AS order_cnt
   FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
@@ -34,84 +115,46 @@ dm AS (
 )"""
 
 
-def _trend(complete: bool) -> str:
-    having = "HAVING bit_count(bit_or(1 << month)) = 12" if complete else ""
-    return f"""
-WITH {OBS},
-st AS (
-  SELECT station, sd_code, sd_name_std, year,
-         AVG(mean_price) AS avg_price, AVG(max_price) AS avg_max_price, AVG(min_price) AS avg_min_price,
-         MAX(max_price) AS year_max_price, MIN(min_price) AS year_min_price,
-         COALESCE(SUM(total_price), 0.0) AS total_price, AVG(order_cnt) AS avg_orders
-  FROM obs
-  WHERE station IS NOT NULL AND sd_code IS NOT NULL AND sd_name_std IS NOT NULL AND year IS NOT NULL
-  GROUP BY station, sd_code, sd_name_std, year
-  {having}
-),
-f AS (
-  SELECT sd_code, sd_name_std, year,
-         AVG(avg_price) AS avg_price, AVG(avg_max_price) AS avg_max_price, AVG(avg_min_price) AS avg_min_price,
-         MAX(year_max_price) AS year_max_price, MIN(year_min_price) AS year_min_price,
-         AVG(total_price) AS total_price, AVG(avg_orders) AS avg_orders,
-         AVG(avg_max_price - avg_min_price) AS avg_price_range
-  FROM st GROUP BY sd_code, sd_name_std, year
-)
-SELECT sd_code, sd_name_std, year,
-       {r2('avg_price')} AS avg_price, {r2('avg_max_price')} AS avg_max_price,
-       {r2('avg_min_price')} AS avg_min_price, {r2('year_max_price')} AS year_max_price,
-       {r2('year_min_price')} AS year_min_price, {r2('total_price')} AS total_price,
-       {r2('avg_orders')} AS avg_orders, {r2('avg_price_range')} AS avg_price_range,
-       {r2('avg_price - LAG(avg_price) OVER (PARTITION BY sd_code ORDER BY year)')} AS price_yoy_diff
-FROM f"""
-
-
-REGION_MONTH_NORMALS = f"""
-WITH {OBS},
-st AS (
-  SELECT station, sd_code, sd_name_std, month,
-         AVG(mean_price) AS avg_price, AVG(max_price) AS avg_max_price, AVG(min_price) AS avg_min_price,
-         AVG(max_price - min_price) AS avg_price_spread, AVG(total_price) AS avg_total,
-         STDDEV_SAMP(total_price) AS total_stddev, AVG(order_cnt) AS avg_orders
-  FROM obs
-  WHERE station IS NOT NULL AND sd_code IS NOT NULL AND sd_name_std IS NOT NULL AND month IS NOT NULL
-  GROUP BY ALL
-)
-SELECT sd_code, sd_name_std, month,
-       {r2('AVG(avg_price)')} AS avg_price, {r2('AVG(avg_max_price)')} AS avg_max_price,
-       {r2('AVG(avg_min_price)')} AS avg_min_price, {r2('AVG(avg_price_spread)')} AS avg_price_spread,
-       {r2('AVG(avg_total)')} AS avg_total, {r2('AVG(total_stddev)')} AS total_stddev,
-       {r2('AVG(avg_orders)')} AS avg_orders
-FROM st GROUP BY sd_code, sd_name_std, month"""
+TREND_STAGE1 = [
+    ("avg_price", "mean", "mean_price"), ("avg_max_price", "mean", "max_price"),
+    ("avg_min_price", "mean", "min_price"), ("year_max_price", "max", "max_price"),
+    ("year_min_price", "min", "min_price"), ("total_price", "sum", "total_price"),
+    ("avg_orders", "mean", "order_cnt"),
+]
+TREND_STAGE2 = [
+    ("avg_price", "mean", "avg_price"), ("avg_max_price", "mean", "avg_max_price"),
+    ("avg_min_price", "mean", "avg_min_price"), ("year_max_price", "max", "year_max_price"),
+    ("year_min_price", "min", "year_min_price"), ("total_price", "mean", "total_price"),
+    ("avg_orders", "mean", "avg_orders"), ("avg_price_range", "mean", "avg_price_range"),
+]
+_GROUP = ["sd_code", "sd_name_std"]
 
 
-REGION_YEAR_EXTREMES = f"""
-WITH {OBS},
-st AS (
-  SELECT station, sd_code, sd_name_std, year,
-         MAX(max_price) AS year_max_price, MIN(min_price) AS year_min_price,
-         MAX(total_price) AS max_monthly_total, COALESCE(SUM(total_price), 0.0) AS total_price,
-         MAX(order_cnt) AS max_monthly_orders
-  FROM obs
-  WHERE station IS NOT NULL AND sd_code IS NOT NULL AND sd_name_std IS NOT NULL AND year IS NOT NULL
-  GROUP BY ALL
-),
-f AS (
-  SELECT sd_code, sd_name_std, year,
-         MAX(year_max_price) AS year_max_price, MIN(year_min_price) AS year_min_price,
-         MAX(year_max_price - year_min_price) AS year_price_range,
-         MAX(max_monthly_total) AS max_monthly_total, AVG(total_price) AS total_price,
-         MAX(max_monthly_orders) AS max_monthly_orders
-  FROM st GROUP BY sd_code, sd_name_std, year
-)
-SELECT sd_code, sd_name_std, year,
-       {r2('year_max_price')} AS year_max_price, {r2('year_min_price')} AS year_min_price,
-       {r2('year_price_range')} AS year_price_range, {r2('max_monthly_total')} AS max_monthly_total,
-       {r2('total_price')} AS total_price, max_monthly_orders,
-       {r2('max_monthly_total - LAG(max_monthly_total) OVER (PARTITION BY sd_code ORDER BY year)')}
-           AS max_monthly_total_yoy_diff,
-       {r2('year_max_price - LAG(year_max_price) OVER (PARTITION BY sd_code ORDER BY year)')}
-           AS max_price_yoy_diff
-FROM f"""
+def _trend(complete: bool) -> str:
+    return two_stage_sql(OBS, "station", _GROUP, "year", TREND_STAGE1,
+                         {"avg_price_range": ("avg_max_price - avg_min_price", True)}, TREND_STAGE2,
+                         [("avg_price", "price_yoy_diff")], complete)
+
+
+_NORMALS1 = [
+    ("avg_price", "mean", "mean_price"), ("avg_max_price", "mean", "max_price"),
+    ("avg_min_price", "mean", "min_price"), ("avg_price_spread", "mean", "max_price - min_price"),
+    ("avg_total", "mean", "total_price"), ("total_stddev", "std", "total_price"),
+    ("avg_orders", "mean", "order_cnt"),
+]
+REGION_MONTH_NORMALS = two_stage_sql(OBS, "station", _GROUP, "month", _NORMALS1, {},
+                                     [(o, "mean", o) for o, _, _ in _NORMALS1])
+
+REGION_YEAR_EXTREMES = two_stage_sql(
+    OBS, "station", _GROUP, "year",
+    [("year_max_price", "max", "max_price"), ("year_min_price", "min", "min_price"),
+     ("max_monthly_total", "max", "total_price"), ("total_price", "sum", "total_price"),
+     ("max_monthly_orders", "max", "order_cnt")],
+    {"year_price_range": ("year_max_price - year_min_price", True)},
+    [("year_max_price", "max", "year_max_price"), ("year_min_price", "min", "year_min_price"),
+     ("year_price_range", "max", "year_price_range"), ("max_monthly_total", "max", "max_monthly_total"),
+     ("total_price", "mean", "total_price"), ("max_monthly_orders", "max", "max_monthly_orders")],
+    [("max_monthly_total", "max_monthly_total_yoy_diff"), ("year_max_price", "max_price_yoy_diff")])
 
 SEASON_CASE = """CASE month WHEN 1 THEN '겨울' WHEN 2 THEN '겨울' WHEN 3 THEN '봄' WHEN 4 THEN '봄'
   WHEN 5 THEN '봄' WHEN 6 THEN '여름' WHEN 7 THEN '여름' WHEN 8 THEN '여름' WHEN 9 THEN '가을'
@@ -395,8 +438,8 @@ o AS (
 mg AS (
   SELECT year, month, arg_min(sd_code, id) AS sd_code, arg_min(sd_name, id) AS sd_name,
          SUM(house_cnt) AS house_cnt,
-         round_even(COALESCE(SUM(power_usage * house_cnt), 0.0) / CAST(SUM(house_cnt) AS DOUBLE) * 100.0, 0)
-           / 100.0 AS power_usage,
+         round_even(CAST(COALESCE(SUM(CAST(power_usage AS DECIMAL(38,6)) * house_cnt), 0) AS DOUBLE)
+           / CAST(SUM(house_cnt) AS DOUBLE) * 100.0, 0) / 100.0 AS power_usage,
          CAST(round_even(CAST(COALESCE(SUM(bill * house_cnt), 0) AS DOUBLE) / CAST(SUM(house_cnt) AS DOUBLE), 0)
            AS BIGINT) AS bill
   FROM o WHERE contains(sgg_name, 'NATION_1') GROUP BY year, month
@@ -437,87 +480,48 @@ SELECT year, month, CAST((month - 1) // 3 + 1 AS INTEGER) AS quarter,
 FROM silver
 WINDOW w AS (PARTITION BY sd_code, sgg_name ORDER BY year, month)"""
 
-_CLIMATE_KEYS = "WHERE station IS NOT NULL AND sd_code IS NOT NULL AND sd_name_std IS NOT NULL"
-
-CLIMATE_TREND = f"""
-WITH {OBS},
-st AS (
-  SELECT station, sd_code, sd_name_std, year,
-         AVG(mean_price) AS avg_temp, AVG(max_price) AS avg_max_temp, AVG(min_price) AS avg_min_temp,
-         MAX(max_price) AS year_max_temp, MIN(min_price) AS year_min_temp,
-         COALESCE(SUM(total_price), 0.0) AS total_precip_mm, AVG(order_cnt) AS avg_humidity_pct,
-         AVG(order_cnt) AS avg_pressure_hpa, COALESCE(SUM(CAST(order_cnt AS DOUBLE)), 0.0) AS total_sunshine_hr,
-         AVG(mean_price) AS avg_ground_temp
-  FROM obs {_CLIMATE_KEYS}
-  GROUP BY station, sd_code, sd_name_std, year
-  HAVING bit_count(bit_or(1 << month)) = 12
-),
-f AS (
-  SELECT sd_code, sd_name_std, year,
-         AVG(avg_temp) AS avg_temp, AVG(avg_max_temp) AS avg_max_temp, AVG(avg_min_temp) AS avg_min_temp,
-         MAX(year_max_temp) AS year_max_temp, MIN(year_min_temp) AS year_min_temp,
-         AVG(total_precip_mm) AS total_precip_mm, AVG(avg_humidity_pct) AS avg_humidity_pct,
-         AVG(avg_pressure_hpa) AS avg_pressure_hpa, AVG(total_sunshine_hr) AS total_sunshine_hr,
-         AVG(avg_ground_temp) AS avg_ground_temp, AVG(avg_max_temp - avg_min_temp) AS avg_temp_range
-  FROM st GROUP BY sd_code, sd_name_std, year
-)
-SELECT CAST(sd_code AS INTEGER) AS sd_code, sd_name_std, year,
-       {r2('avg_temp')} AS avg_temp, {r2('avg_max_temp')} AS avg_max_temp, {r2('avg_min_temp')} AS avg_min_temp,
-       {r2('year_max_temp')} AS year_max_temp, {r2('year_min_temp')} AS year_min_temp,
-       {r2('total_precip_mm')} AS total_precip_mm, {r2('avg_humidity_pct')} AS avg_humidity_pct,
-       {r2('avg_pressure_hpa')} AS avg_pressure_hpa, {r2('total_sunshine_hr')} AS total_sunshine_hr,
-       {r2('avg_ground_temp')} AS avg_ground_temp, {r2('avg_temp_range')} AS avg_temp_range,
-       {r2('avg_temp - LAG(avg_temp) OVER (PARTITION BY sd_code ORDER BY year)')} AS temp_yoy_diff
-FROM f"""
-
-CLIMATE_COMPARE = f"""
-WITH {OBS},
-st AS (
-  SELECT station, sd_code, sd_name_std, month,
-         AVG(mean_price) AS avg_temp, AVG(max_price) AS avg_max_temp, AVG(min_price) AS avg_min_temp,
-         AVG(max_price - min_price) AS avg_daily_range, AVG(total_price) AS avg_precip_mm,
-         STDDEV_SAMP(total_price) AS precip_stddev, AVG(order_cnt) AS avg_humidity_pct,
-         AVG(order_cnt) AS avg_wind_speed, AVG(CAST(NULL AS DOUBLE)) AS avg_cloud_cover,
-         AVG(order_cnt) AS avg_sunshine_hr, AVG(mean_price) AS avg_solar_mj, AVG(mean_price) AS avg_ground_temp
-  FROM obs {_CLIMATE_KEYS}
-  GROUP BY station, sd_code, sd_name_std, month
-)
-SELECT CAST(sd_code AS INTEGER) AS sd_code, sd_name_std, month,
-       {r2('AVG(avg_temp)')} AS avg_temp, {r2('AVG(avg_max_temp)')} AS avg_max_temp,
-       {r2('AVG(avg_min_temp)')} AS avg_min_temp, {r2('AVG(avg_daily_range)')} AS avg_daily_range,
-       {r2('AVG(avg_precip_mm)')} AS avg_precip_mm, {r2('AVG(precip_stddev)')} AS precip_stddev,
-       {r2('AVG(avg_humidity_pct)')} AS avg_humidity_pct, {r2('AVG(avg_wind_speed)')} AS avg_wind_speed,
-       {r2('AVG(avg_cloud_cover)')} AS avg_cloud_cover, {r2('AVG(avg_sunshine_hr)')} AS avg_sunshine_hr,
-       {r2('AVG(avg_solar_mj)')} AS avg_solar_mj, {r2('AVG(avg_ground_temp)')} AS avg_ground_temp
-FROM st GROUP BY sd_code, sd_name_std, month"""
-
-CLIMATE_EXTREME = f"""
-WITH {OBS},
-st AS (
-  SELECT station, sd_code, sd_name_std, year,
-         MAX(max_price) AS year_max_temp, MIN(min_price) AS year_min_temp, MAX(max_price) AS max_daily_precip,
-         MAX(total_price) AS max_monthly_precip, COALESCE(SUM(total_price), 0.0) AS total_precip_mm,
-         MAX(CAST(order_cnt AS DOUBLE)) AS max_wind_speed, MAX(CAST(NULL AS DOUBLE)) AS max_snowfall_cm
-  FROM obs {_CLIMATE_KEYS}
-  GROUP BY station, sd_code, sd_name_std, year
-),
-f AS (
-  SELECT sd_code, sd_name_std, year,
-         MAX(year_max_temp) AS year_max_temp, MIN(year_min_temp) AS year_min_temp,
-         MAX(year_max_temp - year_min_temp) AS year_temp_range, MAX(max_daily_precip) AS max_daily_precip,
-         MAX(max_monthly_precip) AS max_monthly_precip, AVG(total_precip_mm) AS total_precip_mm,
-         MAX(max_wind_speed) AS max_wind_speed, MAX(max_snowfall_cm) AS max_snowfall_cm
-  FROM st GROUP BY sd_code, sd_name_std, year
-)
-SELECT CAST(sd_code AS INTEGER) AS sd_code, sd_name_std, year,
-       {r2('year_max_temp')} AS year_max_temp, {r2('year_min_temp')} AS year_min_temp,
-       {r2('year_temp_range')} AS year_temp_range, {r2('max_daily_precip')} AS max_daily_precip,
-       {r2('max_monthly_precip')} AS max_monthly_precip, {r2('total_precip_mm')} AS total_precip_mm,
-       {r2('max_wind_speed')} AS max_wind_speed, {r2('max_snowfall_cm')} AS max_snowfall_cm,
-       {r2('max_daily_precip - LAG(max_daily_precip) OVER (PARTITION BY sd_code ORDER BY year)')}
-           AS max_daily_precip_yoy_diff,
-       {r2('year_max_temp - LAG(year_max_temp) OVER (PARTITION BY sd_code ORDER BY year)')} AS max_temp_yoy_diff
-FROM f"""
+# climate chain: the raw roles of regiostat.plans.tpch.CLIMATE_RAW_ROLES
+# ('' -> missing, 'x' -> malformed -> missing)
+_NULL = "CAST(NULL AS DOUBLE)"
+CLIMATE_TREND = two_stage_sql(
+    OBS, "station", _GROUP, "year",
+    [("avg_temp", "mean", "mean_price"), ("avg_max_temp", "mean", "max_price"),
+     ("avg_min_temp", "mean", "min_price"), ("year_max_temp", "max", "max_price"),
+     ("year_min_temp", "min", "min_price"), ("total_precip_mm", "sum", "total_price"),
+     ("avg_humidity_pct", "mean", "order_cnt"), ("avg_pressure_hpa", "mean", "order_cnt"),
+     ("total_sunshine_hr", "sum", "order_cnt"), ("avg_ground_temp", "mean", "mean_price")],
+    {"avg_temp_range": ("avg_max_temp - avg_min_temp", True)},
+    [("avg_temp", "mean", "avg_temp"), ("avg_max_temp", "mean", "avg_max_temp"),
+     ("avg_min_temp", "mean", "avg_min_temp"), ("year_max_temp", "max", "year_max_temp"),
+     ("year_min_temp", "min", "year_min_temp"), ("total_precip_mm", "mean", "total_precip_mm"),
+     ("avg_humidity_pct", "mean", "avg_humidity_pct"), ("avg_pressure_hpa", "mean", "avg_pressure_hpa"),
+     ("total_sunshine_hr", "mean", "total_sunshine_hr"), ("avg_ground_temp", "mean", "avg_ground_temp"),
+     ("avg_temp_range", "mean", "avg_temp_range")],
+    [("avg_temp", "temp_yoy_diff")], complete=True)
+
+_COMPARE1 = [
+    ("avg_temp", "mean", "mean_price"), ("avg_max_temp", "mean", "max_price"),
+    ("avg_min_temp", "mean", "min_price"), ("avg_daily_range", "mean", "max_price - min_price"),
+    ("avg_precip_mm", "mean", "total_price"), ("precip_stddev", "std", "total_price"),
+    ("avg_humidity_pct", "mean", "order_cnt"), ("avg_wind_speed", "mean", "order_cnt"),
+    ("avg_cloud_cover", "mean", _NULL), ("avg_sunshine_hr", "mean", "order_cnt"),
+    ("avg_solar_mj", "mean", "mean_price"), ("avg_ground_temp", "mean", "mean_price"),
+]
+CLIMATE_COMPARE = two_stage_sql(OBS, "station", _GROUP, "month", _COMPARE1, {},
+                                [(o, "mean", o) for o, _, _ in _COMPARE1])
+
+CLIMATE_EXTREME = two_stage_sql(
+    OBS, "station", _GROUP, "year",
+    [("year_max_temp", "max", "max_price"), ("year_min_temp", "min", "min_price"),
+     ("max_daily_precip", "max", "max_price"), ("max_monthly_precip", "max", "total_price"),
+     ("total_precip_mm", "sum", "total_price"), ("max_wind_speed", "max", "order_cnt"),
+     ("max_snowfall_cm", "max", _NULL)],
+    {"year_temp_range": ("year_max_temp - year_min_temp", True)},
+    [("year_max_temp", "max", "year_max_temp"), ("year_min_temp", "min", "year_min_temp"),
+     ("year_temp_range", "max", "year_temp_range"), ("max_daily_precip", "max", "max_daily_precip"),
+     ("max_monthly_precip", "max", "max_monthly_precip"), ("total_precip_mm", "mean", "total_precip_mm"),
+     ("max_wind_speed", "max", "max_wind_speed"), ("max_snowfall_cm", "max", "max_snowfall_cm")],
+    [("max_daily_precip", "max_daily_precip_yoy_diff"), ("year_max_temp", "max_temp_yoy_diff")])
 
 ORACLE = {
     "region_year_trend": _trend(False),

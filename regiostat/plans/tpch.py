@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from regiostat.functions.scalars import round_half_even
 from regiostat.operators.joins import broadcast_if_small, lookup_join
 from regiostat.sources.tables import read_table
 
@@ -36,7 +37,8 @@ def station_month_obs(spark: SparkSession, d: str) -> DataFrame:
     """One observation row per nation-month (the climate raw grain).
 
     Money is summed as DECIMAL, so sums and means do not depend on row order:
-    mean_price = Σprice/n, total_price = Σprice, max/min price, order count.
+    mean_price = Σprice/n to the cent (half-even), total_price = Σprice,
+    max/min price, order count.
     """
     obn = orders_by_nation(spark, d)
     agg = (obn.groupBy("nation", "year", "month")
@@ -45,7 +47,7 @@ def station_month_obs(spark: SparkSession, d: str) -> DataFrame:
                    F.max("o_totalprice").alias("max_price"),
                    F.min("o_totalprice").alias("min_price")))
     agg = agg.select("nation", "year", "month",
-                     (F.col("_tot").cast("double") / F.col("order_cnt")).alias("mean_price"),
+                     round_half_even(F.col("_tot").cast("double") / F.col("order_cnt"), 2).alias("mean_price"),
                      F.col("_tot").cast("double").alias("total_price"),
                      "max_price", "min_price", "order_cnt")
     n = read_table(spark, d, "nation", ["n_nationkey", "n_name", "n_regionkey"])
