@@ -7,53 +7,60 @@ carried as integers of 1e-12 units (DECIMAL(38,0)), read from inputs with at
 most ``INPUT_SCALE`` decimals, and divided with exact half-to-even integer
 division.  Results do not depend on partitioning, and ties round to even on
 the exact value.
+
+Expressions are built as SQL text (one parse per expression instead of dozens
+of JVM round trips per nested Column call).
 """
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 UNIT_SCALE = 12          # units are 1e-12
 INPUT_SCALE = 6          # inputs are read at up to 6 decimals
-UNITS = "decimal(38,0)"
+UNITS = "DECIMAL(38,0)"
+
+
+def q(name: str) -> str:
+    """Quote a column name for SQL text."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _n(v: int) -> str:
+    return f"CAST({v}BD AS {UNITS})"
+
+
+def units_sql(x: str) -> str:
+    """SQL: value -> integer count of 1e-12 units (exact for inputs with at most
+    6 decimals; others are first rounded half-up to 6 decimals)."""
+    six = f"CAST({x} AS DECIMAL(38,{INPUT_SCALE}))"
+    micro = f"CAST({six} * {_n(10 ** INPUT_SCALE)} AS {UNITS})"
+    return f"CAST({micro} * {_n(10 ** (UNIT_SCALE - INPUT_SCALE))} AS {UNITS})"
 
 
-def _lit(v: int) -> Column:
-    return F.lit(Decimal(v)).cast(UNITS)
+def div_half_even_sql(a: str, b: str) -> str:
+    """SQL: exact integer a / b (b > 0) rounded half to even; NULL if b is 0."""
+    a, b = f"CAST({a} AS {UNITS})", f"CAST({b} AS {UNITS})"
+    r = f"({a} % {b})"
+    quot = f"CAST(({a} - {r}) / {b} AS {UNITS})"
+    step = f"CAST(signum({a}) AS {UNITS})"
+    return (f"CASE WHEN {b} > 0 THEN CAST({quot} + CASE WHEN abs({r}) * 2 > {b} THEN {step} "
+            f"WHEN abs({r}) * 2 = {b} AND {quot} % 2 != 0 THEN {step} ELSE {_n(0)} END AS {UNITS}) END")
 
 
-def to_units(col) -> Column:
-    """Numeric value -> integer count of 1e-12 units (exact for inputs with at
-    most 6 decimals; other values are first rounded half-up to 6 decimals)."""
-    c = F.col(col) if isinstance(col, str) else col
-    six = c.cast(f"decimal(38,{INPUT_SCALE})")
-    micro = (six * _lit(10 ** INPUT_SCALE)).cast(UNITS)
-    return (micro * _lit(10 ** (UNIT_SCALE - INPUT_SCALE))).cast(UNITS)
+def to_units(col: str) -> Column:
+    return F.expr(units_sql(q(col)))
 
 
-def div_half_even(a: Column, b: Column) -> Column:
-    """Exact integer a / b (b > 0) rounded half to even; NULL when b is 0."""
-    a = a.cast(UNITS)
-    b = b.cast(UNITS)
-    r = a % b
-    q = ((a - r) / b).cast(UNITS)
-    twice = F.abs(r) * _lit(2)
-    step = F.signum(a).cast(UNITS)
-    adj = (F.when(twice > b, step)
-            .when((twice == b) & ((q % _lit(2)) != _lit(0)), step)
-            .otherwise(_lit(0)))
-    return F.when(b > _lit(0), (q + adj).cast(UNITS))
+def units_mean_sql(u: str) -> str:
+    return div_half_even_sql(f"sum({u})", f"count({u})")
 
 
-def units_mean(u: Column) -> Column:
-    """Mean of a units column, exact half-even (aggregate expression)."""
-    return div_half_even(F.sum(u), F.count(u))
+def units_to_double_sql(u: str, scale: int = 2) -> str:
+    return f"CAST({div_half_even_sql(u, str(10 ** (UNIT_SCALE - scale)))} AS DOUBLE) / {float(10 ** scale)!r}D"
 
 
-def units_to_double(u, scale: int = 2) -> Column:
+def units_to_double(col: str, scale: int = 2) -> Column:
     """Round units half to even at ``scale`` decimals and return a double."""
-    c = F.col(u) if isinstance(u, str) else u
-    return div_half_even(c, _lit(10 ** (UNIT_SCALE - scale))).cast("double") / F.lit(float(10 ** scale))
+    return F.expr(units_to_double_sql(q(col), scale))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from regiostat.functions.scalars import round_half_even
 from regiostat.operators.filters import contains_literal
-from regiostat.operators.joins import broadcast_if_small
+from regiostat.operators.joins import Bounded, broadcast_if_small, frame
 
 
 def point_update(df: DataFrame, rules: DataFrame, match_col: str, target_col: str,
@@ -22,8 +22,9 @@ def point_update(df: DataFrame, rules: DataFrame, match_col: str, target_col: st
 
     Rules must be unique on ``rule_match``; rows without a rule keep their value.
     """
-    r = broadcast_if_small(rules.select(F.col(rule_match).alias("_m"), F.col(rule_value).alias("_v"),
-                                        F.lit(True).alias("_hit")))
+    sel = frame(rules).select(F.col(rule_match).alias("_m"), F.col(rule_value).alias("_v"),
+                              F.lit(True).alias("_hit"))
+    r = broadcast_if_small(Bounded(sel, rules.rows) if isinstance(rules, Bounded) else sel)
     out = df.join(r, df[match_col] == r["_m"], "left")
     return (out.withColumn(target_col, F.when(F.col("_hit"), F.col("_v")).otherwise(F.col(target_col)))
                .drop("_m", "_v", "_hit"))
@@ -43,7 +44,9 @@ def same_period_override(df: DataFrame, rules: DataFrame, keys: Sequence[str],
     """
     keys = list(keys)
     rk = keys + [period]
-    rules_b = broadcast_if_small(rules.select(*rk, "src_year", "dst_year"))
+    sel = frame(rules).select(*rk, "src_year", "dst_year")
+    rules_b = broadcast_if_small(Bounded(sel, rules.rows) if isinstance(rules, Bounded) else sel)
+    rules = frame(rules)
     src = df.join(rules_b.withColumnRenamed("src_year", year), on=rk + [year], how="inner")
     order = F.col(order_col) if order_col else F.lit(0)
     src = (src.groupBy(*rk, "dst_year")

@@ -17,18 +17,39 @@ from pyspark.sql import functions as F
 BROADCAST_MAX_ROWS = 200_000
 
 
-def is_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
+class Bounded:
+    """A DataFrame whose row count is bounded by construction (literal rule
+    rows, one row per rule key, ...): no count job is needed to prove it."""
+
+    def __init__(self, df: DataFrame, rows: int):
+        self.df, self.rows = df, rows
+
+    @classmethod
+    def literal(cls, spark, rows: list, schema: str) -> "Bounded":
+        return cls(spark.createDataFrame(rows, schema), len(rows))
+
+
+def is_small(df, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
+    if isinstance(df, Bounded):
+        return df.rows <= max_rows
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``broadcast(df)`` when its row count is proven <= ``max_rows``."""
-    return F.broadcast(df) if is_small(df, max_rows) else df
+def broadcast_if_small(df, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """``broadcast(df)`` when its row count is proven <= ``max_rows``: by a
+    :class:`Bounded` bound, else by a count that stops at ``max_rows + 1``."""
+    small = is_small(df, max_rows)
+    df = df.df if isinstance(df, Bounded) else df
+    return F.broadcast(df) if small else df
+
+
+def frame(df) -> DataFrame:
+    return df.df if isinstance(df, Bounded) else df
 
 
-def assert_unique(df: DataFrame, keys: Sequence[str], what: str = "lookup") -> DataFrame:
+def assert_unique(df, keys: Sequence[str], what: str = "lookup"):
     """Fail when ``keys`` repeat (a duplicated alias would fan rows out, O-34a)."""
-    dup = (df.where(F.greatest(*[F.col(k).isNotNull() for k in keys], F.lit(True)))
+    dup = (frame(df).where(F.greatest(*[F.col(k).isNotNull() for k in keys], F.lit(True)))
              .groupBy(*keys).count().where(F.col("count") > 1).limit(5).collect())
     if dup:
         raise ValueError(f"{what}: duplicate keys {[tuple(r)[:-1] for r in dup]}")

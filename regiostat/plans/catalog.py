@@ -20,6 +20,7 @@ from regiostat.operators.corrections import (
     point_update, replace_matching, same_period_override, weighted_merge,
 )
 from regiostat.operators.filters import null_out_invalid, prune_single_closed
+from regiostat.operators.joins import Bounded
 from regiostat.operators.ingest import next_period as next_period_op
 from regiostat.operators.ingest import (
     convert_payload, pending_slots, retry_queue as retry_queue_op, slot_grid, slot_status,
@@ -181,8 +182,8 @@ def same_month_override(spark: SparkSession, d: str) -> DataFrame:
     """January/February 1996 of one nation replaced by 1995's values (O-33, O-26, O-38)."""
     configure(spark)
     dm = materialize(district_month(spark, d))  # read twice: source lookup and targets
-    rules = spark.createDataFrame(OVERRIDE_RULES,
-                                  "sd_name string, sgg_name string, month int, src_year int, dst_year int")
+    rules = Bounded.literal(spark, OVERRIDE_RULES,
+                            "sd_name string, sgg_name string, month int, src_year int, dst_year int")
     return same_period_override(dm, rules, ["sd_name", "sgg_name"], ["power_usage", "bill"], strict=False)
 
 
@@ -194,7 +195,7 @@ def point_update_q(spark: SparkSession, d: str) -> DataFrame:
     """Constant set by a rule table on a name match (O-32)."""
     configure(spark)
     p = read_table(spark, d, "part", ["p_partkey", "p_name", "p_type"])
-    return point_update(p, spark.createDataFrame(POINT_RULES, "match string, value string"), "p_name", "p_type")
+    return point_update(p, Bounded.literal(spark, POINT_RULES, "match string, value string"), "p_name", "p_type")
 
 
 def station_prune(spark: SparkSession, d: str) -> DataFrame:
@@ -232,7 +233,7 @@ ALIASES = [("small", 1), ("large", 1), ("red", 2), ("blue", 2), ("hot", 3), ("co
 
 def _part_station_map(spark, d):
     p = read_table(spark, d, "part", ["p_partkey", "p_name"]).withColumn("closed", F.lit(None).cast("string"))
-    alias = spark.createDataFrame(ALIASES, "sd_name_alias string, sd_code int")
+    alias = Bounded.literal(spark, ALIASES, "sd_name_alias string, sd_code int")
     cols = ClimateCols(station="p_partkey", station_name="p_name", address="p_name", closed="closed")
     return station_map(p, alias, cols)
 
@@ -472,7 +473,9 @@ def _climate_silver(spark, d):
     raw = read_legacy_csv(spark, path)
     raw, meta = climate_transform(raw, climate_meta(spark, d))
     stations, _ = station_map(meta, region_alias(spark, d))
-    return climate_silver(raw, stations, region_std(spark, d))
+    # the station map is a small dimension that the silver join reads twice
+    # (size check and join): checkpoint it instead of re-running the meta chain
+    return climate_silver(raw, materialize(stations), region_std(spark, d))
 
 
 def climate_trend_fact(spark: SparkSession, d: str) -> DataFrame:

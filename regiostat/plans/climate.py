@@ -20,7 +20,7 @@ from regiostat.functions.scalars import first_token, lenient_double, strict_int,
 from regiostat.operators.aggregates import AggSpec
 from regiostat.operators.corrections import point_update
 from regiostat.operators.filters import drop_contains, month_bitmask_count, prune_single_closed
-from regiostat.operators.joins import assert_unique, lookup_join, unmatched
+from regiostat.operators.joins import Bounded, assert_unique, lookup_join, unmatched
 from regiostat.operators.projections import rename, round_float_columns, select_columns
 from regiostat.operators.timeseries import diff, keep_last
 
@@ -85,7 +85,7 @@ class ClimateCols:
 def fix_meta(meta: DataFrame, station_name: str = "지점명", address: str = "지점주소",
              rule: tuple[str, str] = META_FIX) -> DataFrame:
     """O-32 as a one-rule table."""
-    rules = meta.sparkSession.createDataFrame([rule], "match string, value string")
+    rules = Bounded.literal(meta.sparkSession, [rule], "match string, value string")
     return point_update(meta, rules, station_name, address)
 
 
@@ -159,44 +159,44 @@ def two_stage(df: DataFrame, station: str, group: Sequence[str], period: str,
     keys1 = [station, *group, period]
     src = df.dropna(subset=keys1)
     extra = [month_bitmask_count(month).alias("_months")] if complete_only else []
-    st = src.groupBy(*keys1).agg(*[_stage_agg(src, fn, col, exact).alias(out) for out, fn, col in stage1],
+    types1 = dict(src.dtypes)
+    st = src.groupBy(*keys1).agg(*[_stage_agg(types1, fn, col, exact).alias(out) for out, fn, col in stage1],
                                  *extra)
     if complete_only:
         st = st.where(F.col("_months") == 12).drop("_months")
     if derive:
         st = st.withColumns(derive)
     st = st.dropna(subset=[*group, period])
-    fact = st.groupBy(*group, period).agg(*[_stage_agg(st, fn, col, exact, raw=False).alias(out)
+    types2 = dict(st.dtypes)
+    fact = st.groupBy(*group, period).agg(*[_stage_agg(types2, fn, col, exact, raw=False).alias(out)
                                             for out, fn, col in stage2])
     for src_col, out in diffs:
         fact = diff(fact, [group[0]], [period], src_col, out)
     return _finish(fact, scale)
 
 
-def _is_units(df: DataFrame, col: str) -> bool:
-    return dict(df.dtypes).get(col) == "decimal(38,0)"
+def _is_units(types: dict, col: str) -> bool:
+    return types.get(col) == "decimal(38,0)"
 
 
-def _stage_agg(df: DataFrame, fn: str, col: str, exact: bool, raw: bool = True):
+def _stage_agg(types: dict, fn: str, col: str, exact: bool, raw: bool = True):
     """One named aggregate with pandas semantics (NaN is missing, an
     all-missing sum is 0).  Exact mode: raw numeric inputs become units (units
     stay units) for mean/sum/max/min; std is computed on doubles, and a
     second-stage double (a std) is averaged as a double."""
-    from regiostat.functions.exact import to_units, units_mean
-    units = _is_units(df, col)
-    c = F.col(col)
-    if dict(df.dtypes).get(col) in ("double", "float"):
-        c = F.when(~F.isnan(c), c)
+    from regiostat.functions.exact import UNITS, q, units_mean_sql, units_sql
+    units = _is_units(types, col)
+    c = q(col)
+    if types.get(col) in ("double", "float"):
+        c = f"(CASE WHEN NOT isnan({c}) THEN {c} END)"
     if exact and fn in ("mean", "sum", "max", "min") and (units or raw):
-        u = c if units else to_units(c)
-        return {"mean": lambda: units_mean(u),
-                "sum": lambda: F.coalesce(F.sum(u), F.lit(0).cast("decimal(38,0)")),
-                "max": lambda: F.max(u), "min": lambda: F.min(u)}[fn]()
-    v = c.cast("double") / F.lit(1e12) if units else c
-    return {"mean": lambda: F.avg(v), "max": lambda: F.max(v), "min": lambda: F.min(v),
-            "sum": lambda: F.coalesce(F.sum(v).cast("double"), F.lit(0.0)),
-            "std": lambda: F.stddev_samp(v), "count": lambda: F.count(v),
-            "size": lambda: F.count(F.lit(1)), "nunique": lambda: F.count_distinct(v)}[fn]()
+        u = c if units else units_sql(c)
+        return F.expr({"mean": units_mean_sql(u), "sum": f"coalesce(sum({u}), CAST(0 AS {UNITS}))",
+                       "max": f"max({u})", "min": f"min({u})"}[fn])
+    v = f"(CAST({c} AS DOUBLE) / 1e12D)" if units else c
+    return F.expr({"mean": f"avg({v})", "max": f"max({v})", "min": f"min({v})",
+                   "sum": f"coalesce(CAST(sum({v}) AS DOUBLE), 0D)", "std": f"stddev_samp({v})",
+                   "count": f"count({v})", "size": "count(1)", "nunique": f"count(DISTINCT {v})"}[fn])
 
 
 def _finish(fact: DataFrame, scale: int) -> DataFrame:

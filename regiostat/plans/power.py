@@ -23,6 +23,7 @@ from regiostat.operators.corrections import (
 )
 from regiostat.operators.filters import null_out_invalid
 from regiostat.operators.ingest import convert_payload, pending_slots, split_by_slot
+from regiostat.operators.joins import Bounded
 from regiostat.operators.timeseries import interpolate_linear, pct_change, surrogate_ids
 
 # ---------------------------------------------------------------------------
@@ -71,8 +72,8 @@ def power_silver(bronze: DataFrame, params: SilverParams | None = None) -> DataF
     df = bronze
     vals = list(p.value_cols)
     if p.override_rules:
-        rules = spark.createDataFrame(
-            p.override_rules, "sd_name string, sgg_name string, month int, src_year int, dst_year int")
+        rules = Bounded.literal(spark, p.override_rules,
+                                "sd_name string, sgg_name string, month int, src_year int, dst_year int")
         df = same_period_override(df, rules, ["sd_name", "sgg_name"], vals, order_col="id",
                                   strict=p.strict_override)
     if p.clean_before_merge:
