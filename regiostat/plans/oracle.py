@@ -387,6 +387,13 @@ WITH {DISTRICT}
 SELECT sd_code, year, month, sd_name, sgg_name, house_cnt, power_usage, CAST(floor(bill) AS BIGINT) AS bill
 FROM dm"""
 
+BRONZE_INGEST = f"""
+WITH {DISTRICT},
+bad AS (SELECT DISTINCT year, month, sd_code FROM dm WHERE house_cnt < 3)
+SELECT sd_code, year, month, sd_name, sgg_name, house_cnt, power_usage, CAST(floor(bill) AS BIGINT) AS bill
+FROM dm WHERE NOT EXISTS (SELECT 1 FROM bad WHERE bad.year = dm.year AND bad.month = dm.month
+                          AND bad.sd_code = dm.sd_code)"""
+
 INCREMENTAL_INGEST = """
 SELECT event_id, ts, user_id, event_type, value, CAST(ts AS DATE) AS day FROM events"""
 
@@ -555,6 +562,7 @@ ORACLE = {
     "incremental_ingest": INCREMENTAL_INGEST,
     "write_read_roundtrip": WRITE_READ_ROUNDTRIP,
     "csv_legacy_charset": CSV_LEGACY_CHARSET,
+    "bronze_ingest": BRONZE_INGEST,
     "power_silver": POWER_SILVER,
     "power_gold": POWER_GOLD,
     "climate_trend_fact": CLIMATE_TREND,
