@@ -111,7 +111,13 @@ def _interpolate_plain(df, keys, order, cols):
 
 def _interpolate_blocked(df, keys, order, cols, block):
     bk = keys + ["_blk"]
-    src = df.withColumn("_blk", block)
+    tagged = df.withColumn("_blk", block)
+    present = _keys_present(bk)
+    # rows with a missing key interpolate to NULL (S6) and need no window; the
+    # rest feed both the rows and the block summaries through one identical
+    # filtered subtree, so the shuffle is written once and reused
+    missing = tagged.where(~present).withColumns({c: F.lit(None).cast(t) for c, t in df.dtypes if c in cols})
+    src = tagged.where(present)
     w = Window.partitionBy(*bk).orderBy(*_order_cols(order))
     back = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     fwd = w.rowsBetween(Window.currentRow, Window.unboundedFollowing)
@@ -143,7 +149,7 @@ def _interpolate_blocked(df, keys, order, cols, block):
             f"_cnv_{c}": F.first(f"_bf_v_{c}", True).over(after),
             f"_cni_{c}": F.first(f"_gf_{c}", True).over(after)})
     summ = summ.withColumns(carry).select(*bk, "_off", *carry.keys())
-    j = loc.join(summ, on=bk, how="left")
+    j = loc.join(summ, on=bk, how="inner")
     i = F.col("_off") + F.col("_li")
     out = j
     for c in cols:
@@ -153,8 +159,8 @@ def _interpolate_blocked(df, keys, order, cols, block):
         pi = F.when(has_p, F.col("_off") + F.col(f"_pi_{c}")).otherwise(F.col(f"_cpi_{c}"))
         nv = F.when(has_n, F.col(f"_nv_{c}")).otherwise(F.col(f"_cnv_{c}"))
         ni = F.when(has_n, F.col("_off") + F.col(f"_ni_{c}")).otherwise(F.col(f"_cni_{c}"))
-        out = out.withColumn(c, F.when(_keys_present(keys), _interp_expr(c, pv, pi, nv, ni, i)))
-    return out.select(*df.columns)
+        out = out.withColumn(c, _interp_expr(c, pv, pi, nv, ni, i))
+    return out.select(*df.columns).unionByName(missing.select(*df.columns))
 
 
 def surrogate_ids(df: DataFrame, start_after: Column | int, order: Sequence[str], out: str = "id") -> DataFrame:
