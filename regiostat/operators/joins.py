@@ -12,9 +12,23 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Lookups above this many rows are not broadcast.  The count stops reading at
-# limit+1 rows, so the check itself is bounded.
+# Lookups above this many rows, or above this many estimated bytes, are not
+# broadcast.  The count stops reading at limit+1 rows, so the check itself is
+# bounded.
 BROADCAST_MAX_ROWS = 200_000
+BROADCAST_MAX_BYTES = 64 * 1024 * 1024
+
+_WIDTH = {"boolean": 1, "tinyint": 1, "smallint": 2, "int": 4, "bigint": 8, "float": 4, "double": 8,
+          "date": 4, "timestamp": 8, "timestamp_ntz": 8}
+
+
+def row_width(df: DataFrame) -> int:
+    """Estimated bytes per row from the schema (strings and nested values
+    counted at 64 bytes, decimals at 16)."""
+    total = 0
+    for _, t in df.dtypes:
+        total += _WIDTH.get(t, 16 if t.startswith("decimal") else 64)
+    return total + 8
 
 
 class Bounded:
@@ -29,15 +43,18 @@ class Bounded:
         return cls(spark.createDataFrame(rows, schema), len(rows))
 
 
-def is_small(df, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
+def is_small(df, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
+    frame_ = df.df if isinstance(df, Bounded) else df
+    limit = min(max_rows, max_bytes // row_width(frame_))
     if isinstance(df, Bounded):
-        return df.rows <= max_rows
-    return df.limit(max_rows + 1).count() <= max_rows
+        return df.rows <= limit
+    return frame_.limit(limit + 1).count() <= limit
 
 
 def broadcast_if_small(df, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``broadcast(df)`` when its row count is proven <= ``max_rows``: by a
-    :class:`Bounded` bound, else by a count that stops at ``max_rows + 1``."""
+    """``broadcast(df)`` when its size is proven small (rows <= ``max_rows`` and
+    rows x estimated width <= BROADCAST_MAX_BYTES): by a :class:`Bounded`
+    bound, else by a count that stops at the limit + 1."""
     small = is_small(df, max_rows)
     df = df.df if isinstance(df, Bounded) else df
     return F.broadcast(df) if small else df

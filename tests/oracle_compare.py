@@ -42,6 +42,23 @@ def rows_of(records, cols):
     return sorted(out, key=lambda t: tuple((x is None, str(x)) for x in t))
 
 
+_SPARK = {"int": "int32", "bigint": "int64", "smallint": "int16", "tinyint": "int8", "double": "float64",
+          "float": "float32", "string": "string", "date": "date", "timestamp": "timestamp",
+          "timestamp_ntz": "timestamp", "boolean": "bool"}
+_DUCK = {"INTEGER": "int32", "BIGINT": "int64", "SMALLINT": "int16", "TINYINT": "int8", "DOUBLE": "float64",
+         "FLOAT": "float32", "VARCHAR": "string", "DATE": "date", "TIMESTAMP": "timestamp", "BOOLEAN": "bool",
+         "HUGEINT": "int128"}
+
+
+def spark_family(t: str) -> str:
+    return "decimal" if t.startswith("decimal") else _SPARK.get(t, t)
+
+
+def duck_family(t: str) -> str:
+    t = str(t)
+    return "decimal" if t.startswith("DECIMAL") else _DUCK.get(t, t)
+
+
 def compare(spark, name, fn, sql, sf_dir, con):
     t0 = time.time()
     sdf = fn(spark, sf_dir)
@@ -55,6 +72,12 @@ def compare(spark, name, fn, sql, sf_dir, con):
     if sorted(scols) != sorted(dcols):
         info["error"] = f"columns differ: {sorted(scols)} vs {sorted(dcols)}"
         return info
+    st = {c: spark_family(t) for c, t in sdf.dtypes}
+    dt = {d[0]: duck_family(d[1]) for d in res.description}
+    bad_types = {c: (st[c], dt[c]) for c in scols if st[c] != dt[c]}
+    if bad_types:
+        info["error"] = f"types differ: {bad_types}"
+        return info
     a, b = rows_of(srows, scols), rows_of(drows, dcols)
     if a != b:
         diffs = [(x, y) for x, y in zip(a, b) if x != y][:3]
