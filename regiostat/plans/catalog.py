@@ -409,11 +409,13 @@ def _land_bronze_run(spark, d):
                          F.col("sd_code").cast("string").alias("metroCd"), "data"))
     payload.where(F.col("year") == "1995").write.mode("overwrite").json(f"{landing}/drop1")
     payload.write.mode("overwrite").json(f"{landing}/drop2")
-    for drop in ("drop1", "drop2"):
-        existing = spark.read.parquet(bronze) if drop == "drop2" else None
+    for attempt, drop in enumerate(("drop1", "drop2"), start=1):
+        existing = spark.read.parquet(bronze) if attempt > 1 else None
         good, rejected = bronze_ingest(spark, read_landing(spark, f"{landing}/{drop}"), existing)
         write_table(good, bronze, mode="append")
-        write_table(rejected, dead, mode="append")
+        # rejected slots never reach bronze, so a later run tries them again:
+        # the failure log keeps one row per row and attempt (input of O-18)
+        write_table(rejected.withColumn("attempt", F.lit(attempt)), dead, mode="append")
     return bronze, dead
 
 
@@ -426,6 +428,15 @@ def bronze_ingest_q(spark: SparkSession, d: str) -> DataFrame:
                                              "house_cnt", "power_usage", "bill")
 
 
+def bronze_dead_letter(spark: SparkSession, d: str) -> DataFrame:
+    """J-1 failure log: every row of a slot holding an invalid reading, with
+    the reason and the attempt; 1995's bad slots are tried twice (O-13, O-14)."""
+    configure(spark)
+    _, dead = _land_bronze_run(spark, d)
+    return spark.read.parquet(dead).select("sd_code", "year", "month", "sgg_name", "house_cnt", "reason",
+                                           "attempt")
+
+
 def json_explode(spark: SparkSession, d: str) -> DataFrame:
     """Landed JSON responses read with a schema, exploded and typed (O-01, O-15, O-12)."""
     configure(spark)
@@ -572,6 +583,7 @@ QUERIES = {
     "write_read_roundtrip": write_read_roundtrip,
     "csv_legacy_charset": csv_legacy_charset,
     "bronze_ingest": bronze_ingest_q,
+    "bronze_dead_letter": bronze_dead_letter,
     "power_silver": power_silver_q,
     "power_gold": power_gold,
     "climate_trend_fact": climate_trend_fact,

@@ -394,6 +394,14 @@ SELECT sd_code, year, month, sd_name, sgg_name, house_cnt, power_usage, CAST(flo
 FROM dm WHERE NOT EXISTS (SELECT 1 FROM bad WHERE bad.year = dm.year AND bad.month = dm.month
                           AND bad.sd_code = dm.sd_code)"""
 
+BRONZE_DEAD_LETTER = f"""
+WITH {DISTRICT},
+bad AS (SELECT DISTINCT year, month, sd_code FROM dm WHERE house_cnt < 3)
+SELECT dm.sd_code, dm.year, dm.month, dm.sgg_name, dm.house_cnt,
+       CASE WHEN dm.house_cnt < 3 THEN 'invalid value' ELSE 'slot rejected' END AS reason, a.attempt
+FROM dm JOIN bad ON bad.year = dm.year AND bad.month = dm.month AND bad.sd_code = dm.sd_code
+JOIN (VALUES (1), (2)) AS a(attempt) ON a.attempt = 2 OR dm.year = 1995"""
+
 INCREMENTAL_INGEST = """
 SELECT event_id, ts, user_id, event_type, value, CAST(ts AS DATE) AS day FROM events"""
 
@@ -563,6 +571,7 @@ ORACLE = {
     "write_read_roundtrip": WRITE_READ_ROUNDTRIP,
     "csv_legacy_charset": CSV_LEGACY_CHARSET,
     "bronze_ingest": BRONZE_INGEST,
+    "bronze_dead_letter": BRONZE_DEAD_LETTER,
     "power_silver": POWER_SILVER,
     "power_gold": POWER_GOLD,
     "climate_trend_fact": CLIMATE_TREND,
