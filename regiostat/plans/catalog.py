@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from regiostat.functions.names import clean_headers
 from regiostat.functions.scalars import (
-    lenient_double, lenient_int, quarter_of, round_half_even, season_of, tariff_of,
+    lenient_double, lenient_int, quarter_of, season_of, tariff_of,
     year_month_parts, zero_pad, inf_to_null,
 )
 from regiostat.operators.aggregates import first_by, profile as profile_op
@@ -407,6 +407,7 @@ def _land_bronze_run(spark, d):
     payload = (dm.groupBy("year", "month", "sd_code").agg(F.collect_list(el).alias("data"))
                  .select(F.col("year").cast("string").alias("year"), zero_pad("month").alias("month"),
                          F.col("sd_code").cast("string").alias("metroCd"), "data"))
+    payload = materialize(payload)  # two landings from one derivation
     payload.where(F.col("year") == "1995").write.mode("overwrite").json(f"{landing}/drop1")
     payload.write.mode("overwrite").json(f"{landing}/drop2")
     for attempt, drop in enumerate(("drop1", "drop2"), start=1):
