@@ -11,22 +11,19 @@ idempotent after a failure between write and commit.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 
-def _path_exists(spark: SparkSession, path: str) -> bool:
-    if "://" not in path or path.startswith("file:"):
-        p = path.replace("file:", "", 1)
-        return os.path.isdir(p) and any(n.endswith(".parquet") or n.startswith("_delta") or n.startswith("year=")
-                                        for n in os.listdir(p))
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(hpath)
+def _stored_slots(spark: SparkSession, path: str, keys: list[str]) -> DataFrame | None:
+    """Distinct slot keys already in bronze, or None before the first write."""
+    try:
+        return spark.read.parquet(path).select(*keys).distinct()
+    except AnalysisException:  # the table does not exist yet
+        return None
 
 
 def ingest_available(spark: SparkSession, source_dir: str, source_format: str, schema: StructType,
@@ -38,8 +35,8 @@ def ingest_available(spark: SparkSession, source_dir: str, source_format: str, s
 
     def process(batch: DataFrame, epoch_id: int) -> None:
         rows = transform(batch) if transform else batch
-        if _path_exists(spark, bronze_path):
-            seen = spark.read.parquet(bronze_path).select(*keys).distinct()
+        seen = _stored_slots(spark, bronze_path, keys)
+        if seen is not None:
             rows = rows.join(seen, on=keys, how="left_anti")
         w = rows.write.mode("append")
         if partition_by:
