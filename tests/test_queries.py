@@ -45,3 +45,14 @@ def test_lookups_broadcast_and_scan_pruned(spark):
     assert "BroadcastHashJoin" in plan
     # the orders scan reads only the columns the query uses
     assert "o_orderpriority" not in plan.split("ReadSchema")[0] or "ReadSchema: struct<o_orderkey" in plan
+
+
+SURROGATE = {"surrogate_ids", "power_silver"}  # O-47: numbering merged months, bounded by months
+
+
+@pytest.mark.skipif(not have(SF_SMALL), reason="test tables absent")
+@pytest.mark.parametrize("name", [n for n in FAST if n not in SURROGATE])
+def test_plan_has_no_single_partition_step(spark, name):
+    plan = _plan(queries()[name](spark, SF_SMALL))
+    for bad in ("SinglePartition", "CartesianProduct", "BroadcastNestedLoopJoin"):
+        assert bad not in plan, f"{name}: {bad}"
