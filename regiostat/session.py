@@ -27,10 +27,30 @@ _BASE_CONF = {
 }
 
 
+# Cluster profile (large inputs): many shuffle partitions as an upper bound
+# that AQE coalesces to ~128 MB each, 256 MB scan splits, skew-join splitting
+# above 256 MB, and the same 64 MB broadcast bound the lookup check uses.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "8192",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+}
+
+
 def get_session(master: str | None = None, app: str = "regiostat",
                 shuffle_partitions: int | None = None,
-                extra: dict[str, str] | None = None) -> SparkSession:
+                extra: dict[str, str] | None = None, cluster: bool = False) -> SparkSession:
+    """Build (or get) a session with the settings every job relies on;
+    ``cluster=True`` adds :data:`CLUSTER_CONF` for large inputs."""
     builder = SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
+    if cluster:
+        for k, v in CLUSTER_CONF.items():
+            builder = builder.config(k, v)
     if master:
         builder = builder.master(master)
     if shuffle_partitions:

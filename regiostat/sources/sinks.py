@@ -18,12 +18,14 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite",
     ``overwrite`` replaces data and schema (truncate-and-load);
     ``dynamic_overwrite`` replaces only the partitions present in ``df``.
     ``cluster_by`` sorts rows within each output file so row-group min/max
-    statistics skip data on those columns; with ``partition_by`` rows are first
-    hash-distributed by the partition columns so each task writes few files.
+    statistics skip data on those columns.  With ``partition_by`` rows are
+    first distributed by the partition columns with a REBALANCE hint: each task
+    writes few files, and AQE splits a partition value holding a large share
+    of the rows across several tasks instead of one.
     """
     out = df
     if partition_by:
-        out = out.repartition(*partition_by)
+        out = out.hint("rebalance", *partition_by)
     if cluster_by or partition_by:
         out = out.sortWithinPartitions(*partition_by, *cluster_by)
     out, obs = observed_count(out, "write")
