@@ -128,8 +128,7 @@ def profile(df: DataFrame, cols: Sequence[str], quantiles: Sequence[float] = (0.
     checkpointed to the cluster's checkpoint folder and every statistic is
     derived from it.  The mean is Σx/count with Σx summed exactly as
     DECIMAL(38, mean_scale); std is two-pass sample std; quantiles are exact
-    with linear interpolation ``lo + (hi-lo)*frac`` at position ``(count-1)*q``
-    (pandas/numpy 'linear').  No group is ever collected into one task.
+    with numpy's linear interpolation at position ``(count-1)*q`` (pandas).  No group is ever collected into one task.
     """
     from regiostat.functions.scalars import round_half_even
     from regiostat.session import checkpoint_root
@@ -167,8 +166,12 @@ def profile(df: DataFrame, cols: Sequence[str], quantiles: Sequence[float] = (0.
     hits = ranked.join(F.broadcast(targets), "column").where(in_lo | in_hi)
     qv = hits.groupBy("column", "q", "pos", "lo_i").agg(
         F.max(F.when(in_lo, F.col("v"))).alias("lo_v"), F.max(F.when(in_hi, F.col("v"))).alias("hi_v"))
-    qv = qv.select("column", "q", (F.col("lo_v") + (F.col("hi_v") - F.col("lo_v"))
-                                   * (F.col("pos") - F.col("lo_i").cast("double"))).alias("qv"))
+    # numpy's linear interpolation (pandas describe): a + (b-a)*t below t=0.5,
+    # b - (b-a)*(1-t) from 0.5 on
+    t = F.col("pos") - F.col("lo_i").cast("double")
+    span = F.col("hi_v") - F.col("lo_v")
+    qv = qv.select("column", "q", F.when(t >= F.lit(0.5), F.col("hi_v") - span * (F.lit(1.0) - t))
+                   .otherwise(F.col("lo_v") + span * t).alias("qv"))
     qwide = qv.groupBy("column").agg(*[F.max(F.when(F.col("q") == t, F.col("qv"))).alias(t) for t in tags])
     out = basic.join(std, "column", "left").join(qwide, "column", "left")
     if std_scale is not None:

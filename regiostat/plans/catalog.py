@@ -551,6 +551,27 @@ def climate_extreme_fact(spark: SparkSession, d: str) -> DataFrame:
     return fact_extreme_weather(_climate_silver(spark, d))
 
 
+TREND_PROFILE_COLS = ["avg_temp", "avg_max_temp", "avg_min_temp", "year_max_temp", "year_min_temp",
+                      "total_precip_mm", "avg_temp_range", "temp_yoy_diff"]
+
+
+def climate_trend_profile(spark: SparkSession, d: str) -> DataFrame:
+    """``fact_trend.describe()`` on the J-7 output (O-41)."""
+    from regiostat.plans.climate import fact_climate_trend
+    configure(spark)
+    fact = fact_climate_trend(_climate_silver(spark, d), complete_years_only=True)
+    return profile_op(fact, TREND_PROFILE_COLS)
+
+
+def climate_silver_summary(spark: SparkSession, d: str) -> DataFrame:
+    """Silver row count, distinct provinces and stations (O-40f, O-40j)."""
+    configure(spark)
+    silver = _climate_silver(spark, d)
+    return silver.agg(F.count(F.lit(1)).alias("n_rows"),
+                      F.count_distinct("sd_name_std").alias("n_provinces"),
+                      F.count_distinct("지점").alias("n_stations"))
+
+
 QUERIES = {
     "region_year_trend": region_year_trend,
     "region_year_trend_complete": region_year_trend_complete,
@@ -590,4 +611,6 @@ QUERIES = {
     "climate_trend_fact": climate_trend_fact,
     "climate_compare_fact": climate_compare_fact,
     "climate_extreme_fact": climate_extreme_fact,
+    "climate_trend_profile": climate_trend_profile,
+    "climate_silver_summary": climate_silver_summary,
 }

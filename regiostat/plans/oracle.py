@@ -367,18 +367,6 @@ SELECT user_id, COUNT(*) AS attempts,
 FROM events WHERE event_type = 'error' GROUP BY user_id"""
 
 
-def _profile_col(c: str) -> str:
-    return f"""
-SELECT '{c}' AS "column", COUNT({c}) AS count, COUNT(DISTINCT {c}) AS n_distinct,
-       CAST(SUM(CAST({c} AS DECIMAL(38,6))) AS DOUBLE) / COUNT({c}) AS mean,
-       round_even(STDDEV_SAMP({c}) * 1000000.0, 0) / 1000000.0 AS std,
-       MIN({c}) AS min, quantile_cont({c}, 0.25) AS p25, quantile_cont({c}, 0.5) AS p50,
-       quantile_cont({c}, 0.75) AS p75, MAX({c}) AS max
-FROM lineitem"""
-
-
-PROFILE = "\nUNION ALL".join(_profile_col(c) for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax"))
-
 TOP_PREVIEW = """
 SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate FROM orders ORDER BY o_orderkey LIMIT 5"""
 
@@ -538,6 +526,43 @@ CLIMATE_EXTREME = two_stage_sql(
      ("max_wind_speed", "max", "max_wind_speed"), ("max_snowfall_cm", "max", "max_snowfall_cm")],
     [("max_daily_precip", "max_daily_precip_yoy_diff"), ("year_max_temp", "max_temp_yoy_diff")])
 
+def _lerp(lst: str, n: str, q: float) -> str:
+    """numpy 'linear' quantile of a sorted list (1-based list indexing)."""
+    pos = f"(CAST({n} - 1 AS DOUBLE) * {q!r})"
+    t = f"({pos} - floor({pos}))"
+    a = f"{lst}[CAST(floor({pos}) AS BIGINT) + 1]"
+    b = f"{lst}[CAST(ceil({pos}) AS BIGINT) + 1]"
+    return f"CASE WHEN {t} >= 0.5 THEN {b} - ({b} - {a}) * (1.0 - {t}) ELSE {a} + ({b} - {a}) * {t} END"
+
+
+def _profile_sql(src: str, cols: list) -> str:
+    parts = []
+    for c in cols:
+        parts.append(f"""
+SELECT '{c}' AS "column", n AS count, n_distinct, mean, std, min,
+       {_lerp('l', 'n', 0.25)} AS p25, {_lerp('l', 'n', 0.5)} AS p50, {_lerp('l', 'n', 0.75)} AS p75, max
+FROM (
+  SELECT COUNT({c}) AS n, COUNT(DISTINCT {c}) AS n_distinct,
+         CAST(SUM(CAST({c} AS DECIMAL(38,6))) AS DOUBLE) / COUNT({c}) AS mean,
+         round_even(STDDEV_SAMP({c}) * 1000000.0, 0) / 1000000.0 AS std,
+         MIN({c}) AS min, MAX({c}) AS max,
+         list_sort(list({c}) FILTER (WHERE {c} IS NOT NULL)) AS l
+  FROM {src}
+)""")
+    return "\nUNION ALL".join(parts)
+
+
+PROFILE = _profile_sql("lineitem", ["l_quantity", "l_extendedprice", "l_discount", "l_tax"])
+
+CLIMATE_TREND_PROFILE = _profile_sql(f"({CLIMATE_TREND}) AS fact", [
+    "avg_temp", "avg_max_temp", "avg_min_temp", "year_max_temp", "year_min_temp",
+    "total_precip_mm", "avg_temp_range", "temp_yoy_diff"])
+
+CLIMATE_SILVER_SUMMARY = f"""
+WITH {OBS}
+SELECT COUNT(*) AS n_rows, COUNT(DISTINCT sd_name_std) AS n_provinces, COUNT(DISTINCT station) AS n_stations
+FROM obs WHERE sd_code IS NOT NULL"""
+
 ORACLE = {
     "region_year_trend": _trend(False),
     "region_year_trend_complete": _trend(True),
@@ -577,4 +602,6 @@ ORACLE = {
     "climate_trend_fact": CLIMATE_TREND,
     "climate_compare_fact": CLIMATE_COMPARE,
     "climate_extreme_fact": CLIMATE_EXTREME,
+    "climate_trend_profile": CLIMATE_TREND_PROFILE,
+    "climate_silver_summary": CLIMATE_SILVER_SUMMARY,
 }

@@ -205,7 +205,7 @@ def test_profile_matches_pandas_describe(spark):
         r = out[c]
         assert r["count"] == d["count"] and r.n_distinct == pdf[c].nunique()
         for k, q in [("p25", "25%"), ("p50", "50%"), ("p75", "75%"), ("min", "min"), ("max", "max")]:
-            assert r[k] == pytest.approx(d[q], abs=1e-12)
+            assert r[k] == d[q]  # numpy's interpolation, bit for bit
         assert r.mean == pytest.approx(d["mean"], rel=1e-12)
         assert r.std == pytest.approx(d["std"], abs=1e-6)
 
