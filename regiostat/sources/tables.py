@@ -19,7 +19,7 @@ def read_jdbc(spark: SparkSession, url: str, table: str, properties: dict,
               partition_column: str | None = None, lower: int | None = None,
               upper: int | None = None, num_partitions: int | None = None) -> DataFrame:
     """An external relational table, read in parallel slices when a numeric
-    partition column is given (the reference reads MySQL/BigQuery whole)."""
+    partition column is given, instead of one whole-table fetch."""
     if partition_column:
         return spark.read.jdbc(url, table, column=partition_column, lowerBound=lower,
                                upperBound=upper, numPartitions=num_partitions, properties=properties)
