@@ -597,6 +597,7 @@ ORACLE = {
     "csv_legacy_charset": CSV_LEGACY_CHARSET,
     "bronze_ingest": BRONZE_INGEST,
     "bronze_dead_letter": BRONZE_DEAD_LETTER,
+    "bronze_stream": BRONZE_INGEST,
     "power_silver": POWER_SILVER,
     "power_gold": POWER_GOLD,
     "climate_trend_fact": CLIMATE_TREND,

@@ -48,3 +48,30 @@ def ingest_available(spark: SparkSession, source_dir: str, source_format: str, s
                .option("checkpointLocation", checkpoint)
                .trigger(availableNow=True).start())
     q.awaitTermination()
+
+
+def ingest_landing_stream(spark: SparkSession, landing_dir: str, bronze_path: str, dead_letter_path: str,
+                          checkpoint: str, slot_keys: Sequence[str] = ("year", "month", "sd_code")) -> None:
+    """J-1 as an incremental stream over landed API responses (O-19 with O-01,
+    O-12..O-15, O-36, O-06): each micro-batch is exploded and typed, slots
+    already in bronze are skipped, a slot with any invalid value goes whole to
+    the dead-letter table (with the batch id as attempt), good slots are
+    appended to bronze."""
+    from pyspark.sql import functions as F
+
+    from regiostat.plans.power import bronze_ingest
+    from regiostat.sources.landing import LANDING_SCHEMA, explode_payload
+
+    keys = list(slot_keys)
+
+    def process(batch: DataFrame, epoch_id: int) -> None:
+        landed = explode_payload(batch)
+        good, rejected = bronze_ingest(spark, landed, _stored_slots(spark, bronze_path, keys), keys)
+        good.write.mode("append").parquet(bronze_path)
+        rejected.withColumn("attempt", F.lit(epoch_id + 1)).write.mode("append").parquet(dead_letter_path)
+
+    stream = spark.readStream.schema(LANDING_SCHEMA).json(landing_dir)
+    q = (stream.writeStream.foreachBatch(process)
+               .option("checkpointLocation", checkpoint)
+               .trigger(availableNow=True).start())
+    q.awaitTermination()
