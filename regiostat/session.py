@@ -73,13 +73,19 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """Folder named by ``spark.checkpoint.dir``; set a private one only if unset."""
+    """Folder named by ``spark.checkpoint.dir``; set a private one only if unset.
+
+    The SparkContext's reliable-checkpoint folder is pointed there too when
+    it is not set yet, so ``DataFrame.checkpoint()`` works in either case.
+    """
+    sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = spark.sparkContext.getCheckpointDir()
+        root = sc.getCheckpointDir()
     if not root:
         root = tempfile.mkdtemp(prefix="regiostat-ckpt-")
-        spark.sparkContext.setCheckpointDir(root)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 
