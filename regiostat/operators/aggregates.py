@@ -30,7 +30,7 @@ def agg_expr(fn: str, col: str) -> Column:
     if fn == "min":
         return F.min(c)
     if fn == "sum":  # pandas: the sum of an all-missing group is 0 (S2)
-        return F.coalesce(F.sum(c), F.lit(0).cast(_sum_type_hint(col)))
+        return F.coalesce(F.sum(c), F.lit(0))
     if fn == "std":  # sample std, missing for a single row (S3)
         return F.stddev_samp(c)
     if fn == "count":
@@ -42,10 +42,6 @@ def agg_expr(fn: str, col: str) -> Column:
     raise ValueError(f"unknown aggregate {fn!r}")
 
 
-def _sum_type_hint(col: str) -> str:
-    return "double"
-
-
 def named_agg(df: DataFrame, keys: Sequence[str], spec: AggSpec,
               drop_missing_keys: bool = True) -> DataFrame:
     """``groupby(keys).agg(out=(col, fn), ...)`` (O-40a/b/c).
@@ -77,7 +73,8 @@ def first_by(col: str, order: str) -> Column:
     return F.min_by(F.col(col), F.col(order))
 
 
-def global_max(df: DataFrame, col: str) -> Column:
+def global_max(col: str) -> Column:
+    """``df[col].max()`` (O-40i)."""
     return F.max(F.col(col))
 
 

@@ -84,7 +84,7 @@ def power_silver(bronze: DataFrame, params: SilverParams | None = None) -> DataF
             means=vals, first_cols=["sd_code", "sd_name"], order_col="id",
             round_scales={vals[0]: 2, vals[1]: 0}, int_cols=[vals[1]])
         # one scalar to the driver: the current largest id
-        max_id = df.agg(global_max(df, "id")).first()[0] or 0
+        max_id = df.agg(global_max("id")).first()[0] or 0
         merged = surrogate_ids(merged, int(max_id), ["year", "month"])
         df = replace_matching(df, "sgg_name", p.merge_city, merged.select(*[c for c in df.columns if c in merged.columns]))
     df = _to_numeric(df, vals)
