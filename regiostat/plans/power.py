@@ -71,25 +71,33 @@ def power_silver(bronze: DataFrame, params: SilverParams | None = None) -> DataF
     spark = bronze.sparkSession
     df = bronze
     vals = list(p.value_cols)
+    # "first row" (S18) follows the insert id; bronze landed without one is
+    # ordered by (year, month, code, district) and merged rows get no id
+    has_id = "id" in df.columns
+    order_col = "id" if has_id else "_ord"
+    if not has_id:
+        df = df.withColumn("_ord", F.struct("year", "month", "sd_code", "sgg_name"))
     if p.override_rules:
         rules = Bounded.literal(spark, p.override_rules,
                                 "sd_name string, sgg_name string, month int, src_year int, dst_year int")
-        df = same_period_override(df, rules, ["sd_name", "sgg_name"], vals, order_col="id",
+        df = same_period_override(df, rules, ["sd_name", "sgg_name"], vals, order_col=order_col,
                                   strict=p.strict_override)
     if p.clean_before_merge:
         df = null_out_invalid(_to_numeric(df, vals), vals)
     if p.merge_city:
         merged = weighted_merge(
             df, "sgg_name", p.merge_city, p.merge_city, group=["year", "month"], weight="house_cnt",
-            means=vals, first_cols=["sd_code", "sd_name"], order_col="id",
+            means=vals, first_cols=["sd_code", "sd_name"], order_col=order_col,
             round_scales={vals[0]: 2, vals[1]: 0}, int_cols=[vals[1]])
-        # one scalar to the driver: the current largest id
-        max_id = df.agg(global_max("id")).first()[0] or 0
-        merged = surrogate_ids(merged, int(max_id), ["year", "month"])
+        if has_id:
+            # one scalar to the driver: the current largest id
+            max_id = df.agg(global_max("id")).first()[0] or 0
+            merged = surrogate_ids(merged, int(max_id), ["year", "month"])
         df = replace_matching(df, "sgg_name", p.merge_city, merged.select(*[c for c in df.columns if c in merged.columns]))
     df = _to_numeric(df, vals)
     df = null_out_invalid(df, vals)
-    return interpolate_linear(df, list(p.series_keys), list(p.order), vals)
+    out = interpolate_linear(df, list(p.series_keys), list(p.order), vals)
+    return out if has_id else out.drop("_ord")
 
 
 def _to_numeric(df: DataFrame, cols: Sequence[str]) -> DataFrame:
