@@ -109,6 +109,8 @@ def station_map(meta: DataFrame, alias: DataFrame, c: ClimateCols | None = None,
     """
     c = c or ClimateCols()
     m = fix_meta(meta, c.station_name, c.address)
+    if dict(m.dtypes)[c.station] == "string":  # CSV-landed meta: type the id like the raw side
+        m = m.withColumn(c.station, strict_int(c.station, c.station))
     m = drop_contains(m, c.address, MOUNTAIN_MARKER)
     if order is None:
         m = m.withColumn("_ord", F.coalesce(F.col(c.closed), F.lit("9999-12-31")))
