@@ -68,7 +68,12 @@ def ingest_landing_stream(spark: SparkSession, landing_dir: str, bronze_path: st
         landed = explode_payload(batch)
         good, rejected = bronze_ingest(spark, landed, _stored_slots(spark, bronze_path, keys), keys)
         good.write.mode("append").parquet(bronze_path)
-        rejected.withColumn("attempt", F.lit(epoch_id + 1)).write.mode("append").parquet(dead_letter_path)
+        rejected = rejected.withColumn("attempt", F.lit(epoch_id + 1))
+        # a replayed micro-batch (failure after the bronze append) logs nothing twice
+        logged = _stored_slots(spark, dead_letter_path, keys + ["attempt"])
+        if logged is not None:
+            rejected = rejected.join(logged, on=keys + ["attempt"], how="left_anti")
+        rejected.write.mode("append").parquet(dead_letter_path)
 
     stream = spark.readStream.schema(LANDING_SCHEMA).json(landing_dir)
     q = (stream.writeStream.foreachBatch(process)
