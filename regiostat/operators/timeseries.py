@@ -163,16 +163,27 @@ def _interpolate_blocked(df, keys, order, cols, block):
     return out.select(*df.columns).unionByName(missing.select(*df.columns))
 
 
-def surrogate_ids(df: DataFrame, start_after: Column | int, order: Sequence[str], out: str = "id") -> DataFrame:
-    """``range(max_id+1, ...)`` in ``order`` (O-47).
-
-    One un-partitioned window: call it only on small aggregates (merged
-    rows), never on raw data.  ``start_after`` may be a literal or a column
-    already joined onto ``df``.
+def surrogate_ids(df: DataFrame, start_after: Column | int, order: Sequence[str], out: str = "id",
+                  partitions: int | None = None) -> DataFrame:
+    """``range(max_id+1, ...)`` in ``order`` (O-47), numbered without a
+    single-partition window: rows are range-partitioned on ``order``, numbered
+    inside each slice, and each slice is offset by the sizes of the slices
+    before it (a prefix over one row per slice).  ``order`` must be unique.
+    ``start_after`` may be a literal or a column already joined onto ``df``.
     """
-    w = Window.orderBy(*_order_cols(order))
+    n = partitions or df.sparkSession.sparkContext.defaultParallelism
+    ranged = df.repartitionByRange(n, *[F.col(o).asc_nulls_last() for o in order]) \
+               .withColumn("_pid", F.spark_partition_id())
+    local = ranged.withColumn("_rn", F.row_number().over(
+        Window.partitionBy("_pid").orderBy(*_order_cols(order))))
+    sizes = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(F.lit(0)).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    # one row per slice: bounded by the partition count
+    numbered = local.join(F.broadcast(offsets), "_pid")
     base = F.lit(start_after) if isinstance(start_after, int) else start_after
-    return df.withColumn(out, (base + F.row_number().over(w)).cast("long"))
+    return numbered.withColumn(out, (base + F.col("_off") + F.col("_rn")).cast("long")) \
+                   .drop("_pid", "_rn", "_off")
 
 
 def keep_last(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
