@@ -219,3 +219,9 @@ def test_round_float_columns_only_floats(spark):
 def test_head_top_n(spark):
     df = spark.createDataFrame([(3,), (1,), (None,), (2,)], "k int")
     assert [r.k for r in head(df, ["k"], 3).collect()] == [1, 2, 3]
+
+
+def test_surrogate_ids_distributed(spark):
+    df = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("k")).repartition(5)
+    out = surrogate_ids(df, 100, ["k"], partitions=7).orderBy("k").collect()
+    assert [r.id for r in out] == list(range(101, 1101))
