@@ -41,3 +41,15 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite",
 def append_batch(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> int:
     """``INSERT`` of a batch (O-06); an empty batch writes nothing."""
     return write_table(df, path, mode="append", partition_by=partition_by)
+
+
+def write_bucketed(df: DataFrame, table: str, keys: Sequence[str], buckets: int, path: str,
+                   mode: str = "overwrite") -> None:
+    """Store ``df`` as a catalog table bucketed and sorted by ``keys`` at ``path``.
+
+    Two tables bucketed the same way on their join key (e.g. orders and
+    customer on the customer key) join with a sort-merge join that needs no
+    exchange: the repeated big shuffle is paid once, at write time.
+    """
+    (df.write.mode(mode).bucketBy(buckets, *keys).sortBy(*keys)
+       .option("path", path).saveAsTable(table))

@@ -80,3 +80,27 @@ def test_write_table_counts_rows(spark):
     assert write_table(df, path, partition_by=["year"], cluster_by=["id"]) == 10
     back = spark.read.parquet(path)
     assert back.count() == 10 and sorted(r.year for r in back.select("year").distinct().collect()) == [0, 1]
+
+
+def test_bucketed_tables_join_without_exchange(spark):
+    from conftest import SF_SMALL, have
+    if not have(SF_SMALL):
+        return
+    from regiostat.sources.sinks import write_bucketed
+    from regiostat.sources.tables import read_table
+    root = scratch_path(spark, "test-bucketed")
+    o = read_table(spark, SF_SMALL, "orders", ["o_orderkey", "o_custkey", "o_totalprice"])
+    c = read_table(spark, SF_SMALL, "customer", ["c_custkey", "c_nationkey"])
+    write_bucketed(o.withColumnRenamed("o_custkey", "custkey"), "t_orders_b", ["custkey"], 8, f"{root}/o")
+    write_bucketed(c.withColumnRenamed("c_custkey", "custkey"), "t_customer_b", ["custkey"], 8, f"{root}/c")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        j = spark.table("t_orders_b").join(spark.table("t_customer_b"), "custkey")
+        plan = j._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        assert j.count() == o.count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.sql("DROP TABLE IF EXISTS t_orders_b")
+        spark.sql("DROP TABLE IF EXISTS t_customer_b")
