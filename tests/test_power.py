@@ -3,7 +3,6 @@
 import json
 
 import numpy as np
-import pandas as pd
 import pytest
 
 from regiostat.operators.ingest import (

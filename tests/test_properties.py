@@ -1,6 +1,5 @@
 """Property-based checks (hypothesis) against pandas on random small inputs."""
 
-import numpy as np
 import pandas as pd
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
