@@ -38,6 +38,16 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite",
     return int(obs.get.get("rows", 0))
 
 
+def range_bucket(col: str, start: int, end: int, name: str | None = None):
+    """``RANGE_BUCKET(col, GENERATE_ARRAY(start, end, 1))`` partitioning
+    (O-09): values in [start, end) are their own partition, everything else
+    (including NULL) shares the default partition.  Returns (column name,
+    expression) to add before ``write_table(partition_by=[name])``."""
+    from pyspark.sql import functions as F
+    c = F.col(col)
+    return name or f"{col}_range", F.when((c >= start) & (c < end), c)
+
+
 def append_batch(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> int:
     """``INSERT`` of a batch (O-06); an empty batch writes nothing."""
     return write_table(df, path, mode="append", partition_by=partition_by)

@@ -15,6 +15,13 @@ def read_table(spark: SparkSession, base: str, name: str,
     return df.select(*columns) if columns else df
 
 
+def read_catalog_table(spark: SparkSession, name: str, columns: Sequence[str] | None = None) -> DataFrame:
+    """``select * from name`` over a catalog table (bucketing and partition
+    metadata come with it)."""
+    df = spark.table(name)
+    return df.select(*columns) if columns else df
+
+
 def read_jdbc(spark: SparkSession, url: str, table: str, properties: dict,
               partition_column: str | None = None, lower: int | None = None,
               upper: int | None = None, num_partitions: int | None = None) -> DataFrame:

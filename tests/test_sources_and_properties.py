@@ -104,3 +104,15 @@ def test_bucketed_tables_join_without_exchange(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
         spark.sql("DROP TABLE IF EXISTS t_orders_b")
         spark.sql("DROP TABLE IF EXISTS t_customer_b")
+
+
+def test_range_bucket_partitioning(spark):
+    from regiostat.sources.sinks import range_bucket
+    path = scratch_path(spark, "test-range")
+    df = spark.createDataFrame([(y, 1.0) for y in (2014, 2015, 2016, 2020, 2031)], "year int, v double")
+    name, expr = range_bucket("year", 2016, 2030)
+    assert write_table(df.withColumn(name, expr), path, partition_by=[name]) == 5
+    back = spark.read.parquet(path)
+    parts = sorted((r.year, r.year_range) for r in back.collect())
+    assert parts == [(2014, None), (2015, None), (2016, 2016), (2020, 2020), (2031, None)]
+    assert len([d for d in os.listdir(path.replace("file:", "")) if d.startswith("year_range=")]) == 3
