@@ -459,6 +459,15 @@ def bronze_dead_letter(spark: SparkSession, d: str) -> DataFrame:
                                            "attempt")
 
 
+def bronze_retry_queue(spark: SparkSession, d: str) -> DataFrame:
+    """O-18 over the J-1 failure log: attempts per rejected slot, retry below
+    the limit, dead letter from it."""
+    configure(spark)
+    _, dead = _land_bronze_run(spark, d)
+    attempts = spark.read.parquet(dead).select("year", "month", "sd_code", "attempt").distinct()
+    return retry_queue_op(attempts, ["year", "month", "sd_code"])
+
+
 def json_explode(spark: SparkSession, d: str) -> DataFrame:
     """Landed JSON responses read with a schema, exploded and typed (O-01, O-15, O-12)."""
     configure(spark)
@@ -628,6 +637,7 @@ QUERIES = {
     "bronze_ingest": bronze_ingest_q,
     "bronze_dead_letter": bronze_dead_letter,
     "bronze_stream": bronze_stream,
+    "bronze_retry_queue": bronze_retry_queue,
     "power_silver": power_silver_q,
     "power_gold": power_gold,
     "climate_trend_fact": climate_trend_fact,

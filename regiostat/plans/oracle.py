@@ -390,6 +390,13 @@ SELECT dm.sd_code, dm.year, dm.month, dm.sgg_name, dm.house_cnt,
 FROM dm JOIN bad ON bad.year = dm.year AND bad.month = dm.month AND bad.sd_code = dm.sd_code
 JOIN (VALUES (1), (2)) AS a(attempt) ON a.attempt = 2 OR dm.year = 1995"""
 
+BRONZE_RETRY_QUEUE = f"""
+WITH {DISTRICT},
+bad AS (SELECT DISTINCT year, month, sd_code FROM dm WHERE house_cnt < 3)
+SELECT year, month, sd_code, CAST(CASE WHEN year = 1995 THEN 2 ELSE 1 END AS BIGINT) AS attempts,
+       CASE WHEN (CASE WHEN year = 1995 THEN 2 ELSE 1 END) < 10 THEN 'retry' ELSE 'dead_letter' END AS status
+FROM bad"""
+
 INCREMENTAL_INGEST = """
 SELECT event_id, ts, user_id, event_type, value, CAST(ts AS DATE) AS day FROM events"""
 
@@ -598,6 +605,7 @@ ORACLE = {
     "bronze_ingest": BRONZE_INGEST,
     "bronze_dead_letter": BRONZE_DEAD_LETTER,
     "bronze_stream": BRONZE_INGEST,
+    "bronze_retry_queue": BRONZE_RETRY_QUEUE,
     "power_silver": POWER_SILVER,
     "power_gold": POWER_GOLD,
     "climate_trend_fact": CLIMATE_TREND,
