@@ -170,7 +170,13 @@ def profile(df: DataFrame, cols: Sequence[str], quantiles: Sequence[float] = (0.
     qv = qv.select("column", "q", F.when(t >= F.lit(0.5), F.col("hi_v") - span * (F.lit(1.0) - t))
                    .otherwise(F.col("lo_v") + span * t).alias("qv"))
     qwide = qv.groupBy("column").agg(*[F.max(F.when(F.col("q") == t, F.col("qv"))).alias(t) for t in tags])
-    out = basic.join(std, "column", "left").join(qwide, "column", "left")
+    # one row per requested column, also when it holds no value (count 0),
+    # as describe() reports it
+    names = df.sparkSession.createDataFrame([(c, i) for i, c in enumerate(cols)], "column string, _ord int")
+    out = (F.broadcast(names).join(basic, "column", "left").join(std, "column", "left")
+           .join(qwide, "column", "left")
+           .withColumns({"count": F.coalesce("count", F.lit(0).cast("long")),
+                         "n_distinct": F.coalesce("n_distinct", F.lit(0).cast("long"))}))
     if std_scale is not None:
         out = out.withColumn("std", round_half_even("std", std_scale))
     return out.select("column", "count", "n_distinct", "mean", "std", "min", *tags, "max")
