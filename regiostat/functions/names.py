@@ -6,9 +6,14 @@ import re
 
 from pyspark.sql import DataFrame
 
+# ---------------------------------------------------------------------------
+# The header-cleaning patterns (they must equal the reference's
+# to produce the same column names): a bracketed part, a character that is
+# neither a word character nor a Hangul syllable, a run of underscores.
 _PAREN = re.compile(r"\(([^)]+)\)")
 _NON_WORD = re.compile(r"[^\w가-힣]")
 _UNDERSCORES = re.compile(r"_+")
+# ---------------------------------------------------------------------------
 
 
 def clean_column_name(name: str) -> str:
