@@ -554,15 +554,16 @@ def power_gold(spark: SparkSession, d: str) -> DataFrame:
 def _climate_silver(spark, d):
     """J-4 raw CSV (CP949) -> J-5 transform -> station map -> J-6 silver."""
     from regiostat.plans.climate import climate_silver, climate_transform
-    from regiostat.plans.tpch import climate_meta, climate_raw, region_alias, region_std
+    from regiostat.plans.tpch import climate_meta, climate_raw, region_lookups
     path = scratch_path(spark, "climate-raw")
     write_legacy_csv(climate_raw(spark, d), path)
     raw = read_legacy_csv(spark, path)
-    raw, meta = climate_transform(raw, climate_meta(spark, d))
-    stations, _ = station_map(meta, region_alias(spark, d))
+    region, alias, std = region_lookups(spark, d)
+    raw, meta = climate_transform(raw, climate_meta(spark, d, region))
+    stations, _ = station_map(meta, alias)
     # the station map is a small dimension that the silver join reads twice
     # (size check and join): checkpoint it instead of re-running the meta chain
-    return climate_silver(raw, materialize(stations), region_std(spark, d))
+    return climate_silver(raw, materialize(stations), std)
 
 
 def climate_trend_fact(spark: SparkSession, d: str) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regiostat.functions.scalars import round_half_even
-from regiostat.operators.joins import broadcast_if_small, lookup_join
+from regiostat.operators.joins import Bounded, broadcast_if_small, lookup_join
 from regiostat.sources.tables import read_table
 
 # Customers are joined to orders by broadcast only below this many rows; above
@@ -110,11 +110,19 @@ def climate_raw(spark: SparkSession, d: str) -> DataFrame:
     return obs.select(*[F.expr(e).cast("string").alias(h) for h, e in CLIMATE_RAW_ROLES])
 
 
-def climate_meta(spark: SparkSession, d: str) -> DataFrame:
+def region_lookups(spark: SparkSession, d: str):
+    """(region, alias, standard names) with row bounds from one count of the
+    region table: the alias table has at most three forms per region."""
+    r = read_table(spark, d, "region", ["r_regionkey", "r_name"])
+    n = r.count()
+    return Bounded(r, n), Bounded(region_alias(spark, d), 3 * n), Bounded(region_std(spark, d), n)
+
+
+def climate_meta(spark: SparkSession, d: str, region=None) -> DataFrame:
     """Station metadata: each nation has an old closed record (old address) and
     a current open one; the address starts with the region name."""
     n = read_table(spark, d, "nation", ["n_nationkey", "n_name", "n_regionkey"])
-    r = read_table(spark, d, "region", ["r_regionkey", "r_name"])
+    r = region if region is not None else read_table(spark, d, "region", ["r_regionkey", "r_name"])
     j = lookup_join(n, r, "n_regionkey", "r_regionkey", how="left")
     cur = j.select(F.col("n_nationkey").alias("지점"), F.col("n_name").alias("지점명"),
                    F.concat_ws(" ", "r_name", "n_name").alias("지점주소"),
