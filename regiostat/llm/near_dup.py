@@ -34,7 +34,8 @@ from pyspark.sql import functions as F
 from .common import saved, words
 from .components import components
 
-WIDTH = 4
+#: Words of a shingle.
+WIDTH = 5
 PERCENT = 80
 #: 32 bands of 4: a pair at similarity 0.8 shares no band with probability 5e-8.
 BANDS = 32
@@ -101,7 +102,7 @@ def sketch(s: np.ndarray, coords: int = COORDS) -> np.ndarray:
     return out
 
 
-def _sketches(batches):
+def _sketches(batches, width: int):
     """doc_id, n_shingles, digest of the set, one byte of each coordinate, a key for each band."""
     odd = mixed(np.arange(1, ROWS + 1, dtype=np.uint64)) | np.uint64(1)
     names = ["doc_id", "n_shingles", "d1", "d2", "bytes", "bands"]
@@ -110,7 +111,7 @@ def _sketches(batches):
         for at in range(0, len(texts), 256):
             ids, n, d1, d2, low, bands = batch.column(0).slice(at, 256), [], [], [], [], []
             for t in texts.slice(at, 256).to_pylist():
-                s = shingle_set(t)
+                s = shingle_set(t, width)
                 n.append(len(s))
                 if not len(s):
                     for x in (d1, d2, low, bands):
@@ -128,11 +129,11 @@ def _sketches(batches):
                  pa.array(low, pa.binary()), pa.array(bands, pa.list_(pa.int64()))], names)
 
 
-def _sets(batches):
+def _sets(batches, width: int):
     for batch in batches:
         texts = batch.column(1)
         for at in range(0, len(texts), 256):
-            sets = [shingle_set(t).view(np.int64) for t in texts.slice(at, 256).to_pylist()]
+            sets = [shingle_set(t, width).view(np.int64) for t in texts.slice(at, 256).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, 256).cast(pa.int64()),
                                               pa.array(sets, pa.list_(pa.int64()))], ["doc", "shingles"])
 
@@ -177,14 +178,14 @@ def _divided(buckets: DataFrame, comps: DataFrame | None) -> DataFrame:
     return rows.join(ends, rows["key"] == ends["k"]).select("key", "doc", "comp", "members")
 
 
-def class_links(sketches: DataFrame, docs: DataFrame) -> DataFrame:
+def class_links(sketches: DataFrame, docs: DataFrame, width: int) -> DataFrame:
     """Confirmed links (a, b) that join classes; ``sketches`` has one row a class."""
     bands = sketches.select(F.col("doc_id").alias("doc"), F.explode("bands").alias("key"))
     buckets = saved(_divided(bands, None).select("key", "doc").distinct(), "dup-buckets")
     needed = buckets.select(F.col("doc").alias("needed")).distinct()
     sets = docs.where(F.col("doc_id").isNotNull()).join(needed, F.col("doc_id") == F.col("needed"), "left_semi")
     sets = sets.select("doc_id", "text").dropDuplicates()  # dealt by doc_id already
-    sets = saved(sets.mapInArrow(_sets, "doc long, shingles array<long>"), "dup-sets")
+    sets = saved(sets.mapInArrow(lambda b: _sets(b, width), "doc long, shingles array<long>"), "dup-sets")
 
     links, tested, comps = None, None, None
     for turn in range(HUB_ROUNDS + 1):
@@ -222,16 +223,16 @@ def class_links(sketches: DataFrame, docs: DataFrame) -> DataFrame:
     return links
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def near_duplicates(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every document."""
     docs = docs.select("doc_id", "text")
-    sketches = saved(docs.mapInArrow(_sketches, "doc_id long, n_shingles long, d1 long, d2 long, bytes binary, "
+    sketches = saved(docs.mapInArrow(lambda b: _sketches(b, width), "doc_id long, n_shingles long, d1 long, d2 long, bytes binary, "
                                                 "bands array<long>"), "dup-sketches")
     nodes = sketches.where("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = saved(nodes.groupBy("n_shingles", "d1", "d2").agg(F.min("doc_id").alias("rep")), "dup-classes")
     reps = classes.select(F.col("rep").alias("doc_id"), "n_shingles", "d1", "d2")
     chosen = nodes.join(reps, ["doc_id", "n_shingles", "d1", "d2"], "left_semi")
-    links = class_links(chosen, docs)
+    links = class_links(chosen, docs, width)
     own = ["n_shingles", "d1", "d2"]
     # rows that repeat a doc_id with other texts link the classes of these texts
     repeated = nodes.join(classes, own).where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
@@ -246,7 +247,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return out.withColumn("kept", F.col("doc_id") == F.col("component_id"))
 
 
-def deduplicated(docs: DataFrame) -> DataFrame:
+def deduplicated(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """One document of each group: that with the smallest id; documents without id stay."""
-    verdict = near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("gone")).distinct()
+    verdict = near_duplicates(docs, width).where("not kept").select(F.col("doc_id").alias("gone")).distinct()
     return docs.join(saved(verdict, "dup-gone"), F.col("doc_id") == F.col("gone"), "left_anti")
