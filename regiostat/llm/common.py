@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from regiostat.session import checkpoint_root
@@ -45,6 +45,14 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def saved_counted(df: DataFrame, name: str) -> tuple[DataFrame, dict]:
+    """:func:`saved`, and while writing the number of rows ``n`` and an order-free hash ``h`` of them."""
+    seen = Observation()
+    h = F.sum(F.xxhash64(*df.columns).cast("decimal(20,0)"))
+    out = saved(df.observe(seen, F.count(F.lit(1)).alias("n"), h.alias("h")), name)
+    return out, dict(seen.get)
+
+
 def same_keys(left: DataFrame, right: DataFrame, keys: dict[str, str]):
     """Null-safe equality of ``left[k] = right[v]`` for each pair."""
     return reduce(lambda a, b: a & b, (left[k].eqNullSafe(right[v]) for k, v in keys.items()))

@@ -31,8 +31,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved, words
-from .components import components
+from .common import saved, saved_counted, words
+from .components import components, hooked
 
 #: Words of a shingle.
 WIDTH = 5
@@ -42,7 +42,7 @@ BANDS = 32
 ROWS = 4
 COORDS = BANDS * ROWS
 #: Rounds of hubs before buckets are compared block by block.
-HUB_ROUNDS = 3
+HUB_ROUNDS = 2
 BLOCK = 256
 #: Pairs whose sketches agree in fewer coordinates lie six deviations below the threshold.
 LEAST_AGREE = int(COORDS * (PERCENT / 100 - 6 * (0.8 * 0.2 / COORDS) ** 0.5))
@@ -139,13 +139,13 @@ def _sets(batches, width: int):
 
 
 def confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose full sets reach the threshold."""
+    """The pairs (a, b, ca, cb) whose full sets reach the threshold."""
     left = sets.select(F.col("doc").alias("a"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("doc").alias("b"), F.col("shingles").alias("sb"))
     both = pairs.join(left, "a").join(right, "b")
     both = both.withColumn("common", F.size(F.array_intersect("sa", "sb")))
     union = F.size("sa") + F.size("sb") - F.col("common")
-    return both.where(100 * F.col("common") >= PERCENT * union).select("a", "b")
+    return both.where(100 * F.col("common") >= PERCENT * union).select("a", "b", "ca", "cb")
 
 
 def _block_pairs(rows: pa.Table) -> pa.Table:
@@ -157,70 +157,75 @@ def _block_pairs(rows: pa.Table) -> pa.Table:
     two = np.flatnonzero(side == 1)
     alone = not len(two)
     two = one if alone else two
-    a, b = [], []
+    found = []
     for i in one:
         ok = two[(comp[two] != comp[i]) & (doc[two] > doc[i] if alone else True)]
         ok = ok[(low[ok] == low[i]).sum(axis=1) >= LEAST_AGREE]
-        a += [max(doc[i], doc[j]) for j in ok]
-        b += [min(doc[i], doc[j]) for j in ok]
-    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
-
-
-def _divided(buckets: DataFrame, comps: DataFrame | None) -> DataFrame:
-    """Rows (key, doc, comp) of the buckets whose members are in more than one component."""
-    rows = buckets.select("key", "doc", F.col("doc").alias("comp"))
-    if comps is not None:
-        rows = buckets.join(comps, buckets["doc"] == comps["node"], "left").select(
-            "key", "doc", F.coalesce("component", "doc").alias("comp"))
-        rows = saved(rows, "dup-rows")
+        found += [(doc[i], doc[j], comp[i], comp[j]) if doc[i] > doc[j] else (doc[j], doc[i], comp[j], comp[i]) for j in ok]
+    a, b, ca, cb = zip(*found) if found else ((),) * 4
+    return pa.table({k: pa.array(v, pa.int64()) for k, v in (("a", a), ("b", b), ("ca", ca), ("cb", cb))})
+
+
+def _divided(rows: DataFrame) -> DataFrame:
+    """Rows (key, doc, comp) of the buckets whose members are in more than one component, with their number."""
     ends = rows.groupBy(F.col("key").alias("k")).agg(F.min("comp").alias("low"), F.max("comp").alias("high"),
                                                      F.count("*").alias("members")).where("low <> high")
     return rows.join(ends, rows["key"] == ends["k"]).select("key", "doc", "comp", "members")
 
 
-def class_links(sketches: DataFrame, docs: DataFrame, width: int) -> DataFrame:
-    """Confirmed links (a, b) that join classes; ``sketches`` has one row a class."""
-    bands = sketches.select(F.col("doc_id").alias("doc"), F.explode("bands").alias("key"))
-    buckets = saved(_divided(bands, None).select("key", "doc").distinct(), "dup-buckets")
+def _hub_pairs(rows: DataFrame, turn: int) -> DataFrame:
+    """Each document with the hub it shares most buckets with, of those in another component.
+
+    The hub of a bucket is its smallest member, in later turns one by another hash.
+    """
+    rank = F.col("doc") if turn == 0 else F.xxhash64(F.lit(turn), "key", "comp", "doc")
+    hubs = rows.groupBy(F.col("key").alias("k")).agg(F.min_by(F.struct("doc", "comp"), rank).alias("hub"))
+    pairs = rows.join(hubs, rows["key"] == hubs["k"]).where("comp <> hub.comp")
+    pairs = pairs.groupBy("doc", "comp", "hub").agg(F.count("*").alias("n"))
+    pairs = pairs.groupBy("doc", "comp").agg(F.max_by("hub", F.struct("n", -F.col("hub.doc"))).alias("hub"))
+    return pairs.select(F.col("doc").alias("a"), F.col("hub.doc").alias("b"), F.col("comp").alias("ca"),
+                        F.col("hub.comp").alias("cb"))
+
+
+def _all_pairs(rows: DataFrame, sketches: DataFrame) -> DataFrame:
+    """Every pair of a bucket that lies in two components and could reach the threshold, block by block."""
+    low = sketches.select(F.col("doc_id").alias("d"), "bytes").distinct()
+    cut = rows.join(low, rows["doc"] == low["d"]).drop("d")
+    blocks = F.greatest(F.lit(1), F.ceil(F.col("members") / BLOCK)).cast("int")
+    cut = cut.withColumn("blocks", blocks).withColumn("own", F.pmod(F.hash("doc"), F.col("blocks")))
+    cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    cut = cut.select("key", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"),
+                     (F.col("own") > F.col("other")).cast("int").alias("side"), "doc", "comp", "bytes")
+    return cut.groupBy("key", "x", "y").applyInArrow(_block_pairs, "a long, b long, ca long, cb long").distinct()
+
+
+def class_links(sketches: DataFrame, docs: DataFrame, width: int) -> tuple[DataFrame | None, DataFrame | None]:
+    """Confirmed links (a, b) between classes and the components they gave so far; ``sketches`` has one row a class."""
+    bands = sketches.select(F.col("doc_id").alias("doc"), F.explode("bands").alias("key")).withColumn("comp", F.col("doc"))
+    buckets, state = saved_counted(_divided(bands).select("key", "doc").distinct(), "dup-buckets")
+    if not state["n"]:
+        return None, None
     needed = buckets.select(F.col("doc").alias("needed")).distinct()
     sets = docs.where(F.col("doc_id").isNotNull()).join(needed, F.col("doc_id") == F.col("needed"), "left_semi")
     sets = sets.select("doc_id", "text").dropDuplicates()  # dealt by doc_id already
     sets = saved(sets.mapInArrow(lambda b: _sets(b, width), "doc long, shingles array<long>"), "dup-sets")
 
-    links, tested, comps = None, None, None
+    links, comps = None, None
+    rows = buckets.withColumn("comp", F.col("doc"))
     for turn in range(HUB_ROUNDS + 1):
-        rows = saved(_divided(buckets, comps), "dup-divided")
-        if not rows.limit(1).count():
-            break
+        if comps is not None:
+            own = buckets.join(comps, buckets["doc"] == comps["node"], "left").select(
+                "key", "doc", F.coalesce("component", "doc").alias("comp"))
+            rows, state = saved_counted(_divided(own), "dup-divided")
+            if not state["n"]:
+                break
+        pairs = _hub_pairs(rows, turn) if turn < HUB_ROUNDS else _all_pairs(rows, sketches)
+        found, state = saved_counted(confirm(pairs, sets), "dup-links")
+        if state["n"]:
+            links = found.select("a", "b") if links is None else links.unionByName(found.select("a", "b"))
         if turn < HUB_ROUNDS:
-            # the hub of a bucket: its smallest member, then ones by another hash each round
-            rank = F.col("doc") if turn == 0 else F.xxhash64(F.lit(turn), "key", "comp", "doc")
-            hubs = rows.groupBy(F.col("key").alias("k")).agg(F.min_by(F.struct("doc", "comp"), rank).alias("hub"))
-            pairs = rows.join(hubs, rows["key"] == hubs["k"]).where("comp <> hub.comp")
-            pairs = pairs.groupBy("doc", F.col("hub.doc").alias("hub")).agg(F.count("*").alias("n"))
-            # of the hubs of a document, the one it shares most buckets with
-            pairs = pairs.groupBy("doc").agg(F.max_by("hub", F.struct("n", -F.col("hub"))).alias("hub"))
-            pairs = pairs.select(F.greatest("doc", "hub").alias("a"), F.least("doc", "hub").alias("b"))
-        else:
-            low = sketches.select(F.col("doc_id").alias("d"), "bytes").distinct()
-            pairs = rows.join(low, rows["doc"] == low["d"]).drop("d")
-            blocks = F.greatest(F.lit(1), F.ceil(F.col("members") / BLOCK)).cast("int")
-            pairs = pairs.withColumn("blocks", blocks).withColumn("own", F.pmod(F.hash("doc"), F.col("blocks")))
-            pairs = pairs.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-            pairs = pairs.select("key", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"),
-                                 (F.col("own") > F.col("other")).cast("int").alias("side"), "doc", "comp", "bytes")
-            pairs = pairs.groupBy("key", "x", "y").applyInArrow(_block_pairs, "a long, b long")
-        pairs = pairs.distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = saved(pairs, "dup-pairs")
-        found = saved(confirm(pairs, sets), "dup-links")
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        links = found if links is None else links.unionByName(found)
-        comps = components(links)
-    if links is None:
-        return buckets.select(F.col("doc").alias("a"), F.col("doc").alias("b")).where("false")
-    return links
+            comps = hooked(comps, found)
+    return links, comps
 
 
 def near_duplicates(docs: DataFrame, width: int = WIDTH) -> DataFrame:
@@ -232,13 +237,25 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     classes = saved(nodes.groupBy("n_shingles", "d1", "d2").agg(F.min("doc_id").alias("rep")), "dup-classes")
     reps = classes.select(F.col("rep").alias("doc_id"), "n_shingles", "d1", "d2")
     chosen = nodes.join(reps, ["doc_id", "n_shingles", "d1", "d2"], "left_semi")
-    links = class_links(chosen, docs, width)
+    links, comps = class_links(chosen, docs, width)
     own = ["n_shingles", "d1", "d2"]
     # rows that repeat a doc_id with other texts link the classes of these texts
-    repeated = nodes.join(classes, own).where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    repeated = repeated.join(nodes.groupBy("doc_id").agg(F.countDistinct(*own).alias("n")).where("n > 1"),
-                             F.col("a") == F.col("doc_id"), "left_semi")
-    comps = saved(components(links.unionByName(repeated)), "dup-components")
+    several = nodes.groupBy("doc_id").agg(F.min("d1").alias("low"), F.max("d1").alias("high")).where("low <> high")
+    repeated = nodes.join(classes, own).join(several.select("doc_id"), "doc_id", "left_semi").where("doc_id <> rep")
+    repeated = repeated.select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
+    links = repeated if links is None else links.unionByName(repeated)
+    if comps is None:
+        comps = components(links)
+    else:
+        # what is left between the components so far
+        one = comps.select(F.col("node").alias("x"), F.col("component").alias("xc"))
+        two = comps.select(F.col("node").alias("y"), F.col("component").alias("yc"))
+        left = links.join(one, F.col("a") == F.col("x"), "left").join(two, F.col("b") == F.col("y"), "left")
+        top = components(left.select(F.coalesce("xc", "a").alias("a"), F.coalesce("yc", "b").alias("b")))
+        top = top.select(F.col("node").alias("t"), F.col("component").alias("tc"))
+        moved = comps.join(top, F.col("component") == F.col("t"), "left").select("node", F.coalesce("tc", "component").alias("component"))
+        alone = top.join(comps, F.col("t") == F.col("node"), "left_anti").select(F.col("t").alias("node"), F.col("tc").alias("component"))
+        comps = moved.unionByName(alone)
     rep = sketches.join(classes.withColumnRenamed("n_shingles", "m").withColumnRenamed("d1", "e1").withColumnRenamed("d2", "e2"),
                         (F.col("n_shingles") == F.col("m")) & (F.col("d1") == F.col("e1")) & (F.col("d2") == F.col("e2")), "left")
     out = rep.join(comps, rep["rep"] == comps["node"], "left")
