@@ -36,9 +36,9 @@ from .near_dup import mixed, word_hashes
 WINDOW = 13
 PREFIXES = (2, 4, 8)
 #: Suffixes of a group, about; also the largest count of a prefix that is not extended.
-GROUP = 1_000_000
+GROUP = 700_000
 #: Suffixes of a chunk, whose repeats are resolved before the shuffle.
-CHUNK = 1_500_000
+CHUNK = 700_000
 _G = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -115,35 +115,38 @@ def _counter(share: float):
     return count
 
 
-def spans_by_document(ids, tags, position):
-    """(doc_id, tag, int32 pairs of covered words [start, end)), windows merged; input in order of all three."""
+def spans_of(ids, tags, position):
+    """doc_id, tag, start and end of the covered words, windows merged; input in order of all three."""
     if not len(ids):
-        return
-    new_doc = np.r_[True, (ids[1:] != ids[:-1]) | (tags[1:] != tags[:-1])]
-    new_span = new_doc | np.r_[True, position[1:] > position[:-1] + WINDOW]
-    s = np.flatnonzero(new_span)
+        return (np.empty(0, np.int64),) * 4
+    new = np.r_[True, (ids[1:] != ids[:-1]) | (tags[1:] != tags[:-1]) | (position[1:] > position[:-1] + WINDOW)]
+    s = np.flatnonzero(new)
     e = np.r_[s[1:], len(ids)] - 1
-    pairs = np.stack([position[s], position[e] + WINDOW], 1).astype(np.int32)
-    docs = np.flatnonzero(new_doc[s])
-    for a, b in zip(docs, np.r_[docs[1:], len(s)]):
-        yield int(ids[s[a]]), int(tags[s[a]]), pairs[a:b].tobytes()
+    return ids[s], tags[s], position[s], position[e] + WINDOW
+
+
+def squeezed(*columns: np.ndarray) -> bytes:
+    """Integer columns as deltas in byte planes, compressed."""
+    rest = np.stack([np.diff(x, prepend=0) for x in columns]).astype(np.int64)
+    planes = rest.view(np.uint8).reshape(len(columns), -1, 8).transpose(0, 2, 1)
+    return pa.compress(np.ascontiguousarray(planes).tobytes(), codec="zstd", asbytes=True)
+
+
+def unsqueezed(k: int, n: int, data: bytes) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(data, 8 * k * n, codec="zstd", asbytes=True), np.uint8).reshape(k, 8, n)
+    return np.cumsum(np.ascontiguousarray(planes.transpose(0, 2, 1)).view(np.int64).reshape(k, n), axis=1)
 
 
 def _packed(f, ids, tags, position) -> bytes:
-    """Fingerprints in byte planes, then the compressed deltas of the rest."""
-    rest = np.stack([np.diff(x, prepend=0) for x in (ids, tags, position)]).astype(np.int64)
-    planes = rest.view(np.uint8).reshape(3, len(f), 8).transpose(0, 2, 1)
+    """Fingerprints in byte planes, then the rest."""
     low = f.view(np.uint8).reshape(-1, 8)[:, :7].T
-    return np.ascontiguousarray(low).tobytes() + pa.compress(np.ascontiguousarray(planes).tobytes(), codec="zstd", asbytes=True)
+    return np.ascontiguousarray(low).tobytes() + squeezed(ids, tags, position)
 
 
 def _unpacked(n: int, data: bytes):
     f = np.zeros((n, 8), np.uint8)
     f[:, :7] = np.frombuffer(data, np.uint8, 7 * n).reshape(7, n).T
-    planes = np.frombuffer(pa.decompress(data[7 * n:], 24 * n, codec="zstd", asbytes=True), np.uint8).reshape(3, 8, n)
-    rest = np.ascontiguousarray(planes.transpose(0, 2, 1)).view(np.int64).reshape(3, n)
-    ids, tags, position = np.cumsum(rest, axis=1)
-    return f.view(np.uint64).ravel(), ids, tags, position
+    return f.view(np.uint64).ravel(), *unsqueezed(3, n, data[7 * n:])
 
 
 def _later(f, ids):
@@ -170,13 +173,14 @@ def _splitter(groups: int, frequent: list[np.ndarray]):
                 key[open_] = deeper[open_]
             group = (mixed(key) % np.uint64(groups)).astype(np.int64)
             later = _later(f, ids)
-            g, n, data, doc, tag = [], [], [], [], []
-            for d, t, spans in spans_by_document(ids[later], tags[later], position[later]):
-                g.append(d % groups)
-                n.append(0)
-                data.append(spans)
-                doc.append(d)
-                tag.append(t)
+            g, n, kind, data = [], [], [], []
+            # what the chunk has settled itself goes along, to any group
+            done = spans_of(ids[later], tags[later], position[later])
+            if len(done[0]):
+                g.append(int(done[0][0] % groups))
+                n.append(len(done[0]))
+                kind.append(1)
+                data.append(squeezed(*done))
             order = np.flatnonzero(~later)
             order = order[np.argsort(group[order], kind="stable")]
             ends = np.searchsorted(group[order], np.arange(groups + 1))
@@ -184,52 +188,63 @@ def _splitter(groups: int, frequent: list[np.ndarray]):
                 own = order[ends[i]:ends[i + 1]]
                 g.append(int(i))
                 n.append(len(own))
+                kind.append(0)
                 data.append(_packed(f[own], ids[own], tags[own], position[own]))
-                doc.append(None)
-                tag.append(None)
-            out = pa.RecordBatch.from_arrays(
-                [pa.array(g, pa.int32()), pa.array(n, pa.int32()), pa.array(data, pa.binary()),
-                 pa.array(doc, pa.int64()), pa.array(tag, pa.int64())], ["grp", "n", "data", "doc", "tag"])
+            out = pa.RecordBatch.from_arrays([pa.array(g, pa.int32()), pa.array(n, pa.int32()), pa.array(kind, pa.int32()),
+                                              pa.array(data, pa.binary())], ["grp", "n", "kind", "data"])
             for at in range(0, out.num_rows, 64):
                 yield out.slice(at, 64)
 
     return split
 
 
-def _subtree(rows: pa.Table) -> pa.Table:
-    """The repeats of one group of suffixes; finished spans pass through."""
-    doc, tag, data, parts = [], [], [], []
-    for n, blob, d, t in zip(*(rows[c].to_pylist() for c in ("n", "data", "doc", "tag"))):
-        if n:
-            parts.append(_unpacked(n, blob))
-        else:
-            doc.append(d)
-            tag.append(t)
-            data.append(blob)
-    if parts:
-        f, ids, tags, position = (np.concatenate(x) for x in zip(*parts))
-        later = np.flatnonzero(_later(f, ids))
-        later = later[np.lexsort((position[later], tags[later], ids[later]))]
-        for d, t, spans in spans_by_document(ids[later], tags[later], position[later]):
-            doc.append(d)
-            tag.append(t)
-            data.append(spans)
-    return pa.table({"doc": pa.array(doc, pa.int64()), "tag": pa.array(tag, pa.int64()), "data": pa.array(data, pa.binary())})
-
-
-def merged(blobs) -> np.ndarray:
-    """Disjoint ascending spans of packed int32 pairs."""
-    pairs = np.frombuffer(b"".join(blobs), np.int32).reshape(-1, 2)
-    if not len(pairs):
-        return pairs
-    pairs = pairs[np.argsort(pairs[:, 0], kind="stable")]
+def _subtree(buckets: int):
+    def build(rows: pa.Table) -> pa.Table:
+        """The repeats of one group of suffixes, packed for each bucket of documents."""
+        leaves, found = [], []
+        for n, kind, data in zip(*(rows[c].to_pylist() for c in ("n", "kind", "data"))):
+            if kind:
+                found.append(unsqueezed(4, n, data))
+            else:
+                leaves.append(_unpacked(n, data))
+        if leaves:
+            f, ids, tags, position = (np.concatenate(x) for x in zip(*leaves))
+            del leaves
+            later = np.flatnonzero(_later(f, ids))
+            later = later[np.lexsort((position[later], tags[later], ids[later]))]
+            found.append(spans_of(ids[later], tags[later], position[later]))
+        spans = [np.concatenate(x) for x in zip(*found)]
+        bucket = (mixed(spans[0].view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+        order = np.lexsort((spans[2], spans[1], spans[0], bucket))
+        ends = np.searchsorted(bucket[order], np.arange(buckets + 1))
+        full = np.flatnonzero(np.diff(ends))
+        parts = [order[ends[i]:ends[i + 1]] for i in full]
+        return pa.table({"bucket": pa.array(full, pa.int32()), "n": pa.array([len(p) for p in parts], pa.int32()),
+                         "data": pa.array([squeezed(*(x[p] for x in spans)) for p in parts], pa.binary())})
+
+    return build
+
+
+def _by_document(rows: pa.Table) -> pa.Table:
+    """The merged spans of each document of a bucket."""
+    parts = [unsqueezed(4, n, data) for n, data in zip(rows["n"].to_pylist(), rows["data"].to_pylist())]
+    ids, tags, start, end = np.concatenate(parts, axis=1)
+    order = np.lexsort((start, tags, ids))
+    ids, tags, pairs = ids[order], tags[order], np.stack([start, end], 1)[order]
+    first = np.flatnonzero(np.r_[True, (ids[1:] != ids[:-1]) | (tags[1:] != tags[:-1])])
+    spans = [merged(pairs[a:b]).astype(np.int32).tobytes() for a, b in zip(first, np.r_[first[1:], len(ids)])]
+    return pa.table({"doc": pa.array(ids[first]), "own": pa.array(tags[first]), "spans": pa.array(spans, pa.binary())})
+
+
+def merged(pairs: np.ndarray) -> np.ndarray:
+    """Disjoint ascending spans of spans in order of their starts."""
     reach = np.maximum.accumulate(pairs[:, 1])
     first = np.flatnonzero(np.r_[True, pairs[1:, 0] > reach[:-1]])
     return np.stack([pairs[first, 0], reach[np.r_[first[1:], len(pairs)] - 1]], 1)
 
 
 @F.arrow_udf(T.BinaryType())
-def _squeezed(texts: pa.Array) -> pa.Array:
+def _packed_text(texts: pa.Array) -> pa.Array:
     out = []
     for t in texts.to_pylist():
         raw = b"" if t is None else t.encode()
@@ -248,9 +263,9 @@ _SPAN = T.StructType().add("start", T.IntegerType()).add("end", T.IntegerType())
              .add("kept_sha256", T.StringType()).add("spans", T.ArrayType(_SPAN)))
 def _verdict(texts: pa.Array, blobs: pa.Array) -> pa.Array:
     rows = []
-    for data, parts in zip(texts.to_pylist(), blobs.to_pylist()):
+    for data, packed in zip(texts.to_pylist(), blobs.to_pylist()):
         w = _text(data).split()
-        spans = merged(parts or ())
+        spans = np.frombuffer(packed or b"", np.int32).reshape(-1, 2)
         kept, at = [], 0
         for s, e in spans.tolist():
             kept += w[at:s]
@@ -264,7 +279,7 @@ def _verdict(texts: pa.Array, blobs: pa.Array) -> pa.Array:
 
 
 def repeat_spans(docs: DataFrame, group: int = GROUP) -> DataFrame:
-    """doc, tag and packed spans of repeated words; ``docs`` has doc_id, tag, text."""
+    """doc, own (its tag) and packed spans of repeated words, a row for each document that has some; ``docs`` has doc_id, tag, text."""
     spark = docs.sparkSession
     rows = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
     total = docs.select(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -284,8 +299,9 @@ def repeat_spans(docs: DataFrame, group: int = GROUP) -> DataFrame:
     def split(batches):
         return _splitter(groups, shared.value)(batches)
 
-    parts = rows.mapInArrow(split, "grp int, n int, data binary, doc long, tag long")
-    return parts.groupBy("grp").applyInArrow(_subtree, "doc long, tag long, data binary")
+    parts = rows.mapInArrow(split, "grp int, n int, kind int, data binary")
+    found = parts.groupBy("grp").applyInArrow(_subtree(groups), "bucket int, n int, data binary")
+    return found.groupBy("bucket").applyInArrow(_by_document, "doc long, own long, spans binary")
 
 
 def tagged(docs: DataFrame) -> DataFrame:
@@ -298,9 +314,8 @@ def tagged(docs: DataFrame) -> DataFrame:
 def dedup_substrings(docs: DataFrame, group: int = GROUP) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 and the removed word spans of every document."""
     docs = tagged(docs)
-    found = repeat_spans(docs, group).groupBy("doc", "tag").agg(F.collect_set("data").alias("blobs"))
-    found = found.withColumnRenamed("tag", "own")
-    texts = docs.select("doc_id", "tag", _squeezed("text").alias("squeezed"))
+    found = repeat_spans(docs, group)
+    texts = docs.select("doc_id", "tag", _packed_text("text").alias("packed"))
     out = texts.join(found, (F.col("doc_id") == F.col("doc")) & (F.col("tag") == F.col("own")), "left")
-    return out.select("doc_id", _verdict("squeezed", "blobs").alias("v")).select(
+    return out.select("doc_id", _verdict("packed", "spans").alias("v")).select(
         "doc_id", "v.n_words", "v.n_removed", "v.kept_sha256", "v.spans")
