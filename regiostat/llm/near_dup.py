@@ -190,6 +190,7 @@ def _hub_pairs(rows: DataFrame, turn: int) -> DataFrame:
 def _all_pairs(rows: DataFrame, sketches: DataFrame) -> DataFrame:
     """Every pair of a bucket that lies in two components and could reach the threshold, block by block."""
     low = sketches.select(F.col("doc_id").alias("d"), "bytes").distinct()
+    rows = rows if "members" in rows.columns else _divided(rows)
     cut = rows.join(low, rows["doc"] == low["d"]).drop("d")
     blocks = F.greatest(F.lit(1), F.ceil(F.col("members") / BLOCK)).cast("int")
     cut = cut.withColumn("blocks", blocks).withColumn("own", F.pmod(F.hash("doc"), F.col("blocks")))
