@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
 from regiostat.operators.filters import drop_null_keys
+from regiostat.session import materialize
 
 # (output name, function, input column)
 AggSpec = Sequence[tuple[str, str, str]]
@@ -103,7 +104,8 @@ def _ranked(vc: DataFrame, partitions: int | None) -> DataFrame:
     Distinct values are unique keys, so range partitioning balances even when
     one value holds a third of the rows (its count is one row here)."""
     n = partitions or vc.sparkSession.sparkContext.defaultParallelism
-    ranged = vc.repartitionByRange(n, "column", "v").withColumn("_pid", F.spark_partition_id())
+    # materialized: values and slice totals must see the same sampled bounds
+    ranged = materialize(vc.repartitionByRange(n, "column", "v").withColumn("_pid", F.spark_partition_id()))
     w_local = Window.partitionBy("column", "_pid").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
     local = ranged.withColumn("_before", F.coalesce(F.sum("_c").over(w_local), F.lit(0)))
     slices = ranged.groupBy("column", "_pid").agg(F.sum("_c").alias("_slice"))
@@ -115,7 +117,7 @@ def _ranked(vc: DataFrame, partitions: int | None) -> DataFrame:
 
 
 def profile(df: DataFrame, cols: Sequence[str], quantiles: Sequence[float] = (0.25, 0.5, 0.75),
-            std_scale: int | None = 6, mean_scale: int = 6,
+            std_scale: int | None = None, mean_scale: int | None = None,
             partitions: int | None = None, cut_lineage: bool = True) -> DataFrame:
     """``describe()`` as a long table, one row per input column:
     (column, count, n_distinct, mean, std, min, p25, p50, p75, max).
@@ -123,8 +125,9 @@ def profile(df: DataFrame, cols: Sequence[str], quantiles: Sequence[float] = (0.
     The table is scanned once, into per-column value counts (partial
     aggregation collapses repeated values); with ``cut_lineage`` that table is
     checkpointed to the cluster's checkpoint folder and every statistic is
-    derived from it.  The mean is Σx/count with Σx summed exactly as
-    DECIMAL(38, mean_scale); std is two-pass sample std; quantiles are exact
+    derived from it.  Mean and std are plain doubles, the std two-pass and of
+    the sample; a ``mean_scale`` sums exactly as DECIMAL(38, mean_scale) and a
+    ``std_scale`` rounds, for comparisons only; quantiles are exact
     with numpy's linear interpolation at position ``(count-1)*q`` (pandas).  No group is ever collected into one task.
     """
     from regiostat.functions.scalars import round_half_even
@@ -139,10 +142,10 @@ def profile(df: DataFrame, cols: Sequence[str], quantiles: Sequence[float] = (0.
     if cut_lineage:
         checkpoint_root(df.sparkSession)
         vc = vc.checkpoint(eager=True)
-    dec = f"decimal(38,{mean_scale})"
+    value = F.col("v") if mean_scale is None else F.col("v").cast(f"decimal(38,{mean_scale})")
     basic = vc.groupBy("column").agg(
         F.sum("_c").alias("count"), F.count(F.lit(1)).alias("n_distinct"),
-        (F.sum(F.col("v").cast(dec) * F.col("_c")).cast("double") / F.sum("_c")).alias("mean"),
+        (F.sum(value * F.col("_c")).cast("double") / F.sum("_c")).alias("mean"),
         F.min("v").alias("min"), F.max("v").alias("max"))
     # per-column summary: one row per column, broadcast by construction
     b = F.broadcast(basic.select("column", "count", "mean"))

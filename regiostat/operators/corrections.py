@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from regiostat.functions.scalars import round_half_even
 from regiostat.operators.filters import contains_literal
-from regiostat.operators.joins import Bounded, broadcast_if_small, frame
+from regiostat.operators.joins import Bounded, broadcast_if_small, frame, is_small
 
 
 def point_update(df: DataFrame, rules: DataFrame, match_col: str, target_col: str,
@@ -45,7 +45,8 @@ def same_period_override(df: DataFrame, rules: DataFrame, keys: Sequence[str],
     keys = list(keys)
     rk = keys + [period]
     sel = frame(rules).select(*rk, "src_year", "dst_year")
-    rules_b = broadcast_if_small(Bounded(sel, rules.rows) if isinstance(rules, Bounded) else sel)
+    small = is_small(Bounded(sel, rules.rows) if isinstance(rules, Bounded) else sel)
+    rules_b = F.broadcast(sel) if small else sel
     rules = frame(rules)
     src = df.join(rules_b.withColumnRenamed("src_year", year), on=rk + [year], how="inner")
     order = F.col(order_col) if order_col else F.lit(0)
@@ -57,9 +58,9 @@ def same_period_override(df: DataFrame, rules: DataFrame, keys: Sequence[str],
             src.withColumnRenamed(year, "dst_year"), on=rk + ["dst_year"], how="left_anti").limit(1).collect()
         if missing:
             raise ValueError(f"same_period_override: no source row for rule {tuple(missing[0])}")
-    # src holds at most one row per rule (grouped by the rule keys), and the
-    # rule table passed the size check above: a proven bound, no recount.
-    out = df.join(F.broadcast(src), on=rk + [year], how="left")
+    # src holds at most one row per rule (grouped by the rule keys): the answer
+    # of the rule table's size check holds for it too
+    out = df.join(F.broadcast(src) if small else src, on=rk + [year], how="left")
     return (out.withColumns({c: F.when(F.col("_hit"), F.col(f"_src.{c}")).otherwise(F.col(c))
                              for c in value_cols})
                .drop("_src", "_hit").select(*df.columns))

@@ -89,10 +89,15 @@ def split_by_slot(typed: DataFrame, slot_keys: Sequence[str]) -> tuple[DataFrame
     map side); the good rows are those whose slot is not among them.  Returns
     (good rows, dead-letter rows with a reason).
     """
-    keys = list(slot_keys)
-    bad_slots = typed.where(F.col("_bad")).select(*keys).distinct()
-    good = typed.join(broadcast_if_small(bad_slots), on=keys, how="left_anti").drop("_bad")
-    rejected = (typed.join(broadcast_if_small(bad_slots), on=keys, how="left_semi")
+    # keys are compared null-safely: a slot whose key could not be read is bad
+    # as a whole and must match itself
+    bad_slots = typed.where(F.col("_bad")).select(*[F.col(k).alias(f"_slot_{k}") for k in slot_keys]).distinct()
+    side = broadcast_if_small(bad_slots)
+    same = F.lit(True)
+    for k in slot_keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_slot_{k}"))
+    good = typed.join(side, on=same, how="left_anti").drop("_bad")
+    rejected = (typed.join(side, on=same, how="left_semi")
                      .withColumn("reason", F.when(F.col("_bad"), F.lit("invalid value"))
                                  .otherwise(F.lit("slot rejected")))
                      .drop("_bad"))

@@ -66,7 +66,8 @@ def frame(df) -> DataFrame:
 
 def assert_unique(df, keys: Sequence[str], what: str = "lookup"):
     """Fail when ``keys`` repeat (a duplicated alias would fan rows out, O-34a)."""
-    dup = (frame(df).where(F.greatest(*[F.col(k).isNotNull() for k in keys], F.lit(True)))
+    # a NULL key joins nothing, so it cannot fan out
+    dup = (frame(df).dropna(subset=list(keys))
              .groupBy(*keys).count().where(F.col("count") > 1).limit(5).collect())
     if dup:
         raise ValueError(f"{what}: duplicate keys {[tuple(r)[:-1] for r in dup]}")

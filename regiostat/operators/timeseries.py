@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from regiostat.operators.joins import broadcast_if_small
+from regiostat.session import materialize
 
 
 def _keys_present(keys: Sequence[str]) -> Column:
@@ -30,6 +31,12 @@ def _order_cols(order: Sequence[str]) -> list[Column]:
     return [F.col(o).asc_nulls_last() for o in order]
 
 
+def _reverse_cols(order: Sequence[str]) -> list[Column]:
+    # looking ahead is looking back in the reversed order: a growing frame is
+    # evaluated once per row, a shrinking one anew for each row
+    return [F.col(o).desc_nulls_first() for o in order]
+
+
 def pct_change(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str,
                out: str, periods: int = 1, scale: float = 100.0) -> DataFrame:
     """``groupby(keys)[value].pct_change(periods) * scale`` by row offset (O-44a/b, S14).
@@ -99,12 +106,13 @@ def interpolate_linear(df: DataFrame, keys: Sequence[str], order: Sequence[str],
 def _interpolate_plain(df, keys, order, cols):
     w = Window.partitionBy(*keys).orderBy(*_order_cols(order))
     back = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    fwd = w.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    fwd = Window.partitionBy(*keys).orderBy(*_reverse_cols(order)).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
     out = df.withColumn("_i", F.row_number().over(w))
     for c in cols:
         idx = F.when(F.col(c).isNotNull(), F.col("_i"))
         pv, pi = F.last(c, True).over(back), F.last(idx, True).over(back)
-        nv, ni = F.first(c, True).over(fwd), F.first(idx, True).over(fwd)
+        nv, ni = F.last(c, True).over(fwd), F.last(idx, True).over(fwd)
         out = out.withColumn(c, F.when(_keys_present(keys), _interp_expr(c, pv, pi, nv, ni, F.col("_i"))))
     return out.drop("_i")
 
@@ -120,13 +128,14 @@ def _interpolate_blocked(df, keys, order, cols, block):
     src = tagged.where(present)
     w = Window.partitionBy(*bk).orderBy(*_order_cols(order))
     back = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    fwd = w.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    fwd = Window.partitionBy(*bk).orderBy(*_reverse_cols(order)).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
     loc = src.withColumn("_li", F.row_number().over(w))
     for c in cols:
         idx = F.when(F.col(c).isNotNull(), F.col("_li"))
         loc = loc.withColumns({
             f"_pv_{c}": F.last(c, True).over(back), f"_pi_{c}": F.last(idx, True).over(back),
-            f"_nv_{c}": F.first(c, True).over(fwd), f"_ni_{c}": F.first(idx, True).over(fwd)})
+            f"_nv_{c}": F.last(c, True).over(fwd), f"_ni_{c}": F.last(idx, True).over(fwd)})
     # one summary row per (key, block): size, last and first non-missing (value, local index)
     aggs = [F.count(F.lit(1)).alias("_n")]
     for c in cols:
@@ -136,7 +145,8 @@ def _interpolate_blocked(df, keys, order, cols, block):
     summ = loc.groupBy(*bk).agg(*aggs)
     ws = Window.partitionBy(*keys).orderBy(F.col("_blk").asc_nulls_last())
     before = ws.rowsBetween(Window.unboundedPreceding, -1)
-    after = ws.rowsBetween(1, Window.unboundedFollowing)
+    after = Window.partitionBy(*keys).orderBy(F.col("_blk").desc_nulls_first()).rowsBetween(
+        Window.unboundedPreceding, -1)
     summ = summ.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0)))
     carry = {}
     for c in cols:
@@ -146,8 +156,8 @@ def _interpolate_blocked(df, keys, order, cols, block):
         carry.update({
             f"_cpv_{c}": F.last(f"_bl_v_{c}", True).over(before),
             f"_cpi_{c}": F.last(f"_gl_{c}", True).over(before),
-            f"_cnv_{c}": F.first(f"_bf_v_{c}", True).over(after),
-            f"_cni_{c}": F.first(f"_gf_{c}", True).over(after)})
+            f"_cnv_{c}": F.last(f"_bf_v_{c}", True).over(after),
+            f"_cni_{c}": F.last(f"_gf_{c}", True).over(after)})
     summ = summ.withColumns(carry).select(*bk, "_off", *carry.keys())
     j = loc.join(summ, on=bk, how="inner")
     i = F.col("_off") + F.col("_li")
@@ -170,10 +180,13 @@ def surrogate_ids(df: DataFrame, start_after: Column | int, order: Sequence[str]
     inside each slice, and each slice is offset by the sizes of the slices
     before it (a prefix over one row per slice).  ``order`` must be unique.
     ``start_after`` may be a literal or a column already joined onto ``df``.
+    The slices are materialized, so that the rows and the slice sizes see the
+    same sampled range bounds.
     """
     n = partitions or df.sparkSession.sparkContext.defaultParallelism
     ranged = df.repartitionByRange(n, *[F.col(o).asc_nulls_last() for o in order]) \
                .withColumn("_pid", F.spark_partition_id())
+    ranged = materialize(ranged)
     local = ranged.withColumn("_rn", F.row_number().over(
         Window.partitionBy("_pid").orderBy(*_order_cols(order))))
     sizes = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))

@@ -364,7 +364,8 @@ def profile(spark: SparkSession, d: str) -> DataFrame:
     """``describe()`` of the numeric lineitem columns with exact quartiles (O-41, O-40f, O-40j)."""
     configure(spark)
     li = read_table(spark, d, "lineitem", ["l_quantity", "l_extendedprice", "l_discount", "l_tax"])
-    return profile_op(li, ["l_quantity", "l_extendedprice", "l_discount", "l_tax"])
+    # scales only so that the comparison with SQL does not depend on the order of summation
+    return profile_op(li, ["l_quantity", "l_extendedprice", "l_discount", "l_tax"], std_scale=6, mean_scale=6)
 
 
 def top_preview(spark: SparkSession, d: str) -> DataFrame:
@@ -596,7 +597,7 @@ def climate_trend_profile(spark: SparkSession, d: str) -> DataFrame:
     from regiostat.plans.climate import fact_climate_trend
     configure(spark)
     fact = fact_climate_trend(_climate_silver(spark, d), complete_years_only=True)
-    return profile_op(fact, TREND_PROFILE_COLS)
+    return profile_op(fact, TREND_PROFILE_COLS, std_scale=6, mean_scale=6)
 
 
 def climate_silver_summary(spark: SparkSession, d: str) -> DataFrame:

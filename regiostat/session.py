@@ -83,6 +83,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = sc.getCheckpointDir()
     if not root:
+        if not (sc.master or "").startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="regiostat-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
@@ -93,8 +95,8 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the shared checkpoint root."""
     root = checkpoint_root(spark)
     path = f"{root}/regiostat/{name}-{uuid.uuid4().hex[:12]}"
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(path.replace("file:", "", 1), exist_ok=True)
+    if path.startswith(("file:", "/")) and spark.sparkContext.master.startswith("local"):
+        os.makedirs(path.replace("file://", "", 1).replace("file:", "", 1), exist_ok=True)
     return path
 
 

@@ -225,3 +225,47 @@ def test_surrogate_ids_distributed(spark):
     df = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("k")).repartition(5)
     out = surrogate_ids(df, 100, ["k"], partitions=7).orderBy("k").collect()
     assert [r.id for r in out] == list(range(101, 1101))
+
+
+def test_surrogate_ids_without_gaps_beside_payload(spark):
+    from regiostat.operators.timeseries import surrogate_ids
+    df = spark.range(200_000).select((F.col("id") * 7919 % 200_003).alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("p"))
+    out = surrogate_ids(df, 0, ["k"], partitions=8)
+    got = out.agg(F.count("*").alias("n"), F.countDistinct("id").alias("d"), F.min("id").alias("a"), F.max("id").alias("b")).first()
+    assert tuple(got) == (200_000, 200_000, 1, 200_000)
+
+
+def test_split_by_slot_null_key(spark):
+    from regiostat.operators.ingest import split_by_slot
+    df = spark.createDataFrame([(1, None, True), (1, None, False), (1, 2020, False), (2, 2020, True), (2, 2020, False)],
+                               "sd_code int, year int, _bad boolean")
+    good, rejected = split_by_slot(df, ["sd_code", "year"])
+    assert [tuple(r) for r in good.collect()] == [(1, 2020)]
+    assert rejected.count() == 4
+
+
+def test_profile_keeps_small_and_large_values(spark):
+    df = spark.createDataFrame([(1e-7, 1e40), (2e-7, 2e40), (3e-7, None), (4e-7, None)], "a double, b double")
+    r = {x.column: x for x in profile(df, ["a", "b"], partitions=2).collect()}
+    assert abs(r["a"]["mean"] - 2.5e-7) < 1e-18 and abs(r["a"]["std"] - 1.2909944487358056e-07) < 1e-18
+    assert abs(r["b"]["mean"] / 1.5e40 - 1) < 1e-12 and abs(r["b"]["std"] / 7.0710678118654752e39 - 1) < 1e-12
+
+
+def test_unique_keys_ignore_nulls(spark):
+    from regiostat.operators.joins import assert_unique
+    assert_unique(spark.createDataFrame([(None,), (None,), ("a",)], "k string"), ["k"])
+
+
+def test_interpolation_of_one_long_key(spark):
+    import time
+    from regiostat.operators.timeseries import interpolate_linear
+    took = []
+    for n in (40_000, 160_000):
+        df = spark.range(n).select(F.lit("k").alias("k"), F.col("id").alias("i"),
+                                   F.when(F.col("id") % 5 == 0, F.col("id").cast("double")).alias("x"))
+        t = time.time()
+        out = interpolate_linear(df, ["k"], ["i"], ["x"])
+        last = n - 1 - (n - 1) % 5
+        assert out.where(F.abs(F.col("x") - F.least("i", F.lit(last))) > 1e-9).count() == 0
+        took.append(time.time() - t)
+    assert took[1] < 60

@@ -5,15 +5,16 @@ import pytest
 from conftest import SF_MID, SF_SMALL, have
 from oracle_compare import compare, duck
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry, oracle_sql
+from regiostat.plans.catalog import QUERIES
 
-FAST = [n for n in queries() if n not in ("incremental_ingest",)]
+FAST = [n for n in QUERIES if n not in ("incremental_ingest",)]
 
 
 @pytest.mark.skipif(not have(SF_MID), reason="test tables absent")
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_oracle_sf001(spark, name):
-    info = compare(spark, name, queries()[name], oracle_sql()[name], SF_MID, duck(SF_MID))
+    info = compare(spark, name, QUERIES[name], oracle_sql()[name], SF_MID, duck(SF_MID))
     assert "error" not in info, info
     assert info["spark_rows"] == info["oracle_rows"]
 
@@ -33,14 +34,14 @@ def _plan(df):
 @pytest.mark.parametrize("name", [n for n in FAST if n not in ("json_explode", "write_read_roundtrip",
                                                                 "csv_legacy_charset")])
 def test_plan_has_no_python(spark, name):
-    plan = _plan(queries()[name](spark, SF_SMALL))
+    plan = _plan(QUERIES[name](spark, SF_SMALL))
     for bad in ("PythonUDF", "ArrowEvalPython", "BatchEvalPython", "FlatMapGroupsInPandas", "CartesianProduct"):
         assert bad not in plan, f"{name}: {bad}"
 
 
 @pytest.mark.skipif(not have(SF_SMALL), reason="test tables absent")
 def test_lookups_broadcast_and_scan_pruned(spark):
-    df = queries()["region_year_trend"](spark, SF_SMALL)
+    df = QUERIES["region_year_trend"](spark, SF_SMALL)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan
     # the orders scan reads only the three columns the query uses, and the join
@@ -59,6 +60,6 @@ GLOBAL_AGG = {"climate_silver_summary"}
 @pytest.mark.skipif(not have(SF_SMALL), reason="test tables absent")
 @pytest.mark.parametrize("name", [n for n in FAST if n not in SURROGATE | GLOBAL_AGG])
 def test_plan_has_no_single_partition_step(spark, name):
-    plan = _plan(queries()[name](spark, SF_SMALL))
+    plan = _plan(QUERIES[name](spark, SF_SMALL))
     for bad in ("SinglePartition", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert bad not in plan, f"{name}: {bad}"
