@@ -3,7 +3,7 @@
 import pytest
 
 from conftest import SF_SMALL, have
-from __spark_entry__ import queries
+from regiostat.plans.catalog import QUERIES
 from regiostat.session import scratch_path
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
@@ -18,9 +18,9 @@ def empty_dir(spark):
 
 
 @pytest.mark.skipif(not have(SF_SMALL), reason="test tables absent")
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_on_empty_tables(spark, empty_dir, name):
-    rows = queries()[name](spark, empty_dir).collect()
+    rows = QUERIES[name](spark, empty_dir).collect()
     if name == "profile":
         assert [r["count"] for r in rows] == [0, 0, 0, 0]
     elif name not in ("clean_headers", "climate_silver_summary", "climate_trend_profile"):
