@@ -42,7 +42,9 @@ BANDS = 32
 ROWS = 4
 COORDS = BANDS * ROWS
 #: Rounds of hubs before buckets are compared block by block.
-HUB_ROUNDS = 2
+HUB_ROUNDS = 4
+#: Hubs that a document is held against in a round after the first.
+HUBS = 4
 BLOCK = 256
 #: Pairs whose sketches agree in fewer coordinates lie six deviations below the threshold.
 LEAST_AGREE = int(COORDS * (PERCENT / 100 - 6 * (0.8 * 0.2 / COORDS) ** 0.5))
@@ -174,7 +176,7 @@ def _divided(rows: DataFrame) -> DataFrame:
 
 
 def _hub_pairs(rows: DataFrame, turn: int) -> DataFrame:
-    """Each document with the hub it shares most buckets with, of those in another component.
+    """Each document with the hubs it shares most buckets with, of those in another component.
 
     The hub of a bucket is its smallest member, in later turns one by another hash.
     """
@@ -182,7 +184,11 @@ def _hub_pairs(rows: DataFrame, turn: int) -> DataFrame:
     hubs = rows.groupBy(F.col("key").alias("k")).agg(F.min_by(F.struct("doc", "comp"), rank).alias("hub"))
     pairs = rows.join(hubs, rows["key"] == hubs["k"]).where("comp <> hub.comp")
     pairs = pairs.groupBy("doc", "comp", "hub").agg(F.count("*").alias("n"))
-    pairs = pairs.groupBy("doc", "comp").agg(F.max_by("hub", F.struct("n", -F.col("hub.doc"))).alias("hub"))
+    # a document lies in BANDS buckets at most, so it has at most as many hubs
+    every = F.collect_list(F.struct("n", (-F.col("hub.doc")).alias("order"), "hub"))
+    chosen = F.slice(F.sort_array(every, asc=False), 1, 1 if turn == 0 else HUBS)
+    pairs = pairs.groupBy("doc", "comp").agg(chosen.alias("chosen"))
+    pairs = pairs.select("doc", "comp", F.explode("chosen.hub").alias("hub"))
     return pairs.select(F.col("doc").alias("a"), F.col("hub.doc").alias("b"), F.col("comp").alias("ca"),
                         F.col("hub.comp").alias("cb"))
 
