@@ -12,9 +12,10 @@ full sets.  Which links are tried follows the components found so far: a
 bucket whose members already are in one component needs no further test.
 First every member is held against one hub of a bucket, in a few rounds; what
 stays divided is compared block by block, all members against all, by their
-sketches, and every pair that could reach the threshold is confirmed.  So a
-group of thousands of copies costs a few tests a document, and no pair of a
-bucket is left out.
+sketches and then by their sets of shortened hashes; every pair that could
+reach the threshold is confirmed.  So a group of thousands of copies costs a
+few tests a document, no pair of a bucket is left out, and a group whose pairs
+lie just below the threshold makes no rows of pairs.
 
 Defined cases: a null or empty text, or one without words, has no shingles
 and is linked with nothing; a shorter text than one shingle is one shingle;
@@ -42,10 +43,12 @@ BANDS = 32
 ROWS = 4
 COORDS = BANDS * ROWS
 #: Rounds of hubs before buckets are compared block by block.
-HUB_ROUNDS = 4
+HUB_ROUNDS = 2
 #: Hubs that a document is held against in a round after the first.
 HUBS = 4
 BLOCK = 256
+#: Shingles that the documents of a block have together, about.
+BLOCK_SHINGLES = 1 << 20
 #: Pairs whose sketches agree in fewer coordinates lie six deviations below the threshold.
 LEAST_AGREE = int(COORDS * (PERCENT / 100 - 6 * (0.8 * 0.2 / COORDS) ** 0.5))
 
@@ -151,10 +154,18 @@ def confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _block_pairs(rows: pa.Table) -> pa.Table:
-    """Pairs of two blocks (or within one) in different components whose sketches agree enough."""
+    """Pairs of two blocks (or within one) in different components that could reach the threshold.
+
+    Sketches that agree too seldom go first.  Of the rest, the shortened
+    hashes of one set are looked up in the other's: that counts all common
+    shingles, and chance hits besides, so no link is lost.
+    """
     doc, comp = rows["doc"].to_numpy(), rows["comp"].to_numpy()
     side = rows["side"].to_numpy()
     low = np.frombuffer(b"".join(rows["bytes"].to_pylist()), np.uint8).reshape(len(doc), -1)
+    sets = rows["short"].combine_chunks()
+    at, short = sets.offsets.to_numpy(), sets.values.to_numpy()
+    size = np.diff(at)
     one = np.flatnonzero(side == 0)
     two = np.flatnonzero(side == 1)
     alone = not len(two)
@@ -163,16 +174,25 @@ def _block_pairs(rows: pa.Table) -> pa.Table:
     for i in one:
         ok = two[(comp[two] != comp[i]) & (doc[two] > doc[i] if alone else True)]
         ok = ok[(low[ok] == low[i]).sum(axis=1) >= LEAST_AGREE]
+        ok = ok[100 * np.minimum(size[ok], size[i]) >= PERCENT * np.maximum(size[ok], size[i])]
+        if not len(ok):
+            continue
+        own = np.sort(short[at[i]:at[i + 1]])
+        start = np.cumsum(size[ok]) - size[ok]
+        theirs = short[np.repeat(at[ok] - start, size[ok]) + np.arange(size[ok].sum())]
+        hit = own[np.minimum(np.searchsorted(own, theirs), len(own) - 1)] == theirs
+        common = np.add.reduceat(hit, start, dtype=np.int64)
+        ok = ok[100 * common >= PERCENT * (size[ok] + size[i] - common)]
         found += [(doc[i], doc[j], comp[i], comp[j]) if doc[i] > doc[j] else (doc[j], doc[i], comp[j], comp[i]) for j in ok]
     a, b, ca, cb = zip(*found) if found else ((),) * 4
     return pa.table({k: pa.array(v, pa.int64()) for k, v in (("a", a), ("b", b), ("ca", ca), ("cb", cb))})
 
 
 def _divided(rows: DataFrame) -> DataFrame:
-    """Rows (key, doc, comp) of the buckets whose members are in more than one component, with their number."""
+    """Rows (key, doc, size, comp) of the buckets whose members are in more than one component, with their sums."""
     ends = rows.groupBy(F.col("key").alias("k")).agg(F.min("comp").alias("low"), F.max("comp").alias("high"),
-                                                     F.count("*").alias("members")).where("low <> high")
-    return rows.join(ends, rows["key"] == ends["k"]).select("key", "doc", "comp", "members")
+                                                     F.count("*").alias("members"), F.sum("size").alias("shingles_in")).where("low <> high")
+    return rows.join(ends, rows["key"] == ends["k"]).select("key", "doc", "size", "comp", "members", "shingles_in")
 
 
 def _hub_pairs(rows: DataFrame, turn: int) -> DataFrame:
@@ -193,23 +213,26 @@ def _hub_pairs(rows: DataFrame, turn: int) -> DataFrame:
                         F.col("hub.comp").alias("cb"))
 
 
-def _all_pairs(rows: DataFrame, sketches: DataFrame) -> DataFrame:
+def _all_pairs(rows: DataFrame, sketches: DataFrame, sets: DataFrame) -> DataFrame:
     """Every pair of a bucket that lies in two components and could reach the threshold, block by block."""
-    low = sketches.select(F.col("doc_id").alias("d"), "bytes").distinct()
     rows = rows if "members" in rows.columns else _divided(rows)
-    cut = rows.join(low, rows["doc"] == low["d"]).drop("d")
-    blocks = F.greatest(F.lit(1), F.ceil(F.col("members") / BLOCK)).cast("int")
+    low = sketches.select(F.col("doc_id").alias("d"), "bytes").distinct()
+    short = F.transform("shingles", lambda x: x.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int"))
+    short = sets.where(F.size("shingles") > 0).select(F.col("doc").alias("e"), short.alias("short"))
+    cut = rows.join(low, rows["doc"] == low["d"]).join(short, rows["doc"] == short["e"])
+    blocks = F.greatest(F.lit(1), F.ceil(F.col("members") / BLOCK), F.ceil(F.col("shingles_in") / BLOCK_SHINGLES)).cast("int")
     cut = cut.withColumn("blocks", blocks).withColumn("own", F.pmod(F.hash("doc"), F.col("blocks")))
     cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     cut = cut.select("key", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"),
-                     (F.col("own") > F.col("other")).cast("int").alias("side"), "doc", "comp", "bytes")
+                     (F.col("own") > F.col("other")).cast("int").alias("side"), "doc", "comp", "bytes", "short")
     return cut.groupBy("key", "x", "y").applyInArrow(_block_pairs, "a long, b long, ca long, cb long").distinct()
 
 
 def class_links(sketches: DataFrame, docs: DataFrame, width: int) -> tuple[DataFrame | None, DataFrame | None]:
     """Confirmed links (a, b) between classes and the components they gave so far; ``sketches`` has one row a class."""
-    bands = sketches.select(F.col("doc_id").alias("doc"), F.explode("bands").alias("key")).withColumn("comp", F.col("doc"))
-    buckets, state = saved_counted(_divided(bands).select("key", "doc").distinct(), "dup-buckets")
+    bands = sketches.select(F.col("doc_id").alias("doc"), F.col("n_shingles").alias("size"), F.explode("bands").alias("key"))
+    bands = bands.withColumn("comp", F.col("doc"))
+    buckets, state = saved_counted(_divided(bands).select("key", "doc", "size").distinct(), "dup-buckets")
     if not state["n"]:
         return None, None
     needed = buckets.select(F.col("doc").alias("needed")).distinct()
@@ -222,11 +245,11 @@ def class_links(sketches: DataFrame, docs: DataFrame, width: int) -> tuple[DataF
     for turn in range(HUB_ROUNDS + 1):
         if comps is not None:
             own = buckets.join(comps, buckets["doc"] == comps["node"], "left").select(
-                "key", "doc", F.coalesce("component", "doc").alias("comp"))
+                "key", "doc", "size", F.coalesce("component", "doc").alias("comp"))
             rows, state = saved_counted(_divided(own), "dup-divided")
             if not state["n"]:
                 break
-        pairs = _hub_pairs(rows, turn) if turn < HUB_ROUNDS else _all_pairs(rows, sketches)
+        pairs = _hub_pairs(rows, turn) if turn < HUB_ROUNDS else _all_pairs(rows, sketches, sets)
         found, state = saved_counted(confirm(pairs, sets), "dup-links")
         if state["n"]:
             links = found.select("a", "b") if links is None else links.unionByName(found.select("a", "b"))
