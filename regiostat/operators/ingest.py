@@ -74,7 +74,8 @@ def convert_payload(rows: DataFrame) -> DataFrame:
         lenient_int("houseCnt").alias("house_cnt"),
         lenient_double("powerUsage").alias("power_usage"),
         lenient_int("bill").alias("bill"),
-        F.col("req_year"), F.col("req_month"))
+        F.col("req_year"), F.col("req_month"),
+        *[F.col(c) for c in ("response", "unreadable") if c in rows.columns])
     required = ["sd_code", "year", "month", "house_cnt", "power_usage", "bill"]
     bad = F.lit(False)
     for c in required:
@@ -104,6 +105,24 @@ def split_by_slot(typed: DataFrame, slot_keys: Sequence[str]) -> tuple[DataFrame
     return good, rejected
 
 
+def split_by_response(typed: DataFrame, slot_keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """All-or-nothing per landed response, one response per slot (O-13, O-14).
+
+    Of the responses of a slot the first valid one is taken, later ones are
+    not asked for any more; every invalid response goes whole to the dead
+    letter, an unreadable one with its text.  ``typed`` should be
+    materialized: three branches read it.
+    """
+    responses = typed.groupBy(*slot_keys, "response").agg(F.max("_bad").alias("_bad"))
+    taken = responses.where("not _bad").groupBy(*slot_keys).agg(F.min("response").alias("response"))
+    good = typed.join(taken.select("response"), "response", "left_semi").drop("_bad")
+    failed = responses.where("_bad").select("response")
+    reason = (F.when(F.col("unreadable").isNotNull(), F.lit("unreadable response"))
+               .when(F.col("_bad"), F.lit("invalid value")).otherwise(F.lit("slot rejected")))
+    rejected = typed.join(failed, "response", "left_semi").withColumn("reason", reason).drop("_bad")
+    return good, rejected
+
+
 def slot_status(typed: DataFrame, slot_keys: Sequence[str], bad: Column | str = "_bad") -> DataFrame:
     """Per slot: rows, bad rows and the accept/reject decision (O-13 summary)."""
     b = F.col(bad) if isinstance(bad, str) else bad

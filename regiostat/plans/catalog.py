@@ -376,18 +376,8 @@ def top_preview(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _landing_payload(spark, d):
-    """Responses the API would give: one JSON object per (year, month, region)
-    with one element per nation (bounded by nations per region)."""
-    dm = district_month(spark, d)
-    el = F.struct(F.col("year").cast("string").alias("year"), zero_pad("month").alias("month"),
-                  F.col("sd_name").alias("metro"), F.col("sgg_name").alias("city"),
-                  F.col("house_cnt").cast("string").alias("houseCnt"),
-                  F.col("power_usage").cast("string").alias("powerUsage"),
-                  F.floor("bill").cast("string").alias("bill"))
-    return (dm.groupBy("year", "month", "sd_code")
-              .agg(F.collect_list(el).alias("data"))
-              .select(F.col("year").cast("string").alias("year"), zero_pad("month").alias("month"),
-                      F.col("sd_code").cast("string").alias("metroCd"), "data"))
+    """Responses the API would give, without planted faults."""
+    return _payload(spark, d, faults=False)
 
 
 # A reading from fewer orders than this is reported as 'n/a' by the landed API
@@ -403,7 +393,7 @@ def _land_bronze_run(spark, d):
     landing, bronze, dead = f"{root}/landing", f"{root}/bronze", f"{root}/dead_letter"
     payload = materialize(_payload(spark, d))  # two landings from one derivation
     payload.where(F.col("year") == "1995").write.mode("overwrite").json(f"{landing}/drop1")
-    payload.write.mode("overwrite").json(f"{landing}/drop2")
+    _land_second_drop(payload, f"{landing}/drop2")
     for attempt, drop in enumerate(("drop1", "drop2"), start=1):
         existing = spark.read.parquet(bronze) if attempt > 1 else None
         good, rejected = bronze_ingest(spark, read_landing(spark, f"{landing}/{drop}"), existing)
@@ -414,19 +404,31 @@ def _land_bronze_run(spark, d):
     return bronze, dead
 
 
-def _payload(spark, d):
+def _payload(spark, d, faults=True):
+    """One JSON object per (year, month, region) with one element per nation
+    (bounded by nations per region).  A reading from few orders is invalid: in
+    odd months its value, in even months its year."""
     dm = district_month(spark, d)
-    bad = F.col("house_cnt") < MIN_READINGS
-    el = F.struct(F.col("year").cast("string").alias("year"), zero_pad("month").alias("month"),
-                  F.col("sd_name").alias("metro"), F.col("sgg_name").alias("city"),
+    few = F.lit(faults) & (F.col("house_cnt") < MIN_READINGS)
+    even = F.col("month") % 2 == 0
+    el = F.struct(F.when(few & even, F.lit("bad")).otherwise(F.col("year").cast("string")).alias("year"),
+                  zero_pad("month").alias("month"), F.col("sd_name").alias("metro"), F.col("sgg_name").alias("city"),
                   F.col("house_cnt").cast("string").alias("houseCnt"),
-                  F.when(bad, F.lit("n/a")).otherwise(F.col("power_usage").cast("string")).alias("powerUsage"),
+                  F.when(few & ~even, F.lit("n/a")).otherwise(F.col("power_usage").cast("string")).alias("powerUsage"),
                   F.floor("bill").cast("string").alias("bill"))
     return (dm.groupBy("year", "month", "sd_code").agg(F.collect_list(el).alias("data"))
               .select(F.col("year").cast("string").alias("year"), zero_pad("month").alias("month"),
                       F.col("sd_code").cast("string").alias("metroCd"), "data"))
 
 
+def _land_second_drop(payload, folder):
+    """Everything, 1996's responses once more, and 1997's once more cut off in the middle."""
+    payload.write.json(folder)
+    payload.where(F.col("year") == "1996").write.mode("append").json(folder)
+    cut = F.substring(F.to_json(F.struct("*")), 1, 30).alias("value")
+    payload.where(F.col("year") == "1997").select(cut).write.mode("append").text(folder)
+
+
 def bronze_stream(spark: SparkSession, d: str) -> DataFrame:
     """J-1 as an availableNow stream: 1995's responses land first, then all of
     them (1995 again); two runs on one checkpoint give the batch J-1 result (O-19)."""
@@ -439,7 +441,7 @@ def bronze_stream(spark: SparkSession, d: str) -> DataFrame:
               checkpoint=f"{root}/checkpoint")
     payload.where(F.col("year") == "1995").write.json(f"{landing}/drop1")
     ingest_landing_stream(spark, f"{landing}/*", **kw)
-    payload.write.json(f"{landing}/drop2")
+    _land_second_drop(payload, f"{landing}/drop2")
     ingest_landing_stream(spark, f"{landing}/*", **kw)
     return spark.read.parquet(kw["bronze_path"]).select("sd_code", "year", "month", "sd_name", "sgg_name",
                                                         "house_cnt", "power_usage", "bill")
@@ -468,7 +470,9 @@ def bronze_retry_queue(spark: SparkSession, d: str) -> DataFrame:
     the limit, dead letter from it."""
     configure(spark)
     _, dead = _land_bronze_run(spark, d)
-    attempts = spark.read.parquet(dead).select("year", "month", "sd_code", "attempt").distinct()
+    # an unreadable response names no slot; its slot stays pending in the work list
+    attempts = spark.read.parquet(dead).where("reason <> 'unreadable response'")
+    attempts = attempts.select("year", "month", "sd_code", "attempt").distinct()
     return retry_queue_op(attempts, ["year", "month", "sd_code"])
 
 

@@ -388,7 +388,11 @@ bad AS (SELECT DISTINCT year, month, sd_code FROM dm WHERE house_cnt < 3)
 SELECT dm.sd_code, dm.year, dm.month, dm.sgg_name, dm.house_cnt,
        CASE WHEN dm.house_cnt < 3 THEN 'invalid value' ELSE 'slot rejected' END AS reason, a.attempt
 FROM dm JOIN bad ON bad.year = dm.year AND bad.month = dm.month AND bad.sd_code = dm.sd_code
-JOIN (VALUES (1), (2)) AS a(attempt) ON a.attempt = 2 OR dm.year = 1995"""
+JOIN (VALUES (1, 1995), (2, NULL), (2, 1996)) AS a(attempt, only_year) ON a.only_year IS NULL OR dm.year = a.only_year
+UNION ALL
+SELECT CAST(NULL AS INTEGER), CAST(NULL AS INTEGER), CAST(NULL AS INTEGER), CAST(NULL AS VARCHAR), CAST(NULL AS BIGINT),
+       'unreadable response', 2
+FROM (SELECT DISTINCT year, month, sd_code FROM dm WHERE year = 1997)"""
 
 BRONZE_RETRY_QUEUE = f"""
 WITH {DISTRICT},

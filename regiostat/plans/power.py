@@ -15,16 +15,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regiostat.functions.scalars import (
-    inf_to_null, lenient_double, quarter_of, season_of, tariff_of,
+    inf_to_null, lenient_double, lenient_int, quarter_of, season_of, tariff_of,
 )
 from regiostat.operators.aggregates import global_max
 from regiostat.operators.corrections import (
     replace_matching, same_period_override, weighted_merge,
 )
 from regiostat.operators.filters import null_out_invalid
-from regiostat.operators.ingest import convert_payload, pending_slots, split_by_slot
+from regiostat.operators.ingest import convert_payload, pending_slots, split_by_response
 from regiostat.operators.joins import Bounded
 from regiostat.operators.timeseries import interpolate_linear, pct_change, surrogate_ids
+from regiostat.session import materialize
 
 # ---------------------------------------------------------------------------
 # The reference's data corrections.
@@ -58,11 +59,23 @@ class SilverParams:
 def bronze_ingest(spark: SparkSession, landed: DataFrame, bronze: DataFrame | None,
                   slot_keys: Sequence[str] = ("year", "month", "sd_code")):
     """J-1: typed rows of landed responses, minus slots already stored, split
-    into (good rows to append, rejected rows for the dead-letter table)."""
-    typed = convert_payload(landed).drop("req_year", "req_month")
+    into (good rows to append, rejected rows for the dead-letter table).
+
+    A slot is what was requested (year, month, region): it is known even where
+    the payload's own fields are invalid.  Good rows carry the payload's year
+    and month, rejected rows the request's, for the retry.
+    """
+    typed = convert_payload(landed).withColumnsRenamed({"year": "data_year", "month": "data_month"})
+    typed = typed.withColumns({"year": lenient_int("req_year").cast("int"),
+                               "month": lenient_int("req_month").cast("int")}).drop("req_year", "req_month")
+    no_slot = F.col("year").isNull() | F.col("month").isNull()
+    typed = typed.withColumn("_bad", F.col("_bad") | no_slot)
     if bronze is not None:
         typed = pending_slots(typed, bronze, slot_keys)
-    return split_by_slot(typed, slot_keys)
+    good, rejected = split_by_response(materialize(typed), slot_keys)
+    good = good.drop("year", "month", "response", "unreadable").withColumnsRenamed({"data_year": "year", "data_month": "month"})
+    rejected = rejected.withColumn("file", F.col("response.file")).drop("data_year", "data_month", "response")
+    return good, rejected
 
 
 def power_silver(bronze: DataFrame, params: SilverParams | None = None) -> DataFrame:

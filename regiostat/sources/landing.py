@@ -19,21 +19,37 @@ LANDING_SCHEMA = StructType([
     StructField("month", StringType()),
     StructField("metroCd", StringType()),
     StructField("data", ArrayType(PAYLOAD_ROW)),
+    StructField("_corrupt_record", StringType()),
 ])
 
 
+def read_responses(reader, path: str, schema: StructType = LANDING_SCHEMA) -> DataFrame:
+    """Landed responses with the file they came in; ``reader`` is ``spark.read`` or ``spark.readStream``."""
+    raw = reader.schema(schema).json(path)
+    return raw.select("*", F.col("_metadata.file_modification_time").alias("landed_at"),
+                      F.col("_metadata.file_path").alias("file"))
+
+
 def read_landing(spark: SparkSession, path: str, schema: StructType = LANDING_SCHEMA) -> DataFrame:
     """Landed responses -> one row per payload element, request key attached.
 
-    Missing or empty ``data`` yields no rows and is not a failure.
+    Missing or empty ``data`` yields no rows and is not a failure; a response
+    that is no readable JSON yields one row whose ``unreadable`` holds its text.
     """
-    return explode_payload(spark.read.schema(schema).json(path))
+    return explode_payload(read_responses(spark.read, path, schema))
 
 
 def explode_payload(raw: DataFrame) -> DataFrame:
-    return (raw.select(F.col("year").alias("req_year"), F.col("month").alias("req_month"),
-                       F.col("metroCd"), F.explode("data").alias("d"))
-               .select("req_year", "req_month", "metroCd", "d.*"))
+    """``response`` names the landed response and orders them: by landing time, file, place."""
+    bad = F.col("_corrupt_record")
+    nothing = F.array(F.lit(None).cast(PAYLOAD_ROW))
+    response = F.struct("landed_at", "file", F.monotonically_increasing_id().alias("place"))
+    # named before the explode: within one select the place would be the element's
+    named = raw.withColumn("response", response)
+    return (named.select(F.col("year").alias("req_year"), F.col("month").alias("req_month"), F.col("metroCd"),
+                         "response", bad.alias("unreadable"),
+                         F.explode(F.when(bad.isNotNull(), nothing).otherwise(F.col("data"))).alias("d"))
+                 .select("req_year", "req_month", "metroCd", "response", "unreadable", "d.*"))
 
 
 def read_legacy_csv(spark: SparkSession, path: str, schema: StructType | str | None = None,

@@ -12,6 +12,8 @@ idempotent after a failure between write and commit.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -60,7 +62,7 @@ def ingest_landing_stream(spark: SparkSession, landing_dir: str, bronze_path: st
     from pyspark.sql import functions as F
 
     from regiostat.plans.power import bronze_ingest
-    from regiostat.sources.landing import LANDING_SCHEMA, explode_payload
+    from regiostat.sources.landing import explode_payload, read_responses
 
     keys = list(slot_keys)
 
@@ -70,12 +72,16 @@ def ingest_landing_stream(spark: SparkSession, landing_dir: str, bronze_path: st
         good.write.mode("append").parquet(bronze_path)
         rejected = rejected.withColumn("attempt", F.lit(epoch_id + 1))
         # a replayed micro-batch (failure after the bronze append) logs nothing twice
-        logged = _stored_slots(spark, dead_letter_path, keys + ["attempt"])
+        own = keys + ["file", "attempt"]
+        logged = _stored_slots(spark, dead_letter_path, own)
         if logged is not None:
-            rejected = rejected.join(logged, on=keys + ["attempt"], how="left_anti")
+            # null-safe: an unreadable response has no slot
+            logged = logged.withColumnsRenamed({k: f"_logged_{k}" for k in own})
+            same = reduce(and_, (F.col(k).eqNullSafe(F.col(f"_logged_{k}")) for k in own))
+            rejected = rejected.join(logged, on=same, how="left_anti")
         rejected.write.mode("append").parquet(dead_letter_path)
 
-    stream = spark.readStream.schema(LANDING_SCHEMA).json(landing_dir)
+    stream = read_responses(spark.readStream, landing_dir)
     q = (stream.writeStream.foreachBatch(process)
                .option("checkpointLocation", checkpoint)
                .trigger(availableNow=True).start())

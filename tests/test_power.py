@@ -119,6 +119,28 @@ def test_bronze_ingest_slot_atomicity(spark):
     assert g.dtypes["house_cnt"] == np.int64 and g.power_usage.tolist() != []
 
 
+def test_bronze_ingest_faulty_responses(spark):
+    """A bad year, a response cut off in the middle, one without its request key, a slot landed twice."""
+    path = scratch_path(spark, "test-landing")
+    good = {"year": "2020", "month": "01", "metroCd": "11", "data": [_row(2020, 1, "종로구", "10", "1.5", "100"),
+                                                                      _row(2020, 1, "중구", "20", "2.5", "200")]}
+    bad_year = {"year": "2020", "month": "02", "metroCd": "11", "data": [_row("bad", 2, "종로구", "10", "1.5", "100"),
+                                                                          _row(2020, 2, "중구", "20", "2.5", "200")]}
+    no_year = {"month": "03", "metroCd": "11", "data": [_row(2020, 3, "종로구", "10", "1.5", "100")]}
+    mended = {**bad_year, "data": bad_year["data"][1:]}
+    _land(spark, path, [good, bad_year, good, no_year, mended])
+    cut = json.dumps({**good, "month": "04"}, ensure_ascii=False)[:70]
+    with open(f"{path.replace('file:', '')}/part-1.json", "w", encoding="utf-8") as f:
+        f.write(json.dumps(good, ensure_ascii=False) + "\n" + cut + "\n")
+    rows, rejected = bronze_ingest(spark, read_landing(spark, path), None)
+    assert sorted((r.year, r.month, r.sgg_name) for r in rows.collect()) == [
+        (2020, 1, "종로구"), (2020, 1, "중구"), (2020, 2, "중구")]
+    r = rejected.collect()
+    assert sorted((x.month or 0, x.reason) for x in r) == [
+        (0, "unreadable response"), (2, "invalid value"), (2, "slot rejected"), (3, "invalid value")]
+    assert [x.unreadable for x in r if x.unreadable] == [cut]
+
+
 def test_retry_and_next_period(spark):
     fails = spark.createDataFrame([(2020, 1, 11)] * 10 + [(2020, 2, 11)] * 3, "year int, month int, sd_code int")
     got = {r.month: (r.attempts, r.status) for r in retry_queue(fails, ["year", "month", "sd_code"]).collect()}
