@@ -156,12 +156,15 @@ def confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 def _block_pairs(rows: pa.Table) -> pa.Table:
     """Pairs of two blocks (or within one) in different components that could reach the threshold.
 
-    Sketches that agree too seldom go first.  Of the rest, the shortened
+    A pair is compared in the first bucket that it shares only; that bucket is
+    divided too, as it holds both components.  Sketches that agree too seldom
+    go next.  Of the rest, the shortened
     hashes of one set are looked up in the other's: that counts all common
     shingles, and chance hits besides, so no link is lost.
     """
     doc, comp = rows["doc"].to_numpy(), rows["comp"].to_numpy()
-    side = rows["side"].to_numpy()
+    side, key = rows["side"].to_numpy(), rows["key"][0].as_py()
+    bands = rows["bands"].combine_chunks().values.to_numpy().reshape(len(doc), -1)
     low = np.frombuffer(b"".join(rows["bytes"].to_pylist()), np.uint8).reshape(len(doc), -1)
     sets = rows["short"].combine_chunks()
     at, short = sets.offsets.to_numpy(), sets.values.to_numpy()
@@ -173,6 +176,7 @@ def _block_pairs(rows: pa.Table) -> pa.Table:
     found = []
     for i in one:
         ok = two[(comp[two] != comp[i]) & (doc[two] > doc[i] if alone else True)]
+        ok = ok[bands[i][(bands[ok] == bands[i]).argmax(axis=1)] == key]
         ok = ok[(low[ok] == low[i]).sum(axis=1) >= LEAST_AGREE]
         ok = ok[100 * np.minimum(size[ok], size[i]) >= PERCENT * np.maximum(size[ok], size[i])]
         if not len(ok):
@@ -216,7 +220,7 @@ def _hub_pairs(rows: DataFrame, turn: int) -> DataFrame:
 def _all_pairs(rows: DataFrame, sketches: DataFrame, sets: DataFrame) -> DataFrame:
     """Every pair of a bucket that lies in two components and could reach the threshold, block by block."""
     rows = rows if "members" in rows.columns else _divided(rows)
-    low = sketches.select(F.col("doc_id").alias("d"), "bytes").distinct()
+    low = sketches.select(F.col("doc_id").alias("d"), "bytes", "bands").distinct()
     short = F.transform("shingles", lambda x: x.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int"))
     short = sets.where(F.size("shingles") > 0).select(F.col("doc").alias("e"), short.alias("short"))
     cut = rows.join(low, rows["doc"] == low["d"]).join(short, rows["doc"] == short["e"])
@@ -224,7 +228,7 @@ def _all_pairs(rows: DataFrame, sketches: DataFrame, sets: DataFrame) -> DataFra
     cut = cut.withColumn("blocks", blocks).withColumn("own", F.pmod(F.hash("doc"), F.col("blocks")))
     cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     cut = cut.select("key", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"),
-                     (F.col("own") > F.col("other")).cast("int").alias("side"), "doc", "comp", "bytes", "short")
+                     (F.col("own") > F.col("other")).cast("int").alias("side"), "doc", "comp", "bytes", "bands", "short")
     return cut.groupBy("key", "x", "y").applyInArrow(_block_pairs, "a long, b long, ca long, cb long").distinct()
 
 
