@@ -1,25 +1,19 @@
-"""Exact fixed-point arithmetic for order-independent aggregates.
+"""Order-independent sums for pandas-style means.
 
-Floating-point sums depend on the order rows arrive in, which varies between
-runs of a distributed aggregate; means of cent-exact data also land exactly on
-.xx5 ties often (a mean over 2, 4, 8, 30 values).  Measures are therefore
-carried as integers of 1e-12 units (DECIMAL(38,0)), read from inputs with at
-most ``INPUT_SCALE`` decimals, and divided with exact half-to-even integer
-division.  Results do not depend on partitioning, and ties round to even on
-the exact value.
+A sum of doubles depends on the order in which rows arrive, which varies
+between runs of a distributed aggregate.  Sums therefore run over decimals:
+a decimal or integer column at its own scale, a double at 18 decimals of its
+shortest text.  The sum goes back to a double and is divided there, so a mean
+follows the reference (float mean, rounded once at the end) and does not
+depend on partitioning.
 
-Expressions are built as SQL text (one parse per expression instead of dozens
-of JVM round trips per nested Column call).
+Nothing is cut silently: a sum or value beyond DECIMAL(38,18) is an error
+(ANSI mode), and so is an input below about 1e-9 that 18 decimals distort.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
-UNIT_SCALE = 12          # units are 1e-12
-INPUT_SCALE = 6          # inputs are read at up to 6 decimals
-UNITS = "DECIMAL(38,0)"
+DOUBLE_AS = "DECIMAL(38,18)"
 
 
 def q(name: str) -> str:
@@ -27,40 +21,29 @@ def q(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def _n(v: int) -> str:
-    return f"CAST({v}BD AS {UNITS})"
-
-
-def units_sql(x: str) -> str:
-    """SQL: value -> integer count of 1e-12 units (exact for inputs with at most
-    6 decimals; others are first rounded half-up to 6 decimals)."""
-    six = f"CAST({x} AS DECIMAL(38,{INPUT_SCALE}))"
-    micro = f"CAST({six} * {_n(10 ** INPUT_SCALE)} AS {UNITS})"
-    return f"CAST({micro} * {_n(10 ** (UNIT_SCALE - INPUT_SCALE))} AS {UNITS})"
-
-
-def div_half_even_sql(a: str, b: str) -> str:
-    """SQL: exact integer a / b (b > 0) rounded half to even; NULL if b is 0."""
-    a, b = f"CAST({a} AS {UNITS})", f"CAST({b} AS {UNITS})"
-    r = f"({a} % {b})"
-    quot = f"CAST(({a} - {r}) / {b} AS {UNITS})"
-    step = f"CAST(signum({a}) AS {UNITS})"
-    return (f"CASE WHEN {b} > 0 THEN CAST({quot} + CASE WHEN abs({r}) * 2 > {b} THEN {step} "
-            f"WHEN abs({r}) * 2 = {b} AND {quot} % 2 != 0 THEN {step} ELSE {_n(0)} END AS {UNITS}) END")
-
-
-def to_units(col: str) -> Column:
-    return F.expr(units_sql(q(col)))
-
+def decimal_sql(x: str, dtype: str, strict: bool = True) -> str:
+    """SQL: a numeric value as a decimal.
 
-def units_mean_sql(u: str) -> str:
-    return div_half_even_sql(f"sum({u})", f"count({u})")
+    Infinite values raise.  ``strict`` (for inputs) also raises where 18
+    decimals change a double by more than one part in 1e9; computed values are
+    rounded to 18 decimals.
+    """
+    if dtype.startswith("decimal"):
+        return x
+    if dtype not in ("double", "float"):
+        return f"CAST({x} AS DECIMAL(20,0))"
+    d = f"CAST({x} AS {DOUBLE_AS})"
+    off = f"{d} IS NULL"  # infinite: the cast gives no value
+    if strict:
+        off += f" OR abs(CAST({d} AS DOUBLE) - {x}) > abs({x}) * 1e-9D"
+    fail = f"CAST(raise_error('a value does not fit an exact sum') AS {DOUBLE_AS})"
+    return f"CASE WHEN {x} IS NOT NULL AND ({off}) THEN {fail} ELSE {d} END"
 
 
-def units_to_double_sql(u: str, scale: int = 2) -> str:
-    return f"CAST({div_half_even_sql(u, str(10 ** (UNIT_SCALE - scale)))} AS DOUBLE) / {float(10 ** scale)!r}D"
+def sum_sql(x: str, dtype: str, strict: bool = True) -> str:
+    """SQL: exact sum as a double; NULL without values."""
+    return f"CAST(sum({decimal_sql(x, dtype, strict)}) AS DOUBLE)"
 
 
-def units_to_double(col: str, scale: int = 2) -> Column:
-    """Round units half to even at ``scale`` decimals and return a double."""
-    return F.expr(units_to_double_sql(q(col), scale))
+def mean_sql(x: str, dtype: str, strict: bool = True) -> str:
+    return f"try_divide({sum_sql(x, dtype, strict)}, CAST(count({x}) AS DOUBLE))"

@@ -15,6 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from regiostat.functions.exact import mean_sql, q, sum_sql
 from regiostat.functions.names import clean_headers
 from regiostat.functions.scalars import first_token, lenient_double, strict_int, year_month_parts
 from regiostat.operators.aggregates import AggSpec
@@ -152,11 +153,11 @@ def two_stage(df: DataFrame, station: str, group: Sequence[str], period: str,
     D1); it is evaluated inside the station aggregate (a month bitmask), so no
     join back to the rows is needed.
 
-    ``exact`` (default) carries mean/sum/max/min in fixed-point units
-    (:mod:`regiostat.functions.exact`): results do not depend on row order and
-    .xx5 ties round to even on the exact value.  Standard deviations stay
-    floating point.  ``exact=False`` uses plain double aggregates (pandas'
-    float arithmetic, order-dependent in the last bits).
+    ``exact`` (default) sums decimals (:mod:`regiostat.functions.exact`), so
+    results do not depend on row order; means, differences and the one rounding
+    at the end are pandas' float arithmetic.  Standard deviations are plain
+    double aggregates.  ``exact=False`` sums doubles (order-dependent in the
+    last bits).
     """
     keys1 = [station, *group, period]
     src = df.dropna(subset=keys1)
@@ -174,43 +175,24 @@ def two_stage(df: DataFrame, station: str, group: Sequence[str], period: str,
                                             for out, fn, col in stage2])
     for src_col, out in diffs:
         fact = diff(fact, [group[0]], [period], src_col, out)
-    return _finish(fact, scale)
-
-
-def _is_units(types: dict, col: str) -> bool:
-    return types.get(col) == "decimal(38,0)"
+    return round_float_columns(fact, scale)
 
 
 def _stage_agg(types: dict, fn: str, col: str, exact: bool, raw: bool = True):
     """One named aggregate with pandas semantics (NaN is missing, an
-    all-missing sum is 0).  Exact mode: raw numeric inputs become units (units
-    stay units) for mean/sum/max/min; std is computed on doubles, and a
-    second-stage double (a std) is averaged as a double."""
-    from regiostat.functions.exact import UNITS, q, units_mean_sql, units_sql
-    units = _is_units(types, col)
+    all-missing sum is 0).  ``raw`` inputs become doubles in exact mode."""
     c = q(col)
-    if types.get(col) in ("double", "float"):
+    if types[col] in ("double", "float"):
         c = f"(CASE WHEN NOT isnan({c}) THEN {c} END)"
-    if exact and fn in ("mean", "sum", "max", "min") and (units or raw):
-        u = c if units else units_sql(c)
-        return F.expr({"mean": units_mean_sql(u), "sum": f"coalesce(sum({u}), CAST(0 AS {UNITS}))",
-                       "max": f"max({u})", "min": f"min({u})"}[fn])
-    v = f"(CAST({c} AS DOUBLE) / 1e12D)" if units else c
-    return F.expr({"mean": f"avg({v})", "max": f"max({v})", "min": f"min({v})",
-                   "sum": f"coalesce(CAST(sum({v}) AS DOUBLE), 0D)", "std": f"stddev_samp({v})",
-                   "count": f"count({v})", "size": "count(1)", "nunique": f"count(DISTINCT {v})"}[fn])
-
-
-def _finish(fact: DataFrame, scale: int) -> DataFrame:
-    """Units -> doubles rounded half-even; float columns rounded (O-25, O-58)."""
-    from regiostat.functions.exact import units_to_double
-    cols = []
-    for name, t in fact.dtypes:
-        if t == "decimal(38,0)":
-            cols.append(units_to_double(name, scale).alias(name))
-        else:
-            cols.append(F.col(f"`{name}`"))
-    return round_float_columns(fact.select(*cols), scale)
+    if exact and fn in ("mean", "sum"):
+        total = mean_sql if fn == "mean" else sum_sql
+        out = total(c, types[col], strict=raw)
+        return F.expr(out if fn == "mean" else f"coalesce({out}, 0D)")
+    if exact and raw and fn in ("max", "min"):
+        return F.expr(f"CAST({fn}({c}) AS DOUBLE)")
+    return F.expr({"mean": f"avg({c})", "max": f"max({c})", "min": f"min({c})",
+                   "sum": f"coalesce(CAST(sum({c}) AS DOUBLE), 0D)", "std": f"stddev_samp({c})",
+                   "count": f"count({c})", "size": "count(1)", "nunique": f"count(DISTINCT {c})"}[fn])
 
 
 def fact_climate_trend(silver: DataFrame, c: ClimateCols | None = None,

@@ -12,82 +12,35 @@ def r2(x: str) -> str:
     return f"round_even(({x}) * 100.0, 0) / 100.0"
 
 
-def units(x: str) -> str:
-    """Value -> integer count of 1e-12 units (value read at 6 decimals)."""
-    return f"CAST(CAST(CAST({x} AS DECIMAL(38,6)) * 1000000 AS HUGEINT) * 1000000 AS HUGEINT)"
-
-
-def hediv(a: str, b: str) -> str:
-    """Exact integer a / b (b > 0) rounded half to even."""
-    r = f"(({a}) % ({b}))"
-    q = f"((({a}) - {r}) // ({b}))"
-    return (f"({q} + CASE WHEN 2 * abs({r}) > ({b}) THEN sign({a}) "
-            f"WHEN 2 * abs({r}) = ({b}) AND {q} % 2 <> 0 THEN sign({a}) ELSE 0 END)")
-
-
-def out_units(u: str) -> str:
-    return f"CAST({hediv(u, '10000000000')} AS DOUBLE) / 100.0"
-
-
 def two_stage_sql(src: str, station: str, group: list, period: str, stage1: list, derive: dict,
                   stage2: list, diffs: list = (), complete: bool = False) -> str:
-    """SQL twin of :func:`regiostat.plans.climate.two_stage` in exact mode.
+    """SQL twin of :func:`regiostat.plans.climate.two_stage`: float means of
+    float means (compensated sums), differences, then one half-even rounding.
 
-    stage1/stage2: (out, fn, input); derive: name -> (SQL over stage-1 columns, is_units).
+    stage1/stage2: (out, fn, input); derive: name -> SQL over stage-1 columns.
     """
     keys1 = [station, *group, period]
     k1 = ", ".join(keys1)
     g2 = ", ".join([*group, period])
     nn = " AND ".join(f"{k} IS NOT NULL" for k in keys1)
-    is_u = {}
-    a1, p1 = [], []
-    for out, fn, x in stage1:
-        if fn == "mean":
-            a1 += [f"SUM({units(x)}) AS s__{out}", f"COUNT({x}) AS n__{out}"]
-            p1.append(f"{hediv(f's__{out}', f'n__{out}')} AS {out}")
-        elif fn == "sum":
-            a1.append(f"COALESCE(SUM({units(x)}), 0) AS {out}")
-            p1.append(out)
-        elif fn in ("max", "min"):
-            a1.append(f"{fn.upper()}({units(x)}) AS {out}")
-            p1.append(out)
-        elif fn == "std":
-            a1.append(f"STDDEV_SAMP(CAST({x} AS DOUBLE)) AS {out}")
-            p1.append(out)
-        is_u[out] = fn != "std"
+
+    def agg(out, fn, x):
+        x = f"CAST({x} AS DOUBLE)"
+        return {"mean": f"FSUM({x}) / NULLIF(COUNT({x}), 0)", "sum": f"COALESCE(FSUM({x}), 0)",
+                "std": f"STDDEV_SAMP({x})", "max": f"MAX({x})", "min": f"MIN({x})"}[fn] + f" AS {out}"
+
     having = "HAVING bit_count(bit_or(1 << month)) = 12" if complete else ""
-    dsel = "".join(f", {e} AS {n}" for n, (e, _) in (derive or {}).items())
-    for n, (_, u) in (derive or {}).items():
-        is_u[n] = u
-    a2, p2, is_u2 = [], [], {}
-    for out, fn, x in stage2:
-        if is_u[x]:
-            if fn == "mean":
-                a2 += [f"SUM({x}) AS s__{out}", f"COUNT({x}) AS n__{out}"]
-                p2.append(f"{hediv(f's__{out}', f'n__{out}')} AS {out}")
-            elif fn == "sum":
-                a2.append(f"COALESCE(SUM({x}), 0) AS {out}")
-                p2.append(out)
-            else:
-                a2.append(f"{fn.upper()}({x}) AS {out}")
-                p2.append(out)
-            is_u2[out] = True
-        else:
-            a2.append({"mean": f"AVG({x})", "max": f"MAX({x})", "min": f"MIN({x})"}[fn] + f" AS {out}")
-            p2.append(out)
-            is_u2[out] = False
+    dsel = "".join(f", {e} AS {n}" for n, e in (derive or {}).items())
+    a1 = [agg(*spec) for spec in stage1]
+    a2 = [agg(*spec) for spec in stage2]
     dd = "".join(f", {x} - LAG({x}) OVER (PARTITION BY {group[0]} ORDER BY {period}) AS {o}" for x, o in diffs)
-    for x, o in diffs:
-        is_u2[o] = is_u2[x]
-    final = [f"{out_units(c) if u else r2(c)} AS {c}" for c, u in is_u2.items()]
+    final = [f"{r2(c)} AS {c}" for c in [*(o for o, _, _ in stage2), *(o for _, o in diffs)]]
     nn2 = " AND ".join(f"{k} IS NOT NULL" for k in [*group, period])
     return f"""
 WITH {src},
 s1 AS (SELECT {k1}, {", ".join(a1)} FROM obs WHERE {nn} GROUP BY {k1} {having}),
-st AS (SELECT {k1}, {", ".join(p1)} FROM s1),
-st2 AS (SELECT *{dsel} FROM st),
-s2 AS (SELECT {g2}, {", ".join(a2)} FROM st2 WHERE {nn2} GROUP BY {g2}),
-f AS (SELECT {g2}, {", ".join(p2)} FROM s2),
+st AS (SELECT *{dsel} FROM s1),
+f AS (SELECT {g2}, {", ".join(a2)} FROM st WHERE {nn2} GROUP BY {g2}),
 d AS (SELECT *{dd} FROM f)
 SELECT {g2}, {", ".join(final)} FROM d"""
 
@@ -132,7 +85,7 @@ _GROUP = ["sd_code", "sd_name_std"]
 
 def _trend(complete: bool) -> str:
     return two_stage_sql(OBS, "station", _GROUP, "year", TREND_STAGE1,
-                         {"avg_price_range": ("avg_max_price - avg_min_price", True)}, TREND_STAGE2,
+                         {"avg_price_range": "avg_max_price - avg_min_price"}, TREND_STAGE2,
                          [("avg_price", "price_yoy_diff")], complete)
 
 
@@ -150,7 +103,7 @@ REGION_YEAR_EXTREMES = two_stage_sql(
     [("year_max_price", "max", "max_price"), ("year_min_price", "min", "min_price"),
      ("max_monthly_total", "max", "total_price"), ("total_price", "sum", "total_price"),
      ("max_monthly_orders", "max", "order_cnt")],
-    {"year_price_range": ("year_max_price - year_min_price", True)},
+    {"year_price_range": "year_max_price - year_min_price"},
     [("year_max_price", "max", "year_max_price"), ("year_min_price", "min", "year_min_price"),
      ("year_price_range", "max", "year_price_range"), ("max_monthly_total", "max", "max_monthly_total"),
      ("total_price", "mean", "total_price"), ("max_monthly_orders", "max", "max_monthly_orders")],
@@ -504,7 +457,7 @@ CLIMATE_TREND = two_stage_sql(
      ("year_min_temp", "min", "min_price"), ("total_precip_mm", "sum", "total_price"),
      ("avg_humidity_pct", "mean", "order_cnt"), ("avg_pressure_hpa", "mean", "order_cnt"),
      ("total_sunshine_hr", "sum", "order_cnt"), ("avg_ground_temp", "mean", "mean_price")],
-    {"avg_temp_range": ("avg_max_temp - avg_min_temp", True)},
+    {"avg_temp_range": "avg_max_temp - avg_min_temp"},
     [("avg_temp", "mean", "avg_temp"), ("avg_max_temp", "mean", "avg_max_temp"),
      ("avg_min_temp", "mean", "avg_min_temp"), ("year_max_temp", "max", "year_max_temp"),
      ("year_min_temp", "min", "year_min_temp"), ("total_precip_mm", "mean", "total_precip_mm"),
@@ -530,7 +483,7 @@ CLIMATE_EXTREME = two_stage_sql(
      ("max_daily_precip", "max", "max_price"), ("max_monthly_precip", "max", "total_price"),
      ("total_precip_mm", "sum", "total_price"), ("max_wind_speed", "max", "order_cnt"),
      ("max_snowfall_cm", "max", _NULL)],
-    {"year_temp_range": ("year_max_temp - year_min_temp", True)},
+    {"year_temp_range": "year_max_temp - year_min_temp"},
     [("year_max_temp", "max", "year_max_temp"), ("year_min_temp", "min", "year_min_temp"),
      ("year_temp_range", "max", "year_temp_range"), ("max_daily_precip", "max", "max_daily_precip"),
      ("max_monthly_precip", "max", "max_monthly_precip"), ("total_precip_mm", "mean", "total_precip_mm"),
