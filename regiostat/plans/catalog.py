@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from regiostat.functions.names import clean_headers
 from regiostat.functions.scalars import (
-    lenient_double, lenient_int, quarter_of, season_of, tariff_of,
+    code_prefix, lenient_double, lenient_int, quarter_of, season_of, tariff_of,
     year_month_parts, zero_pad, inf_to_null,
 )
 from regiostat.operators.aggregates import first_by, profile as profile_op
@@ -36,7 +36,7 @@ from regiostat.plans.power import power_fact
 from regiostat.plans.tpch import district_month, orders_by_nation, station_month_obs
 from regiostat.session import configure, materialize, scratch_path
 from regiostat.sources.landing import read_landing, read_legacy_csv, write_legacy_csv
-from regiostat.sources.sinks import write_table
+from regiostat.sources.sinks import range_bucket, write_table
 from regiostat.sources.tables import read_table
 
 GROUP = ["sd_code", "sd_name_std"]
@@ -520,6 +520,21 @@ def write_read_roundtrip(spark: SparkSession, d: str) -> DataFrame:
         .withColumn("loaded_rows", F.lit(n).cast("long"))
 
 
+def range_bucket_layout(spark: SparkSession, d: str) -> DataFrame:
+    """Orders stored by year, years outside [1996, 2000) in the default
+    partition; read back and counted by partition and code prefix (O-09, O-16)."""
+    configure(spark)
+    o = read_table(spark, d, "orders", ["o_orderpriority", "o_orderdate"])
+    rows = o.select(F.year("o_orderdate").alias("year"), code_prefix("o_orderpriority").alias("priority_code"))
+    name, bucket = range_bucket("year", 1996, 2000)
+    rows = rows.withColumn(name, bucket)
+    path = scratch_path(spark, "range")
+    write_table(rows, path, partition_by=[name])
+    back = spark.read.schema(rows.schema).parquet(path)
+    return back.groupBy(name, "priority_code").agg(
+        F.min("year").alias("first_year"), F.max("year").alias("last_year"), F.count(F.lit(1)).alias("n_orders"))
+
+
 def csv_legacy_charset(spark: SparkSession, d: str) -> DataFrame:
     """Korean labels written and read back as CP949 CSV (O-04)."""
     configure(spark)
@@ -644,6 +659,7 @@ QUERIES = {
     "json_explode": json_explode,
     "incremental_ingest": incremental_ingest,
     "write_read_roundtrip": write_read_roundtrip,
+    "range_bucket_layout": range_bucket_layout,
     "csv_legacy_charset": csv_legacy_charset,
     "bronze_ingest": bronze_ingest_q,
     "bronze_dead_letter": bronze_dead_letter,

@@ -363,6 +363,12 @@ SELECT year, month, sd_code, sd_name, sgg_name, house_cnt, power_usage,
        (SELECT COUNT(*) FROM dm) AS loaded_rows
 FROM dm WHERE year >= 1996"""
 
+RANGE_BUCKET_LAYOUT = """
+WITH o AS (SELECT CAST(year(o_orderdate) AS INTEGER) AS year, left(o_orderpriority, 2) AS priority_code FROM orders)
+SELECT CASE WHEN year >= 1996 AND year < 2000 THEN year END AS year_range, priority_code,
+       MIN(year) AS first_year, MAX(year) AS last_year, COUNT(*) AS n_orders
+FROM o GROUP BY 1, 2"""
+
 CSV_LEGACY_CHARSET = CALENDAR + f"""
 SELECT ym, {SEASON_CASE} AS season, {TARIFF_CASE} AS season_tariff, n_orders FROM p"""
 
@@ -385,7 +391,7 @@ _BL_COLS, _BL_EXPR = _interp("bl", "sd_name, sgg_name", "year, month")
 POWER_SILVER_CTE = f"""
 WITH {OBS},
 b AS (
-  SELECT CAST((year * 12 + month) * 100 + station AS BIGINT) AS id, CAST(sd_code AS INTEGER) AS sd_code,
+  SELECT CAST(year * 12 + month AS BIGINT) * 1000000000 + station AS id, CAST(sd_code AS INTEGER) AS sd_code,
          year, month, sd_name_std AS sd_name, station_name AS sgg_name, order_cnt AS house_cnt,
          mean_price - 200000.0 AS power_usage, CAST(floor(min_price) AS BIGINT) AS bill
   FROM obs
@@ -558,6 +564,7 @@ ORACLE = {
     "json_explode": JSON_EXPLODE,
     "incremental_ingest": INCREMENTAL_INGEST,
     "write_read_roundtrip": WRITE_READ_ROUNDTRIP,
+    "range_bucket_layout": RANGE_BUCKET_LAYOUT,
     "csv_legacy_charset": CSV_LEGACY_CHARSET,
     "bronze_ingest": BRONZE_INGEST,
     "bronze_dead_letter": BRONZE_DEAD_LETTER,

@@ -80,7 +80,8 @@ def district_bronze(spark: SparkSession, d: str) -> DataFrame:
     """Power bronze grain with an insert-ordered id: id grows with (year, month)."""
     obs = station_month_obs(spark, d)
     return obs.select(
-        ((F.col("year") * 12 + F.col("month")) * 100 + F.col("station")).cast("long").alias("id"),
+        # room for 1e9 station keys a month
+        ((F.col("year") * 12 + F.col("month")).cast("long") * 1_000_000_000 + F.col("station")).alias("id"),
         F.col("sd_code").cast("int").alias("sd_code"), "year", "month",
         F.col("sd_name_std").alias("sd_name"), F.col("station_name").alias("sgg_name"),
         F.col("order_cnt").alias("house_cnt"),
