@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from regiostat.functions.exact import q, sum_sql
 from regiostat.functions.scalars import round_half_even
 from regiostat.operators.filters import contains_literal
 from regiostat.operators.joins import Bounded, broadcast_if_small, frame, is_small
@@ -77,8 +78,8 @@ def weighted_merge(df: DataFrame, name_col: str, needle: str, merged_name: str,
     ``weight`` is summed; each of ``means`` becomes Σ(x·w)/Σw.  The numerator
     skips missing values and an all-missing numerator counts as 0 while the
     denominator keeps every weight (S20).  ``first_cols`` take the value of the
-    first row by ``order_col`` (S18).  Σ(x·w) is exact: decimals as they are,
-    floating values read at 6 decimals, so the result does not depend on row order.
+    first row by ``order_col`` (S18).  Products of floating values are floats and
+    their sum is exact, so the result does not depend on row order.
     """
     part = df.where(contains_literal(name_col, needle, na=False))
     order = F.col(order_col) if order_col else F.lit(0)
@@ -88,9 +89,11 @@ def weighted_merge(df: DataFrame, name_col: str, needle: str, merged_name: str,
     types = dict(df.dtypes)
     for m in means:
         x = F.col(m)
-        if types[m] in ("double", "float"):  # exact Σ(x·w): read x at 6 decimals
-            x = F.when(~F.isnan(x), x).cast("decimal(38,6)")
-        num = F.coalesce(F.sum(x * F.col(weight)).cast("double"), F.lit(0.0))
+        total = F.sum(x * F.col(weight)).cast("double")
+        if types[m] in ("double", "float"):  # float products, summed exactly
+            xw = f"({q(m)} * CAST({q(weight)} AS DOUBLE))"
+            total = F.expr(sum_sql(f"(CASE WHEN NOT isnan({xw}) THEN {xw} END)", "double"))
+        num = F.coalesce(total, F.lit(0.0))
         aggs.append(F.try_divide(num, wsum.cast("double")).alias(m))
     merged = part.groupBy(*group).agg(*aggs).withColumn(name_col, F.lit(merged_name))
     for c, s in (round_scales or {}).items():

@@ -8,6 +8,7 @@ import pytest
 
 from pyspark.errors import PySparkException
 
+from regiostat.operators.corrections import weighted_merge
 from regiostat.plans.climate import two_stage
 
 
@@ -62,3 +63,9 @@ def test_two_stage_independent_of_partitioning(spark):
     want = pd.DataFrame(rows, columns=["st", "sd", "nm", "year", "month", "v"]).groupby(["sd", "year", "st"]).v.mean()
     want = want.groupby(["sd", "year"]).mean().round(2)
     assert all(abs(r[3] - want[r[0], r[2]]) < 1e-9 for r in outs[0])
+
+
+def test_weighted_merge_keeps_small_values(spark):
+    df = spark.createDataFrame([("a", 1, 4e-7, 1), ("a", 1, 4e-7, 3), ("a", 1, math.nan, 2)], "nm string, g int, v double, w long")
+    got = weighted_merge(df, "nm", "a", "all", ["g"], "w", ["v"]).collect()[0]
+    assert got.v == pytest.approx(1.6e-6 / 6, rel=1e-12) and got.w == 6
