@@ -8,7 +8,9 @@ the word.
 The classifier is fitted on a sample of at most ``fit_docs`` labelled
 documents (in expectation; the same share of ``fit_docs`` for each language),
 chosen by a hash of the id, and keeps the ``max_words`` and ``max_grams``
-most frequent entries.  Prediction reads every whole text.
+most frequent entries.  Training and prediction read every whole text, and
+every n-gram of a run of letters however long it is (text without blanks is
+one run); memory is bounded by going through a run in slices.
 
 Defined cases: a null text, a text without letters, or a model without any
 language gives ``und`` with score 0; a null label teaches nothing; repeated
@@ -33,8 +35,13 @@ FIT_DOCS = 4000
 MAX_WORDS = 60_000
 MAX_GRAMS = 60_000
 LONGEST = 5
-#: Entries of a task's memory of unseen words.
+#: Entries of a task's memory of unseen words, and the longest word it holds.
 CACHE = 50_000
+CACHE_LETTERS = 200
+#: N-grams of a run that are held at once.
+SLICE = 10_000
+#: Words, letters of long words, and n-grams that a training task counts before it hands them on.
+COUNTED_WORDS, COUNTED_LETTERS, COUNTED_GRAMS = 300_000, 2_000_000, 1_000_000
 #: Words that count as independent when the score is turned into a probability.
 EVIDENCE = 10
 #: A language must be at least this probable for a document to be accepted.
@@ -52,8 +59,15 @@ def letters(text: str | None) -> list[str]:
 
 def grams(word: str, n: int) -> list[str]:
     """Character n-grams of a word between its two boundary marks."""
+    return [g for part in gram_slices(word, n) for g in part]
+
+
+def gram_slices(word: str, n: int):
+    """The same in lists of at most ``SLICE``."""
     s = f"_{word}_"
-    return [s[i:i + n] for i in range(len(s) - n + 1)]
+    end = len(s) - n + 1
+    for at in range(0, end, SLICE):
+        yield [s[i:i + n] for i in range(at, min(at + SLICE, end))]
 
 
 @dataclass
@@ -68,9 +82,14 @@ class Model:
         if at is not None:
             return self.logs[at]
         for n in range(LONGEST, 0, -1):
-            known = [i for g in grams(word[:200], n) if (i := self.rows.get("\t" + g)) is not None]
-            if known:
-                return self.logs[known].mean(axis=0)
+            total, times = np.zeros(len(self.langs)), 0
+            for part in gram_slices(word, n):
+                known = [i for g in part if (i := self.rows.get("\t" + g)) is not None]
+                if known:
+                    total += self.logs[known].sum(axis=0)
+                    times += len(known)
+            if times:
+                return total / times
         return None
 
     def predict(self, text: str | None, cache: dict) -> tuple[str, float]:
@@ -84,11 +103,14 @@ class Model:
                 at.append(i)
                 times.append(n)
                 continue
-            if word not in cache:
-                if len(cache) >= CACHE:
-                    cache.clear()
-                cache[word] = self.vector(word)
-            v = cache[word]
+            if len(word) > CACHE_LETTERS:
+                v = self.vector(word)
+            else:
+                if word not in cache:
+                    if len(cache) >= CACHE:
+                        cache.clear()
+                    cache[word] = self.vector(word)
+                v = cache[word]
             if v is not None:
                 total += v * n
                 seen += n
@@ -105,13 +127,17 @@ class Model:
 def _count_grams(batches):
     """(lang, kind, gram, n) of a part of the sample, summed before the shuffle."""
     counts: Counter = Counter()
+    long = 0
     for batch in batches:
         for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             for word, n in Counter(letters(text)).items():
                 counts[lang, word] += n
-        if len(counts) > 300_000:
-            yield from _gram_batches(counts)
-            counts.clear()
+                if len(word) > CACHE_LETTERS:
+                    long += len(word)
+            if len(counts) > COUNTED_WORDS or long > COUNTED_LETTERS:
+                yield from _gram_batches(counts)
+                counts.clear()
+                long = 0
     yield from _gram_batches(counts)
 
 
@@ -120,13 +146,21 @@ def _gram_batches(counts: Counter):
     for (lang, word), n in counts.items():
         out[lang, 0, word] += n
         for k in range(1, LONGEST + 1):
-            for g in grams(word[:200], k):
-                out[lang, k, "\t" + g] += n
+            for part in gram_slices(word, k):
+                for g in part:
+                    out[lang, k, "\t" + g] += n
+                if len(out) > COUNTED_GRAMS:
+                    yield _gram_batch(out)
+                    out.clear()
     if out:
-        lang, kind, gram = zip(*out)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(lang, pa.string()), pa.array(kind, pa.int32()), pa.array(gram, pa.string()),
-             pa.array(out.values(), pa.int64())], ["lang", "kind", "gram", "n"])
+        yield _gram_batch(out)
+
+
+def _gram_batch(out: Counter) -> pa.RecordBatch:
+    lang, kind, gram = zip(*out)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(lang, pa.string()), pa.array(kind, pa.int32()), pa.array(gram, pa.string()),
+         pa.array(out.values(), pa.int64())], ["lang", "kind", "gram", "n"])
 
 
 def fit(docs: DataFrame, training: Column | None = None, fit_docs: int = FIT_DOCS,

@@ -463,6 +463,30 @@ def test_language_backoff_and_und(spark, odd):
     assert pred[3] == pred[4] == pred[5] == "und" and pred[6] != "und"
 
 
+def test_language_long_runs(spark, monkeypatch):
+    """Text without blanks is one run of letters: it is learned and judged to its end."""
+    lead = "".join(chr(0x4E00 + i) for i in range(250))
+    docs = spark.createDataFrame([(i, lead + body * (30 + i), x) for i, (body, x) in enumerate([("thing", "en"), ("dingt", "de")] * 5)],
+                                 "doc_id long, text string, lang string")
+    model = lang_id.fit(docs)
+    assert "\tthing" in model.rows and "\tdingt" in model.rows
+    for body, x in (("thing", "en"), ("dingt", "de")):
+        other = {"thing": "dingt", "dingt": "thing"}[body]
+        lang, score = model.predict(other * 40 + body * 20_000, {})
+        assert lang == x and score > 0.5
+    run = other * 40 + body * 50
+    whole, counted = model.vector(run), Counter()
+    monkeypatch.setattr(lang_id, "SLICE", 7)
+    monkeypatch.setattr(lang_id, "COUNTED_GRAMS", 11)
+    assert np.allclose(model.vector(run), whole)
+    for b in lang_id._gram_batches(Counter({("en", run): 2})):
+        for _, k, g, n in zip(*(c.to_pylist() for c in b.columns)):
+            counted[k, g] += n
+    marked = f"_{run}_"
+    brute = Counter((k, "\t" + marked[i:i + k]) for k in range(1, 6) for i in range(len(marked) - k + 1))
+    assert counted == Counter({**{kg: 2 * n for kg, n in brute.items()}, (0, run): 2})
+
+
 def test_pipeline_stages(spark, odd):
     """Each stage against its rule on its own input."""
     docs = spark.read.parquet(f"{SMALL}/documents.parquet").unionByName(
