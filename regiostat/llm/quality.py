@@ -2,11 +2,14 @@
 
 Plain counts of every whole text give base rules and a vector of transformed
 statistics.  For each language and source, the minimum covariance determinant
-is found by concentration steps: from a robust start, every step takes the
-``SUPPORT`` share of documents nearest by Mahalanobis distance and estimates
-mean and covariance from them.  A step is one pass that sums moments per
-distance bin, so no group of documents meets in one task.  A document is
-rejected if its distance lies beyond a far chi-square quantile.
+is found by concentration steps: every step takes the h = (n + p + 1) / 2 of n
+documents nearest by Mahalanobis distance and estimates mean and covariance
+from them, so junk of up to nearly half a group does not enter.  Several
+robust starts go on until their determinant stops falling, and the fit of the
+least determinant is kept.  A step is one pass over all groups and starts that
+sums moments per distance bin, so no group of documents meets in one task; of
+the bin in which h ends, the moments count by the share that is taken.  A
+document is rejected if its distance lies beyond a far chi-square quantile.
 
 Defined cases: a null text has no words and fails the base rules; null is a
 language and a source of its own; groups under ``LEAST`` documents are pooled
@@ -19,6 +22,7 @@ columns are ignored.
 from __future__ import annotations
 
 from collections import Counter
+from functools import lru_cache, reduce
 
 import numpy as np
 import pandas as pd
@@ -32,8 +36,8 @@ from .common import lookup, saved
 
 SYMBOLS = "#*$%&|<>"
 SPACES = " \t\n\v\f\r"
-SUPPORT = 0.75
-STEPS = 4
+#: A start ends when a step lowers the logarithm of its determinant by less.
+FALL = 1e-3
 LEAST = 60
 #: Share of regular documents beyond the cutoff if statistics were Gaussian.
 TAIL = 1e-9
@@ -116,24 +120,47 @@ def chi2_quantile(p: float, dof: int) -> float:
     return low
 
 
-#: Makes the covariance of the nearest ``SUPPORT`` share consistent for a Gaussian.
-CONSISTENCY = SUPPORT / chi2_cdf(chi2_quantile(SUPPORT, P), P + 2)
-MODEL = "gid long, " + ", ".join([f"m{i} double" for i in range(P)] + [f"q{i}{j} double" for i, j in PAIRS])
+@lru_cache(100_000)
+def consistency(h: int, n: int) -> float:
+    """Makes the covariance of the nearest ``h`` of ``n`` consistent for a Gaussian."""
+    return h / n / chi2_cdf(chi2_quantile(h / n, P), P + 2)
+
+
+VALUES = [f"m{i}" for i in range(P)] + [f"q{i}{j}" for i, j in PAIRS]
+MODEL = "gid long, start int, before double, logdet double, " + ", ".join(f"{c} double" for c in VALUES)
+
+
+def _model(pdf: pd.DataFrame, start, before, logdet, mean: np.ndarray, inverse: np.ndarray) -> pd.DataFrame:
+    return pd.DataFrame({"gid": pdf["gid"], "start": start, "before": before, "logdet": logdet}
+                        | {f"m{i}": mean[:, i] for i in range(P)} | {f"q{i}{j}": inverse[:, i, j] for i, j in PAIRS})
+
+
+def _symmetric(values) -> np.ndarray:
+    """Matrices (a row a group) of the columns in the order of ``PAIRS``."""
+    out = np.zeros((len(values[0]), P, P))
+    for (i, j), v in zip(PAIRS, values):
+        out[:, i, j] = out[:, j, i] = v
+    return out
+
+
+def _floored(cov: np.ndarray) -> np.ndarray:
+    return cov + np.diag(np.square(FLOORS))
 
 
 def _invert(frames):
-    """Mean and inverse covariance of each group from its moments (a row a group)."""
+    """Mean, inverse covariance and determinant of each fit from its moments (a row a group and start)."""
     for pdf in frames:
-        n = pdf["n"].to_numpy(float)
-        mean = np.stack([pdf[f"s{i}"].to_numpy(float) / n for i in range(P)], 1) / UNIT
-        cov = np.zeros((len(pdf), P, P))
-        for i, j in PAIRS:
-            c = pdf[f"s{i}{j}"].to_numpy(float) / n / UNIT**2 - mean[:, i] * mean[:, j]
-            cov[:, i, j] = cov[:, j, i] = c * CONSISTENCY
-        cov += np.diag(np.square(FLOORS))
-        inverse = np.linalg.inv(cov)
-        yield pd.DataFrame({"gid": pdf["gid"]} | {f"m{i}": mean[:, i] for i in range(P)}
-                           | {f"q{i}{j}": inverse[:, i, j] for i, j in PAIRS})
+        h = pdf["h"].to_numpy(float)
+        share = ((pdf["h"] - pdf["n_in"]) / pdf["n_edge"].clip(lower=1)).to_numpy(float)
+
+        def moment(name):
+            return (pdf[f"{name}_in"].to_numpy(float) + share * pdf[f"{name}_edge"].to_numpy(float)) / h
+
+        mean = np.stack([moment(f"s{i}") for i in range(P)], 1) / UNIT
+        cov = _symmetric([moment(f"s{i}{j}") / UNIT**2 - mean[:, i] * mean[:, j] for i, j in PAIRS])
+        factor = np.array([consistency(int(a), int(b)) for a, b in zip(pdf["h"], pdf["all"])])
+        cov = _floored(cov * factor[:, None, None])
+        yield _model(pdf, pdf["start"], pdf["before"], np.linalg.slogdet(cov)[1], mean, np.linalg.inv(cov))
 
 
 def _distance():
@@ -141,33 +168,90 @@ def _distance():
     return sum((d[i] * d[j] * F.col(f"q{i}{j}") * (1 if i == j else 2) for i, j in PAIRS), F.lit(0.0))
 
 
-def _start(stats: DataFrame) -> DataFrame:
-    """Medians, and the spread of the middle half as deviations, without correlation."""
-    q = stats.groupBy("gid").agg(*[F.percentile_approx(f, [0.25, 0.5, 0.75], 1000).alias(f) for f in FEATURES])
-    cols = [(F.col(f)[1] / UNIT).alias(f"m{i}") for i, f in enumerate(FEATURES)]
-    for i, j in PAIRS:
-        spread = (F.col(FEATURES[i])[2] - F.col(FEATURES[i])[0]) / UNIT / 1.349
-        cols.append((1 / (spread * spread + FLOORS[i] ** 2) if i == j else F.lit(0.0)).alias(f"q{i}{j}"))
-    return q.select("gid", *cols)
+#: Quantiles from which starts are taken are this many to a half of the documents.
+HALF = 16
+
+
+def _plain_starts(frames):
+    """Starts 0 and 1 of each group, without correlation: median and quartiles; middle and width of the shortest half."""
+    for pdf in frames:
+        grid = np.stack([np.stack(pdf[f]).astype(float) for f in FEATURES], 2) / UNIT  # group, quantile, feature
+        low, middle, high = grid[:, HALF // 2], grid[:, HALF], grid[:, HALF + HALF // 2]
+        at = (grid[:, HALF:] - grid[:, :HALF + 1]).argmin(axis=1)[:, None]
+        left = np.take_along_axis(grid, at, 1)[:, 0]
+        right = np.take_along_axis(grid, at + HALF, 1)[:, 0]
+        for start, mean, width in ((0, middle, high - low), (1, (left + right) / 2, right - left)):
+            var = np.maximum(width / 1.349, FLOORS) ** 2
+            yield _model(pdf, start, np.inf, np.inf, mean, (1 / var)[:, :, None] * np.eye(P))
+
+
+def _correlated_starts(frames):
+    """Starts 2 and 3: start 1 with the correlations of squashed deviations, and of their directions."""
+    for pdf in frames:
+        mean = pdf[[f"m{i}" for i in range(P)]].to_numpy()
+        width = 1 / np.sqrt(pdf[[f"q{i}{i}" for i in range(P)]].to_numpy())
+        for start, kind in ((2, "t"), (3, "d")):
+            c = _symmetric([pdf[f"{kind}{i}{j}"].to_numpy(float) for i, j in PAIRS])
+            root = np.sqrt(np.maximum(np.einsum("gii->gi", c), 1.0))
+            w, v = np.linalg.eigh(c / root[:, :, None] / root[:, None, :])
+            cor = np.einsum("gij,gj,gkj->gik", v, np.maximum(w, 0.05), v)
+            cov = cor * width[:, :, None] * width[:, None, :]
+            yield _model(pdf, start, np.inf, np.inf, mean, np.linalg.inv(cov))
+
+
+def _starts(stats: DataFrame) -> DataFrame:
+    """Four robust starts of each group."""
+    at = [k / (2 * HALF) for k in range(2 * HALF + 1)]
+    q = stats.groupBy("gid").agg(*[F.percentile_approx(f, at, 1000).alias(f) for f in FEATURES])
+    plain = saved(q.mapInPandas(_plain_starts, MODEL), "quality-starts")
+    near = lookup(stats, saved(plain.where("start = 1").drop("start"), "quality-start"), {"gid": "gid"}, "inner")
+    z = [(F.col(f) / UNIT - F.col(f"m{i}")) * F.sqrt(f"q{i}{i}") for i, f in enumerate(FEATURES)]
+    near = near.select("gid", *VALUES, *[x.alias(f"z{i}") for i, x in enumerate(z)])
+    length = F.greatest(reduce(lambda a, b: a + b, (F.col(f"z{i}") * F.col(f"z{i}") for i in range(P))), F.lit(1e-12))
+
+    def total(x, name):  # in integers, so that sums are exact
+        return F.sum(F.round(x * (1 << 20)).cast("long")).alias(name)
+
+    sums = [total(F.tanh(f"z{i}") * F.tanh(f"z{j}"), f"t{i}{j}") for i, j in PAIRS]
+    sums += [total(F.col(f"z{i}") * F.col(f"z{j}") / length, f"d{i}{j}") for i, j in PAIRS]
+    near = near.groupBy("gid").agg(*[F.first(c).alias(c) for c in VALUES], *sums)
+    return plain.unionByName(near.mapInPandas(_correlated_starts, MODEL))
 
 
 def _step(stats: DataFrame, model: DataFrame) -> DataFrame:
-    """One concentration step over all groups."""
+    """One concentration step over all groups and starts; ``before`` is the determinant that a start had."""
     near = lookup(stats, model, {"gid": "gid"}, "inner")
     # 64 bins for each factor e of the distance; the model's own columns go before the sums
     near = near.withColumn("bin", F.floor(F.log(_distance() + 1e-6) * 64))
+    names = [f"s{i}" for i in range(P)] + [f"s{i}{j}" for i, j in PAIRS]
     sums = [F.sum(f).alias(f"s{i}") for i, f in enumerate(FEATURES)]
     sums += [F.sum(F.col(FEATURES[i]) * F.col(FEATURES[j])).alias(f"s{i}{j}") for i, j in PAIRS]
-    bins = near.groupBy("gid", "bin").agg(F.count("*").alias("n"), *sums)
-    upto = W.partitionBy("gid").orderBy("bin").rowsBetween(W.unboundedPreceding, -1)
-    bins = bins.withColumn("before", F.coalesce(F.sum("n").over(upto), F.lit(0)))
-    bins = bins.withColumn("all", F.sum("n").over(W.partitionBy("gid"))).where(F.col("before") < SUPPORT * F.col("all"))
-    moments = bins.groupBy("gid").agg(*[F.sum(c).alias(c) for c in
-                                        ["n", *[f"s{i}" for i in range(P)], *[f"s{i}{j}" for i, j in PAIRS]]])
+    bins = near.groupBy("gid", "start", "bin").agg(F.count("*").alias("n"), F.first("logdet").alias("before"), *sums)
+    fit = W.partitionBy("gid", "start")
+    upto = fit.orderBy("bin").rowsBetween(W.unboundedPreceding, -1)
+    bins = bins.withColumn("nearer", F.coalesce(F.sum("n").over(upto), F.lit(0))).withColumn("all", F.sum("n").over(fit))
+    bins = bins.withColumn("h", F.least("all", F.floor((F.col("all") + P + 1) / 2)))
+    inside = F.col("nearer") + F.col("n") <= F.col("h")
+    bins = bins.where(F.col("nearer") < F.col("h"))
+    moments = bins.groupBy("gid", "start").agg(
+        *[F.first(c).alias(c) for c in ("before", "all", "h")],
+        *[F.sum(F.when(inside, F.col(c)).otherwise(0)).alias(f"{c}_in") for c in ["n", *names]],
+        *[F.sum(F.when(inside, 0).otherwise(F.col(c))).alias(f"{c}_edge") for c in ["n", *names]])
     return moments.mapInPandas(_invert, MODEL)
 
 
-def judge(stats: DataFrame, steps: int = STEPS, least: int = LEAST, tail: float = TAIL) -> DataFrame:
+def fits(values: DataFrame) -> DataFrame:
+    """Every fit that a concentration step gave, from all starts until no determinant falls any more."""
+    model, trail = saved(_starts(values), "quality-model"), []
+    while True:
+        trail.append(saved(_step(values, model), "quality-model"))
+        # floors bound the determinant from below, so this ends
+        model = saved(trail[-1].where(F.col("logdet") < F.col("before") - FALL), "quality-falling")
+        if model.isEmpty():
+            return reduce(DataFrame.unionByName, trail)
+
+
+def judge(stats: DataFrame, least: int = LEAST, tail: float = TAIL) -> DataFrame:
     """``stats`` (of :func:`statistics`) with ``distance`` (null: not judged) and ``kept``."""
     stats = saved(stats, "quality-stats")
     passing = stats.where(~F.col("base_failed"))
@@ -181,11 +265,9 @@ def judge(stats: DataFrame, steps: int = STEPS, least: int = LEAST, tail: float
                             .otherwise(F.xxhash64(F.lit(0))).alias("gid"))
     passing = lookup(passing, saved(groups, "quality-groups"), {"lang": "g_lang", "source": "g_source"})
     values = saved(passing.select("gid", *[v.alias(k) for k, v in _features().items()]), "quality-features")
-    model = saved(_start(values), "quality-model")
-    for _ in range(steps):
-        model = saved(_step(values, model), "quality-model")
+    best = fits(values).groupBy("gid").agg(F.min(F.struct("logdet", "start", *VALUES)).alias("fit"))
     sizes = values.groupBy("gid").agg(F.count("*").alias("group_size"))
-    model = saved(model.join(sizes, "gid"), "quality-model")
+    model = saved(best.select("gid", *[f"fit.{c}" for c in VALUES]).join(sizes, "gid"), "quality-model")
 
     out = lookup(stats, saved(groups, "quality-groups"), {"lang": "g_lang", "source": "g_source"})
     out = out.select("*", *[v.alias(k) for k, v in _features().items()])

@@ -323,6 +323,18 @@ def test_quality_rejects_planted(spark):
     assert all(r.kept == (r.doc_id % 10 != 0) for r in got)
 
 
+@pytest.mark.parametrize("junk", [0.33, 0.45])
+def test_quality_rejects_copies(spark, junk):
+    """One junk text that is up to nearly half of a group does not enter the estimate."""
+    rng = np.random.default_rng(3)
+    names = ["doc_id", "lang", "source", *quality.COUNTS, "base_failed"]
+    rows = [(i, "en", "s", 400, 2000, 800, 0, 160, 12, False) if i < 2000 * junk else
+            (i, "en", "s", n := int(rng.integers(100, 900)), int(n * rng.normal(5.2, 0.15)), int(n * 0.02), 0, 0, 12, False)
+            for i in range(2000)]
+    got = quality.judge(spark.createDataFrame(rows, names)).collect()
+    assert all(r.kept == (r.doc_id >= 2000 * junk) for r in got)
+
+
 PATTERNS = [("assign", re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A), 2, 6),
             ("access", re.compile("AKIA[A-Z0-9]+"), 0, 20), ("hex", re.compile("[0-9a-f]+"), 0, 24)]
 
