@@ -9,18 +9,20 @@ robust starts go on until their determinant stops falling, and the fit of the
 least determinant is kept.  A step is one pass over all groups and starts that
 sums moments per distance bin, so no group of documents meets in one task; of
 the bin in which h ends, the moments count by the share that is taken.  A
-document is rejected if its distance lies beyond a far chi-square quantile.
+document is rejected if its distance lies beyond the chi-square quantile of
+1 - ``TAIL``.
 
 Defined cases: a null text has no words and fails the base rules; null is a
 language and a source of its own; groups under ``LEAST`` documents are pooled
 by language, then altogether, and what is still smaller than ``LEAST`` keeps
-all that pass the base rules; statistics that do not vary get the floor of
-``FLOORS`` as deviation; repeated rows are documents of their own; extra
+all that pass the base rules; where a group varies by less than ``FLOORS`` it
+gets that deviation, elsewhere its own; repeated rows are documents of their own; extra
 columns are ignored.
 """
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from functools import lru_cache, reduce
 
@@ -40,7 +42,7 @@ SPACES = " \t\n\v\f\r"
 FALL = 1e-3
 LEAST = 60
 #: Share of regular documents beyond the cutoff if statistics were Gaussian.
-TAIL = 1e-9
+TAIL = 1e-3
 #: Least standard deviation of each transformed statistic.
 FLOORS = (0.08, 0.04, 0.06, 0.06)
 FEATURES = ("f_word_length", "f_symbols", "f_dup_lines", "f_repeats")
@@ -104,12 +106,9 @@ def _features() -> dict:
 
 
 def chi2_cdf(x: float, dof: int) -> float:
-    """For an even number of degrees of freedom."""
-    term, total = 1.0, 1.0
-    for k in range(1, dof // 2):
-        term *= x / 2 / k
-        total += term
-    return 1 - float(np.exp(-x / 2)) * total
+    if dof <= 2:
+        return math.erf(math.sqrt(x / 2)) if dof == 1 else 1 - math.exp(-x / 2)
+    return chi2_cdf(x, dof - 2) - (x / 2) ** (dof / 2 - 1) * math.exp(-x / 2) / math.gamma(dof / 2)
 
 
 def chi2_quantile(p: float, dof: int) -> float:
@@ -121,9 +120,9 @@ def chi2_quantile(p: float, dof: int) -> float:
 
 
 @lru_cache(100_000)
-def consistency(h: int, n: int) -> float:
-    """Makes the covariance of the nearest ``h`` of ``n`` consistent for a Gaussian."""
-    return h / n / chi2_cdf(chi2_quantile(h / n, P), P + 2)
+def consistency(h: int, n: int) -> tuple[float, ...]:
+    """Makes the covariance of the nearest ``h`` of ``n`` consistent for a Gaussian of 1, 2, .. P dimensions."""
+    return tuple(h / n / chi2_cdf(chi2_quantile(h / n, k), k + 2) for k in range(1, P + 1))
 
 
 VALUES = [f"m{i}" for i in range(P)] + [f"q{i}{j}" for i, j in PAIRS]
@@ -143,8 +142,20 @@ def _symmetric(values) -> np.ndarray:
     return out
 
 
-def _floored(cov: np.ndarray) -> np.ndarray:
-    return cov + np.diag(np.square(FLOORS))
+def _floored(cov: np.ndarray, factors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Consistent covariance, and the logarithm of the determinant that fits of a group are compared by.
+
+    In units of ``FLOORS``, the variance along each principal axis is raised to
+    1 where it is below.  Only the other axes decide which documents are the
+    nearest half, so the factor is that of their number.
+    """
+    unit = np.outer(FLOORS, FLOORS)
+    w, v = np.linalg.eigh(cov / unit)
+    vary = w[:, ::-1] * factors > 1  # from the widest axis on: whether so many axes vary
+    count = np.where(vary.any(axis=1), P - vary[:, ::-1].argmax(axis=1), 1)
+    own = np.take_along_axis(factors, count[:, None] - 1, 1)
+    logdet = np.log(np.maximum(w * factors[:, -1:], 1.0)).sum(axis=1)
+    return np.einsum("gij,gj,gkj->gik", v, np.maximum(w * own, 1.0), v) * unit, logdet
 
 
 def _invert(frames):
@@ -158,9 +169,9 @@ def _invert(frames):
 
         mean = np.stack([moment(f"s{i}") for i in range(P)], 1) / UNIT
         cov = _symmetric([moment(f"s{i}{j}") / UNIT**2 - mean[:, i] * mean[:, j] for i, j in PAIRS])
-        factor = np.array([consistency(int(a), int(b)) for a, b in zip(pdf["h"], pdf["all"])])
-        cov = _floored(cov * factor[:, None, None])
-        yield _model(pdf, pdf["start"], pdf["before"], np.linalg.slogdet(cov)[1], mean, np.linalg.inv(cov))
+        factors = np.array([consistency(int(a), int(b)) for a, b in zip(pdf["h"], pdf["all"])]).reshape(-1, P)
+        cov, logdet = _floored(cov, factors)
+        yield _model(pdf, pdf["start"], pdf["before"], logdet, mean, np.linalg.inv(cov))
 
 
 def _distance():

@@ -335,6 +335,22 @@ def test_quality_rejects_copies(spark, junk):
     assert all(r.kept == (r.doc_id >= 2000 * junk) for r in got)
 
 
+def test_quality_cutoff(spark):
+    """Documents on both sides of the cutoff, in a group that varies little and in one that varies."""
+    names = ["doc_id", "lang", "source", *quality.COUNTS, "base_failed"]
+    rng = np.random.default_rng(4)
+    plain = [(i, "en", "even", 400, 2000, 0, 0, 0, 12, False) for i in range(1000)]
+    spread = [(i, "en", "wide", 1000, int(5000 * math.exp(rng.normal(0, 0.2))), 0, 0, 0, 12, False) for i in range(4000)]
+    planted = [(-1, "en", "even", 400, 2000, 80, 0, 0, 12, False), (-2, "en", "even", 400, 2000, 40, 0, 0, 12, False),
+               (-3, "en", "wide", 1000, int(5000 * math.exp(4.7 * 0.2)), 0, 0, 0, 12, False),
+               (-4, "en", "wide", 1000, int(5000 * math.exp(4.0 * 0.2)), 0, 0, 0, 12, False)]
+    got = quality.judge(spark.createDataFrame(plain + spread + planted, names)).where("doc_id < 0").collect()
+    assert {r.doc_id: r.kept for r in got} == {-1: False, -2: True, -3: False, -4: True}
+    wide, none = np.diag([1.0, 0.5, 0.1, 0.2]), np.zeros((4, 4))
+    found, _ = quality._floored(np.stack([wide, none]), np.ones((2, 4)))
+    assert np.allclose(found, np.stack([wide, np.diag(np.square(quality.FLOORS))]))
+
+
 PATTERNS = [("assign", re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A), 2, 6),
             ("access", re.compile("AKIA[A-Z0-9]+"), 0, 20), ("hex", re.compile("[0-9a-f]+"), 0, 24)]
 
