@@ -14,7 +14,7 @@ columns are ignored.
 from __future__ import annotations
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -95,10 +95,13 @@ def mix(sizes: DataFrame, weights=WEIGHTS, epochs: int = EPOCHS, seed: int = SEE
 def sized(docs: DataFrame, text: str = "text") -> DataFrame:
     """row_id, doc_id, source and size of every document.
 
-    Row ids follow the file scan, so the same table gives the same ids again.
+    Row ids follow the splits of one scan, and another scan may give others.
     """
-    return docs.select(F.monotonically_increasing_id().alias("row_id"), "doc_id", "source",
-                       word_count(F.col(text)).alias("size"))
+    return _sizes(docs, F.monotonically_increasing_id(), text)
+
+
+def _sizes(docs: DataFrame, row: Column, text: str = "text") -> DataFrame:
+    return docs.select(row.alias("row_id"), "doc_id", "source", word_count(F.col(text)).alias("size"))
 
 
 @F.arrow_udf(T.ArrayType(T.StringType()))
@@ -115,12 +118,12 @@ def mixed_documents(docs: DataFrame, weights=WEIGHTS, epochs: int = EPOCHS, seed
     """The mix itself: ``docs`` repeated and cut; other columns as they were.
 
     The one document at which a source's budget ends keeps its first words.
+    The documents are written once with their row id, and both sides read that.
     """
-    spark = docs.sparkSession
     columns = docs.columns
-    taken = mix(sized(docs), weights, epochs, seed).where("taken > 0").select(
+    own = saved(docs.withColumn("__row", F.monotonically_increasing_id()), "mix-documents")
+    taken = mix(_sizes(own, F.col("__row")), weights, epochs, seed).where("taken > 0").select(
         F.col("row_id").alias("__row"), F.col("taken").alias("__taken"))
-    own = docs.withColumn("__row", F.monotonically_increasing_id())
     out = own.join(saved(taken, "mix-taken"), "__row")
     out = out.withColumn("text", F.explode(_copies("text", "__taken")))
     if "n_chars" in columns:

@@ -247,6 +247,24 @@ def test_mix(spark, odd, path):
         assert abs(taken[s] - target[s]) <= 0.5 + 1e-6
 
 
+def test_mix_other_splits(spark, tmp_path):
+    """The mix holds if the documents are split otherwise when it is read than when it was drawn."""
+    rows = [(i, f"d{i} " + "word " * (i % 37 + 1), "ab"[i % 2]) for i in range(400)]
+    path = str(tmp_path / "documents")
+    spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(16).write.parquet(path)
+    out = mixing.mixed_documents(spark.read.parquet(path))
+    want = {r.doc_id: r.taken for r in mixing.mix(mixing.sized(spark.read.parquet(path))).collect() if r.taken}
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        got = Counter()
+        for r in out.collect():
+            got[r.doc_id] += len(words(r.text))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert got == want
+
+
 def crc(d, m):
     return zlib.crc32(str(d).encode()) % m
 
