@@ -26,7 +26,8 @@ def two_stage_sql(src: str, station: str, group: list, period: str, stage1: list
 
     def agg(out, fn, x):
         x = f"CAST({x} AS DOUBLE)"
-        return {"mean": f"FSUM({x}) / NULLIF(COUNT({x}), 0)", "sum": f"COALESCE(FSUM({x}), 0)",
+        # compensated sums of values in one order: an unordered sum varies with the number of threads
+        return {"mean": f"FSUM({x} ORDER BY {x}) / NULLIF(COUNT({x}), 0)", "sum": f"COALESCE(FSUM({x} ORDER BY {x}), 0)",
                 "std": f"STDDEV_SAMP({x})", "max": f"MAX({x})", "min": f"MIN({x})"}[fn] + f" AS {out}"
 
     having = "HAVING bit_count(bit_or(1 << month)) = 12" if complete else ""

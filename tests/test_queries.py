@@ -63,3 +63,27 @@ def test_plan_has_no_single_partition_step(spark, name):
     plan = _plan(QUERIES[name](spark, SF_SMALL))
     for bad in ("SinglePartition", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert bad not in plan, f"{name}: {bad}"
+
+
+# cells that lie on half a cent: the float means decide, so the order of a sum would show
+HALF_CENTS = [("climate_trend_fact", "AMERICA", 2000, "temp_yoy_diff", SF_MID),
+              ("region_year_trend", "AFRICA", 1999, "price_yoy_diff", "/root/testdata/sf0.1")]
+
+
+@pytest.mark.skipif(not have("/root/testdata/sf0.1"), reason="test tables absent")
+@pytest.mark.parametrize("name,region,year,column,sf", HALF_CENTS)
+def test_half_cent_cells(name, region, year, column, sf):
+    """The SQL twin gives one value in ten runs on four threads: that of pandas' float means."""
+    import numpy as np
+    from regiostat.plans.oracle import OBS
+    con = duck(sf)
+    con.execute("SET threads = 4")
+    sql = f"SELECT {column} FROM ({oracle_sql()[name]}) WHERE sd_name_std = '{region}' AND year = {year}"
+    got = {con.execute(sql).fetchone()[0] for _ in range(10)}
+    obs = con.execute(f"WITH {OBS} SELECT station, sd_name_std AS region, year, month, mean_price FROM obs").df()
+    obs = obs.sort_values(["station", "year", "month"])
+    if name == "climate_trend_fact":  # complete years only
+        obs = obs[obs.groupby(["station", "year"])["month"].transform("nunique") == 12]
+    means = obs.groupby(["station", "region", "year"])["mean_price"].mean().reset_index()
+    means = means.groupby(["region", "year"])["mean_price"].mean()[region]
+    assert got == {float(np.round(means.diff()[year], 2))}
