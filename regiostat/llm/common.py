@@ -13,6 +13,8 @@ from regiostat.session import checkpoint_root
 #: Lookup tables up to this many rows are broadcast; larger ones are joined by
 #: a shuffle, whose skewed partitions Spark's adaptive execution splits.
 BROADCAST_ROWS = 20_000
+#: Bytes of an Arrow batch.
+BATCH_BYTES = 4 << 20
 
 
 def words(text: str | None) -> list[bytes]:
@@ -25,9 +27,27 @@ def words(text: str | None) -> list[bytes]:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def small_batches(spark: SparkSession, size: int = BATCH_BYTES) -> None:
+    """Rows go to Python in Arrow batches of at most ``size`` bytes from here on.
+
+    A task holds a batch several times (Arrow buffers of both sides, Python
+    strings, results), and Spark's own limit is 64 MB.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
+
+
+def free_name(taken: list[str], name: str) -> str:
+    """``name``, with underscores until no column of ``taken`` has it (case ignored, as Spark does)."""
+    lower = {c.lower() for c in taken}
+    while name.lower() in lower:
+        name += "_"
+    return name
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A fresh folder name below the shared folder of ``spark.checkpoint.dir``."""
     return f"{checkpoint_root(spark)}/regiostat-llm/{name}-{uuid.uuid4().hex[:12]}"

@@ -19,7 +19,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import lookup, partitions, saved, words
+from .common import free_name, lookup, partitions, saved, words
 
 #: Weights by rank of the source in code point order, repeating.
 WEIGHTS = (5, 2, 1)
@@ -30,7 +30,8 @@ SEED = 20_240_229
 
 @F.arrow_udf(T.LongType())
 def word_count(texts: pa.Array) -> pa.Array:
-    return pa.array([len(words(t)) for t in texts.to_pylist()], pa.int64())
+    return pa.array([len(words(t)) for at in range(0, len(texts), 256) for t in texts.slice(at, 256).to_pylist()],
+                    pa.int64())
 
 
 def source_targets(sizes: DataFrame, weights=WEIGHTS, epochs: int = EPOCHS) -> DataFrame:
@@ -121,11 +122,12 @@ def mixed_documents(docs: DataFrame, weights=WEIGHTS, epochs: int = EPOCHS, seed
     The documents are written once with their row id, and both sides read that.
     """
     columns = docs.columns
-    own = saved(docs.withColumn("__row", F.monotonically_increasing_id()), "mix-documents")
-    taken = mix(_sizes(own, F.col("__row")), weights, epochs, seed).where("taken > 0").select(
-        F.col("row_id").alias("__row"), F.col("taken").alias("__taken"))
-    out = own.join(saved(taken, "mix-taken"), "__row")
-    out = out.withColumn("text", F.explode(_copies("text", "__taken")))
+    row, words_taken = free_name(columns, "mix_row"), free_name(columns, "mix_taken")
+    own = saved(docs.withColumn(row, F.monotonically_increasing_id()), "mix-documents")
+    taken = mix(_sizes(own, F.col(row)), weights, epochs, seed).where("taken > 0").select(
+        F.col("row_id").alias(row), F.col("taken").alias(words_taken))
+    out = own.join(saved(taken, "mix-taken"), row)
+    out = out.withColumn("text", F.explode(_copies("text", words_taken)))
     if "n_chars" in columns:
         out = out.withColumn("n_chars", F.length("text").cast("long"))
     return out.select(columns)

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved, saved_counted, words
+from .common import free_name, saved, saved_counted, words
 from .components import components, hooked
 
 #: Words of a shingle.
@@ -299,6 +299,21 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH) -> DataFrame:
 
 
 def deduplicated(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """One document of each group: that with the smallest id; documents without id stay."""
-    verdict = near_duplicates(docs, width).where("not kept").select(F.col("doc_id").alias("gone")).distinct()
-    return docs.join(saved(verdict, "dup-gone"), F.col("doc_id") == F.col("gone"), "left_anti")
+    """One row of each group: that with the smallest id.
+
+    Rows whose id is null or stands in several rows are told apart by ids of
+    their own beyond all others, so a row with an id of its own stays first.
+    """
+    key, gone, times = (free_name(docs.columns, n) for n in ("dup_key", "dup_gone", "dup_times"))
+    several, state = saved_counted(docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias(times))
+                                   .where(F.col("doc_id").isNull() | (F.col(times) > 1))
+                                   .select(F.col("doc_id").alias(gone)), "dup-several")
+    keyed = docs.withColumn(key, F.col("doc_id").cast("long"))
+    if state["n"]:
+        own = F.col("doc_id").eqNullSafe(F.col(gone))
+        last = docs.agg(F.max("doc_id")).first()[0] or 0
+        apart = docs.join(several, own, "left_semi").withColumn(key, F.lit(last + 1) + F.monotonically_increasing_id())
+        keyed = keyed.join(several, own, "left_anti").unionByName(saved(apart, "dup-apart"))
+    verdict = near_duplicates(keyed.select(F.col(key).alias("doc_id"), "text"), width)
+    verdict = verdict.where("not kept").select(F.col("doc_id").alias(gone))
+    return keyed.join(saved(verdict, "dup-gone"), F.col(key) == F.col(gone), "left_anti").select(docs.columns)
