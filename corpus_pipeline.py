@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regiostat.llm import lang_id, mixing, near_dup, packing, secret_scan
-from regiostat.llm.common import saved, table
+from regiostat.llm.common import free_name, saved, small_batches, table
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -20,21 +20,25 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     A document is rejected if it has no letters or no language is likely
     enough; the classifier learns from the labelled documents of its input.
     """
+    small_batches(spark)
     model = lang_id.fit(docs)
-    if not model.langs:
-        return docs
-    out = lang_id.identify(docs, model, out="__language")
-    return out.where(lang_id.accepted(F.col("__language"))).select(docs.columns)
+    if not model.langs:  # no labelled text: only documents without letters are rejected
+        return docs.where(F.col("text").rlike(r"\p{L}"))
+    language = free_name(docs.columns, "language")
+    out = lang_id.identify(docs, model, out=language)
+    return out.where(lang_id.accepted(F.col(language))).select(docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays."""
+    small_batches(spark)
     return near_dup.deduplicated(docs)
 
 
 def secret_redaction(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are replaced in the text; every document stays."""
-    found = secret_scan.redact(secret_scan.find_secrets(docs, out="__spans"), spans="__spans")
+    small_batches(spark)
+    found = secret_scan.without_secrets(docs)
     if "n_chars" in docs.columns:
         found = found.withColumn("n_chars", F.length("text").cast("long"))
     return found.select(docs.columns)
@@ -42,11 +46,13 @@ def secret_redaction(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeated and cut to the target weights of their sources."""
+    small_batches(spark)
     return mixing.mixed_documents(docs)
 
 
 def best_fit(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Which words of which document lie where in which bin."""
+    small_batches(spark)
     return packing.pack(docs)
 
 
