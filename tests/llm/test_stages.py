@@ -35,7 +35,8 @@ def test_extra_columns_come_back(spark, clashing, name):
 
 
 def test_repeated_rows_and_null_ids(spark):
-    docs = spark.read.parquet(f"{SMALL}/documents.parquet").dropDuplicates(["text"]).limit(50)
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").where("doc_id < 60")  # whose exact copies are counted once
+    docs = docs.groupBy("text").agg(*[F.min(c).alias(c) for c in docs.columns if c != "text"])
     alone = sorted(r.text for r in STAGES["near_dedup"](spark, docs, SMALL).collect())
     twice = [r.text for r in STAGES["near_dedup"](spark, docs.unionByName(docs), SMALL).collect()]
     assert len(set(twice)) == len(twice) == len(alone)  # which copy of a group stays may differ
