@@ -242,12 +242,17 @@ def _assembled(rows: pa.Table, kind: np.dtype) -> pa.Table:
                      "ids": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values))})
 
 
+def asked_chunks(docs: DataFrame, vocabulary: str = VOCABULARY, bits: int = CHUNK_BITS, least: int = LEAST) -> DataFrame:
+    """The distinct chunks (``body``) of each batch of documents, and its recipe (no ``high``)."""
+    rows = docs.select(F.col("doc_id").cast("long"), "text")
+    return rows.mapInArrow(lambda b: _asked(b, vocabulary, bits, least), ASKED)
+
+
 def encode(docs: DataFrame, vocabulary: str = VOCABULARY, bits: int = CHUNK_BITS, least: int = LEAST) -> DataFrame:
     """doc_id and ids (array of int) of every document."""
     small_batches(docs.sparkSession)
     kind = id_type(tokenizer(vocabulary))
-    asked = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        lambda b: _asked(b, vocabulary, bits, least), ASKED)
+    asked = asked_chunks(docs, vocabulary, bits, least)
     asked = asked.repartition("low").sortWithinPartitions("high", "low", "body")
     answered = asked.mapInArrow(lambda b: _answered(b, vocabulary), ANSWERED)
     return answered.groupBy("batch").applyInArrow(lambda t: _assembled(t, kind), "doc_id long, ids array<int>")

@@ -173,6 +173,17 @@ class BallTree:
         self.radius = np.array(self.radius)
         self.rows = rows.take(self.order)
 
+    def state(self) -> dict:
+        """Plain arrays and lists, which need no class to be read."""
+        own = vars(self)
+        return own | {"rows": (self.rows.at, self.rows.term, self.rows.value)}
+
+    @classmethod
+    def of(cls, state: dict) -> "BallTree":
+        tree = cls.__new__(cls)
+        vars(tree).update(state | {"rows": Rows(*state["rows"])})
+        return tree
+
     def _node(self, scaled: Rows, start: int, end: int) -> tuple[Rows, np.ndarray]:
         own = scaled.take(self.order[start:end])
         terms_, inverse = np.unique(own.term, return_inverse=True)
@@ -298,7 +309,7 @@ def _blocks(batches, shared, total: int, length: int, block: int):
         rank = np.empty(len(ids), np.int64)
         rank[np.lexsort((numbers, missing))] = np.arange(len(ids))
         return pa.RecordBatch.from_arrays(
-            [pa.array([pickle.dumps((numbers, missing, rank, found), pickle.HIGHEST_PROTOCOL)], pa.binary())], ["tree"])
+            [pa.array([pickle.dumps((numbers, missing, rank, found.state()), pickle.HIGHEST_PROTOCOL)], pa.binary())], ["tree"])
 
     for b in batches:
         for row in zip(*(b.column(c).to_pylist() for c in ("doc_id", "n", "terms", "tfs"))):
@@ -320,7 +331,8 @@ def _found(batches, shared, floors, k: int, leaves: int | None):
     root, dense = np.sqrt(w.astype(float)), np.zeros(len(w), np.int64)
     for b in batches:
         for i in range(b.num_rows):
-            numbers, missing, rank, tree = pickle.loads(b.column(0)[i].as_py())
+            numbers, missing, rank, state = pickle.loads(b.column(0)[i].as_py())
+            tree = BallTree.of(state)
             item, doc, score = [], [], []
             for q, term in enumerate(items):
                 own = w[term]

@@ -298,8 +298,9 @@ def test_bpe_is_the_library(spark, odd, path):
 
 def test_chunks_are_encoded_once(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text")
-    asked = docs.unionByName(docs).repartition(6).mapInArrow(lambda b: bpe._asked(b, bpe.VOCABULARY, 7, 32), bpe.ASKED)
-    rows = asked.where("high IS NOT NULL").select("body").collect()
+    asked = bpe.asked_chunks(docs.unionByName(docs).repartition(6), bits=7, least=32)
+    rows = asked.where("high IS NOT NULL").select("batch", "body").collect()
+    assert len({(r.batch, bytes(r.body)) for r in rows}) == len(rows)  # a batch asks once
     assert len({bytes(r.body) for r in rows}) < len(rows) * 0.8  # batches ask for the same chunks
 
 
