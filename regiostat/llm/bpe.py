@@ -2,10 +2,10 @@
 
 A rolling hash over the last ``WINDOW`` bytes cuts texts where its value says
 so, so equal passages are cut alike wherever they stand.  Each distinct chunk
-of all documents is encoded once: chunks are sorted by a 128-bit digest, and a
-run of one digest (texts compared) is encoded once and answers every batch of
-documents that has the chunk.  A batch asks once for a chunk, however many of
-its documents hold it.
+of all documents is encoded once: chunks are dealt by a 128-bit digest to
+buckets, one task reads a bucket and encodes a chunk when it first comes, and
+every batch of documents that has the chunk gets its tokens.  A batch asks once
+for a chunk, however many of its documents hold it.
 
 A cut falls inside words, and tokens there would be wrong.  Of a chunk only
 what lies between its first and its last blank is encoded as such; the word at
@@ -15,8 +15,10 @@ the join agrees with both sides.  Where they don't agree, or a chunk has no
 blank, the cut is given up and the chunks on both sides become one, and so on
 until all joins agree; a text without any blank is one chunk.
 
-Texts cross the network once (distinct in each batch), tokens once.  Batches
-hold at most ``BATCH_BYTES`` of text or one document.
+Texts cross the network once (distinct in each batch), tokens once, both
+compressed, the chunks of a batch for one bucket together.  Batches hold at
+most ``BATCH_BYTES`` of text or one document; there are as many buckets as keep
+the tokens of one at ``BUCKET_BYTES`` of text.
 
 Defined cases: a null text is empty and has no tokens; rows with equal or null
 doc_id are documents of their own; extra columns are ignored; an empty table
@@ -37,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.taskcontext import TaskContext
 
-from .common import small_batches
+from .common import partitions, small_batches
 
 VOCABULARY = "word_bpe_49k.json"
 #: Bytes that the rolling hash sees (a power of two).
@@ -48,6 +50,8 @@ CHUNK_BITS = 9
 LEAST = 128
 BATCH_BYTES = 8 << 20
 BATCH_DOCS = 8192
+#: Text whose distinct chunks a task remembers.
+BUCKET_BYTES = 64 << 20
 #: Chunks that are encoded at once.
 ENCODED = 512
 _GEAR = np.frombuffer(b"".join(hashlib.blake2b(bytes([i]), digest_size=8).digest() for i in range(256)), np.uint64)
@@ -122,7 +126,8 @@ class _Cutter:
         self.kind, self.bits, self.least = id_type(self.tok), bits, least
 
     def batch(self, ids: list, texts: list[bytes]):
-        """Distinct chunks {digest: text} of a batch and its recipe."""
+        """Distinct chunks {digest: text} of a batch and the recipe: of each
+        document its parts, chunks by number and words at joins below zero."""
         found = [joins(t, self.bits, self.least) for t in texts]
         windows: dict[bytes, bytes] = {}
         for t, js in zip(texts, found):
@@ -147,7 +152,7 @@ class _Cutter:
                 start = c
             self._chunk(t[start:], chunks, place, parts)
             recipe.append(np.array(parts, np.int32))
-        return chunks, pickle.dumps((ids, list(place), recipe, words), pickle.HIGHEST_PROTOCOL)
+        return chunks, (ids, recipe, words)
 
     @staticmethod
     def _chunk(text: bytes, chunks: dict, place: dict, parts: list) -> None:
@@ -158,11 +163,30 @@ class _Cutter:
             parts.append(place.setdefault(digest, len(place)))
 
 
-ASKED = "high long, low long, batch long, body binary"
+def packed(parts: list[bytes]) -> bytes:
+    """Byte strings as one compressed string."""
+    body = np.array([len(parts), *map(len, parts)], "<i4").tobytes() + b"".join(parts)
+    return len(body).to_bytes(8, "little") + pa.Codec("zstd").compress(body, asbytes=True)
 
 
-def _asked(batches, vocabulary: str, bits: int, least: int):
-    """Chunks and recipes: (high, low) is the digest of a chunk; a recipe has no ``high``."""
+def unpacked(data: bytes) -> list[bytes]:
+    body = pa.Codec("zstd").decompress(data[8:], int.from_bytes(data[:8], "little"), asbytes=True)
+    n = int.from_bytes(body[:4], "little")
+    ends = 4 * (n + 1) + np.cumsum(np.frombuffer(body, "<i4", n, 4))
+    return [body[a:b] for a, b in zip([4 * (n + 1), *ends[:-1].tolist()], ends.tolist())]
+
+
+MESSAGES = "dealt long, bucket int, batch long, body binary"
+
+
+def _messages(rows: list[tuple]) -> pa.RecordBatch:
+    types = [pa.int64(), pa.int32(), pa.int64(), pa.binary()]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)],
+                                      ["dealt", "bucket", "batch", "body"])
+
+
+def _asked(batches, vocabulary: str, bits: int, least: int, buckets: int):
+    """For each batch of documents its distinct chunks, a row a bucket, and its recipe, which has no bucket."""
     cutter = _Cutter(vocabulary, bits, least)
     number = TaskContext.get().partitionId() << 32
     ids, texts, held = [], [], 0
@@ -170,16 +194,22 @@ def _asked(batches, vocabulary: str, bits: int, least: int):
     def flush():
         nonlocal ids, texts, held, number
         chunks, recipe = cutter.batch(ids, texts)
-        digests = np.frombuffer(b"".join(chunks), "<i8").reshape(-1, 2)
-        bodies = list(chunks.values())
-        for at in range(0, len(bodies), 4096):
-            part = digests[at:at + 4096]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(part[:, 0]), pa.array(part[:, 1]), pa.array(np.full(len(part), number)),
-                 pa.array(bodies[at:at + 4096], pa.binary())], ["high", "low", "batch", "body"])
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([None], pa.int64()), pa.array([number * 0x9E3779B1 % (1 << 62)], pa.int64()),
-             pa.array([number], pa.int64()), pa.array([recipe], pa.binary())], ["high", "low", "batch", "body"])
+        of: dict[int, list] = {}
+        places = []  # bucket and place in it of each chunk
+        for digest, text in chunks.items():
+            own = of.setdefault(int.from_bytes(digest[:8], "little") % buckets, [])
+            places.append((int.from_bytes(digest[:8], "little") % buckets, len(own) // 2))
+            own += (digest, text)
+        rows, size = [], 0
+        for bucket, own in of.items():
+            rows.append((bucket, bucket, number, packed(own)))
+            size += len(rows[-1][-1])
+            if size > 1 << 20:
+                yield _messages(rows)
+                rows, size = [], 0
+        rows.append((number * 0x9E3779B1 % (1 << 62), None, number,
+                     packed([pickle.dumps((*recipe, places), pickle.HIGHEST_PROTOCOL)])))
+        yield _messages(rows)
         ids, texts, held, number = [], [], 0, number + 1
 
     for b in batches:
@@ -196,65 +226,56 @@ def _asked(batches, vocabulary: str, bits: int, least: int):
         yield from flush()
 
 
-ANSWERED = "batch long, digest binary, body binary"
-
-
 def _answered(batches, vocabulary: str):
-    """Rows sorted by digest: each distinct chunk is encoded once, and every batch that asked gets its tokens."""
+    """Rows sorted by bucket: a chunk is encoded when it first comes, and every batch that asked gets its tokens."""
     tok = tokenizer(vocabulary)
     kind = id_type(tok)
-    names = ["batch", "digest", "body"]
-    last = last_text = last_ids = None
+    known: dict[bytes, bytes] = {}
+    current = None
     for b in batches:
-        for at in range(0, b.num_rows, ENCODED):
-            high, low, batch, body = (c.to_pylist() for c in b.slice(at, ENCODED).columns)
-            new, texts = [], []  # the row at which each new chunk of these begins
-            for i, (h, lo, text) in enumerate(zip(high, low, body)):
-                if h is None or (h, lo) == last and text == last_text:
-                    continue
-                new.append(i)
-                texts.append(text.decode("utf-8", "replace"))
-                last, last_text = (h, lo), text
-            tokens = dict(zip(new, encoded(tok, texts, kind)))
-            digests, bodies = [], []
-            for i, (h, lo) in enumerate(zip(high, low)):
-                if h is None:
-                    digests.append(None)
-                    bodies.append(body[i])
-                    continue
-                last_ids = tokens.get(i, last_ids)
-                digests.append(np.array([h, lo], "<i8").tobytes())
-                bodies.append(last_ids)
-            yield pa.RecordBatch.from_arrays([pa.array(batch, pa.int64()), pa.array(digests, pa.binary()),
-                                              pa.array(bodies, pa.binary())], names)
+        for row in zip(*(b.column(c).to_pylist() for c in ("dealt", "bucket", "batch", "body"))):
+            if row[1] is None:
+                yield _messages([row])
+                continue
+            if row[1] != current:
+                known, current = {}, row[1]
+            parts = unpacked(row[3])
+            digests, texts = parts[::2], parts[1::2]
+            new = [i for i, d in enumerate(digests) if d not in known]
+            for at in range(0, len(new), ENCODED):
+                some = new[at:at + ENCODED]
+                known.update(zip((digests[i] for i in some),
+                                 encoded(tok, [texts[i].decode("utf-8", "replace") for i in some], kind)))
+            yield _messages([(*row[:3], packed([known[d] for d in digests]))])
 
 
 def _assembled(rows: pa.Table, kind: np.dtype) -> pa.Table:
     """The tokens of the documents of one batch."""
-    digests, bodies = rows["digest"].to_pylist(), rows["body"].to_pylist()
-    recipe = bodies[digests.index(None)]
-    of = dict(zip(digests, bodies))
-    ids, order, parts, words = pickle.loads(recipe)
-    tokens = [b"".join(of[order[p]] if p >= 0 else words[-p - 1] for p in ps.tolist()) for ps in parts]
+    answers = {bucket: unpacked(body) for bucket, body in zip(rows["bucket"].to_pylist(), rows["body"].to_pylist())}
+    ids, parts, words, places = pickle.loads(answers.pop(None)[0])
+    tokens = [b"".join(answers[places[p][0]][places[p][1]] if p >= 0 else words[-p - 1] for p in ps.tolist()) for ps in parts]
     ends = np.cumsum([0] + [len(t) // kind.itemsize for t in tokens])
     values = np.frombuffer(b"".join(tokens), kind).astype(np.int32)
     return pa.table({"doc_id": pa.array(ids, pa.int64()),
                      "ids": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values))})
 
 
-def asked_chunks(docs: DataFrame, vocabulary: str = VOCABULARY, bits: int = CHUNK_BITS, least: int = LEAST) -> DataFrame:
-    """The distinct chunks (``body``) of each batch of documents, and its recipe (no ``high``)."""
+def asked_chunks(docs: DataFrame, vocabulary: str = VOCABULARY, bits: int = CHUNK_BITS, least: int = LEAST,
+                 bucket_bytes: int | None = None) -> DataFrame:
+    """What each batch of documents asks for: its distinct chunks by bucket, and its recipe (no bucket)."""
+    spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long"), "text")
-    return rows.mapInArrow(lambda b: _asked(b, vocabulary, bits, least), ASKED)
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = max(2 * partitions(spark), -(-size // (bucket_bytes or BUCKET_BYTES)))
+    return rows.mapInArrow(lambda b: _asked(b, vocabulary, bits, least, buckets), MESSAGES)
 
 
 def encode(docs: DataFrame, vocabulary: str = VOCABULARY, bits: int = CHUNK_BITS, least: int = LEAST) -> DataFrame:
     """doc_id and ids (array of int) of every document."""
     small_batches(docs.sparkSession)
     kind = id_type(tokenizer(vocabulary))
-    asked = asked_chunks(docs, vocabulary, bits, least)
-    asked = asked.repartition("low").sortWithinPartitions("high", "low", "body")
-    answered = asked.mapInArrow(lambda b: _answered(b, vocabulary), ANSWERED)
+    asked = asked_chunks(docs, vocabulary, bits, least).repartition("dealt").sortWithinPartitions("bucket", "batch")
+    answered = asked.mapInArrow(lambda b: _answered(b, vocabulary), MESSAGES)
     return answered.groupBy("batch").applyInArrow(lambda t: _assembled(t, kind), "doc_id long, ids array<int>")
 
 

@@ -251,12 +251,15 @@ def test_chunks_give_the_library_tokens(text):
     """Recipes with very small chunks against the whole text's own tokens."""
     cutter = bpe._Cutter(bpe.VOCABULARY, bits=3, least=4)
     data = text.encode()
-    chunks, recipe = cutter.batch([1], [data])
-    rows = {"batch": [0] * (len(chunks) + 1), "digest": [None, *chunks],
-            "body": [recipe, *bpe.encoded(cutter.tok, [c.decode() for c in chunks.values()], cutter.kind)]}
-    import pyarrow as pa
-    got = bpe._assembled(pa.table(rows), cutter.kind)["ids"].to_pylist()[0]
-    assert got == cutter.tok.encode(text, add_special_tokens=False).ids
+    chunks, (_, (parts,), words) = cutter.batch([1], [data])
+    tokens = bpe.encoded(cutter.tok, [c.decode() for c in chunks.values()], cutter.kind)
+    got = np.frombuffer(b"".join(tokens[p] if p >= 0 else words[-p - 1] for p in parts), cutter.kind)
+    assert got.tolist() == cutter.tok.encode(text, add_special_tokens=False).ids
+
+
+@given(st.lists(st.binary(max_size=50), max_size=20))
+def test_packed(parts):
+    assert bpe.unpacked(bpe.packed(parts)) == parts
 
 
 def test_cuts_follow_content():
@@ -298,10 +301,30 @@ def test_bpe_is_the_library(spark, odd, path):
 
 def test_chunks_are_encoded_once(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text")
-    asked = bpe.asked_chunks(docs.unionByName(docs).repartition(6), bits=7, least=32)
-    rows = asked.where("high IS NOT NULL").select("batch", "body").collect()
-    assert len({(r.batch, bytes(r.body)) for r in rows}) == len(rows)  # a batch asks once
-    assert len({bytes(r.body) for r in rows}) < len(rows) * 0.8  # batches ask for the same chunks
+    asked = bpe.asked_chunks(docs.unionByName(docs).repartition(6), bits=7, least=32).where("bucket IS NOT NULL")
+    own, every, of = set(), [], {}
+    for r in asked.collect():
+        parts = bpe.unpacked(bytes(r.body))
+        assert all(hashlib.blake2b(t, digest_size=16).digest() == d for d, t in zip(parts[::2], parts[1::2]))
+        for d in parts[::2]:
+            assert (r.batch, d) not in own  # a batch asks once
+            own.add((r.batch, d))
+            every.append(d)
+            assert of.setdefault(d, r.bucket) == r.bucket  # a chunk has one bucket
+    assert len(set(every)) < len(every) * 0.8  # batches ask for the same chunks
+
+
+@pytest.mark.parametrize("bucket_bytes", [1 << 14])
+def test_many_buckets_give_the_same(spark, bucket_bytes):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    before, bpe.BUCKET_BYTES = bpe.BUCKET_BYTES, bucket_bytes
+    try:
+        many = bpe.encode(docs.repartition(5)).collect()
+    finally:
+        bpe.BUCKET_BYTES = before
+    tok = bpe.tokenizer(bpe.VOCABULARY)
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    assert {r.doc_id: r.ids for r in many} == {d: tok.encode(t or "", add_special_tokens=False).ids for d, t in texts.items()}
 
 
 # -------------------------------------------------------------- op13: search
