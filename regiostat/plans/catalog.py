@@ -673,3 +673,8 @@ QUERIES = {
     "climate_trend_profile": climate_trend_profile,
     "climate_silver_summary": climate_silver_summary,
 }
+
+# queries over stored state build on this module's helpers
+from regiostat.plans.stateful import QUERIES as STATEFUL  # noqa: E402
+
+QUERIES.update(STATEFUL)

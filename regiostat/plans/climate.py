@@ -159,23 +159,33 @@ def two_stage(df: DataFrame, station: str, group: Sequence[str], period: str,
     double aggregates.  ``exact=False`` sums doubles (order-dependent in the
     last bits).
     """
-    keys1 = [station, *group, period]
-    src = df.dropna(subset=keys1)
+    st = station_stage(df, station, group, period, stage1, derive, complete_only, month, exact)
+    fact = province_stage(st, group, period, stage2, exact)
+    for src_col, out in diffs:
+        fact = diff(fact, [group[0]], [period], src_col, out)
+    return round_float_columns(fact, scale)
+
+
+def station_stage(df: DataFrame, station: str, group: Sequence[str], period: str, stage1: AggSpec,
+                  derive: dict | None, complete_only: bool = False, month: str = "month",
+                  exact: bool = True) -> DataFrame:
+    """First stage of :func:`two_stage`: one row per station and period."""
+    keys = [station, *group, period]
+    src = df.dropna(subset=keys)
     extra = [month_bitmask_count(month).alias("_months")] if complete_only else []
-    types1 = dict(src.dtypes)
-    st = src.groupBy(*keys1).agg(*[_stage_agg(types1, fn, col, exact).alias(out) for out, fn, col in stage1],
-                                 *extra)
+    types = dict(src.dtypes)
+    st = src.groupBy(*keys).agg(*[_stage_agg(types, fn, col, exact).alias(out) for out, fn, col in stage1], *extra)
     if complete_only:
         st = st.where(F.col("_months") == 12).drop("_months")
-    if derive:
-        st = st.withColumns(derive)
+    return st.withColumns(derive) if derive else st
+
+
+def province_stage(st: DataFrame, group: Sequence[str], period: str, stage2: AggSpec, exact: bool = True) -> DataFrame:
+    """Second stage of :func:`two_stage`, before differences and rounding."""
     st = st.dropna(subset=[*group, period])
-    types2 = dict(st.dtypes)
-    fact = st.groupBy(*group, period).agg(*[_stage_agg(types2, fn, col, exact, raw=False).alias(out)
+    types = dict(st.dtypes)
+    return st.groupBy(*group, period).agg(*[_stage_agg(types, fn, col, exact, raw=False).alias(out)
                                             for out, fn, col in stage2])
-    for src_col, out in diffs:
-        fact = diff(fact, [group[0]], [period], src_col, out)
-    return round_float_columns(fact, scale)
 
 
 def _stage_agg(types: dict, fn: str, col: str, exact: bool, raw: bool = True):

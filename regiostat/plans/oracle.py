@@ -579,3 +579,39 @@ ORACLE = {
     "climate_trend_profile": CLIMATE_TREND_PROFILE,
     "climate_silver_summary": CLIMATE_SILVER_SUMMARY,
 }
+
+# ------------------------------------------------------- queries over stored state
+RETRY_STREAM = """
+SELECT user_id, COUNT(*) AS attempts, CASE WHEN COUNT(*) < 10 THEN 'retry' ELSE 'dead_letter' END AS status,
+       MAX(ts) AS last_failed_at, CASE WHEN COUNT(*) < 10 THEN MAX(ts) + INTERVAL 1 HOUR END AS due_at
+FROM events WHERE event_type = 'error' GROUP BY user_id"""
+
+POWER_COLLECT = f"""
+WITH {DISTRICT},
+b AS (SELECT date_trunc('month', MIN(o_orderdate)) AS lo, date_trunc('month', MAX(o_orderdate)) AS hi FROM orders),
+grid AS (
+  SELECT CAST(r.r_regionkey AS INTEGER) AS sd_code, CAST(year(t.m) AS INTEGER) AS year,
+         CAST(month(t.m) AS INTEGER) AS month
+  FROM region r, b, generate_series(b.lo, b.hi, INTERVAL 1 MONTH) AS t(m)
+),
+slots AS (SELECT year, month, sd_code, MIN(house_cnt) < 3 AS bad FROM dm GROUP BY year, month, sd_code)
+SELECT g.year, g.month, g.sd_code,
+       CAST(CASE WHEN NOT COALESCE(s.bad, false) THEN 0 WHEN g.year = 1995 THEN 2 ELSE 1 END AS BIGINT) AS attempts,
+       CASE WHEN s.year IS NULL THEN 'pending' WHEN s.bad AND g.year = 1995 THEN 'dead_letter' ELSE 'stored' END AS status
+FROM grid g LEFT JOIN slots s ON s.year = g.year AND s.month = g.month AND s.sd_code = g.sd_code"""
+
+MISSING_SLOTS_PRUNED = f"SELECT * FROM ({MISSING_SLOTS}) WHERE year IN (1996, 1997)"
+
+STABLE_KEYS = f"""
+WITH {DISTRICT}
+SELECT CAST(ROW_NUMBER() OVER (ORDER BY year < 1997, year, month, sgg_name) AS BIGINT) AS id, year, month, sgg_name
+FROM (SELECT DISTINCT year, month, sgg_name FROM dm)"""
+
+ORACLE.update({
+    "retry_stream": RETRY_STREAM,
+    "power_collect": POWER_COLLECT,
+    "power_collect_bronze": BRONZE_INGEST,
+    "incremental_trend": _trend(True),
+    "missing_slots_pruned": MISSING_SLOTS_PRUNED,
+    "stable_keys": STABLE_KEYS,
+})
