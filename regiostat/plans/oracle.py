@@ -607,7 +607,36 @@ WITH {DISTRICT}
 SELECT CAST(ROW_NUMBER() OVER (ORDER BY year < 1997, year, month, sgg_name) AS BIGINT) AS id, year, month, sgg_name
 FROM (SELECT DISTINCT year, month, sgg_name FROM dm)"""
 
+PROFILE_SKETCHED = "\nUNION ALL ".join(f"""
+SELECT '{c}' AS "column", COUNT({c}) AS count, MIN({c}) AS min, MAX({c}) AS max, true AS quantiles_near,
+       true AS distinct_near FROM lineitem HAVING COUNT(*) > 0""" for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax"))
+
+CSV_QUARANTINE = f"""
+WITH {OBS},
+s AS (SELECT DISTINCT station FROM obs WHERE station % 2 = 0)
+SELECT * FROM (
+  SELECT 'row' AS kind, CASE WHEN month = 7 THEN 'quarantined' ELSE 'good' END AS name, COUNT(*) AS n FROM obs GROUP BY ALL
+  UNION ALL SELECT 'missing', '평균기온(°C)', COUNT(*) FROM s
+  UNION ALL SELECT 'extra', '비고', COUNT(*) FROM s
+  UNION ALL SELECT 'unparsed', 'x', COUNT(*) FROM obs WHERE station % 2 = 1 AND month = 5
+) WHERE n > 0"""
+
+ZORDER_LAYOUT = """
+SELECT CAST(year(o_orderdate) AS INTEGER) AS year, COUNT(*) AS n_orders, true AS o_custkey_skips, true AS o_orderdate_skips
+FROM orders GROUP BY 1"""
+
+STREAM_METRICS = """
+WITH e AS (SELECT CASE WHEN day(ts) <= 15 THEN 0 ELSE 1 END AS batch_id, event_type FROM events),
+m AS (SELECT batch_id, COUNT(*) AS landed, COUNT(*) FILTER (event_type = 'error') AS rejected,
+             COUNT(*) FILTER (event_type <> 'error') AS stored FROM e GROUP BY batch_id)
+SELECT CAST(batch_id AS BIGINT) AS batch_id, metric, value FROM m UNPIVOT (value FOR metric IN (landed, rejected, stored))"""
+
 ORACLE.update({
+    "interpolate_incremental": ACCTBAL_INTERPOLATE,
+    "profile_sketched": PROFILE_SKETCHED,
+    "csv_quarantine": CSV_QUARANTINE,
+    "zorder_layout": ZORDER_LAYOUT,
+    "stream_metrics": STREAM_METRICS,
     "retry_stream": RETRY_STREAM,
     "power_collect": POWER_COLLECT,
     "power_collect_bronze": BRONZE_INGEST,
