@@ -15,8 +15,14 @@ the join agrees with both sides.  Where they don't agree, or a chunk has no
 blank, the cut is given up and the chunks on both sides become one, and so on
 until all joins agree; a text without any blank is one chunk.
 
+Blanks part words for good in this vocabulary (the joins rest on that, and check
+it), so a task remembers the tokens of words and encodes those that it has not
+met, many in one call with a special token between them.
+
 Texts cross the network once (distinct in each batch), tokens once, both
-compressed, the chunks of a batch for one bucket together.  Batches hold at
+compressed, the chunks of a batch for one bucket together.  Tokens are written
+by their rank in a sample of ``CODE_DOCS`` documents, one byte for the common
+ones; the sample decides about sizes only.  Batches hold at
 most ``BATCH_BYTES`` of text or one document; there are as many buckets as keep
 the tokens of one at ``BUCKET_BYTES`` of text.
 
@@ -52,8 +58,12 @@ BATCH_BYTES = 8 << 20
 BATCH_DOCS = 8192
 #: Text whose distinct chunks a task remembers.
 BUCKET_BYTES = 64 << 20
-#: Chunks that are encoded at once.
-ENCODED = 512
+#: Texts that are encoded at once, words of one call, and words that a task remembers (twice so many at most).
+ENCODED, TOGETHER, REMEMBERED = 512, 256, 200_000
+#: Compression level: at 6, 20 to 40 MB a second.
+LEVEL = 6
+#: Documents whose tokens give the ranks that tokens are written by.
+CODE_DOCS = 64
 _GEAR = np.frombuffer(b"".join(hashlib.blake2b(bytes([i]), digest_size=8).digest() for i in range(256)), np.uint64)
 _BLANK = np.isin(np.arange(256), [9, 10, 13, 32])
 
@@ -83,6 +93,61 @@ def encoded(tok, texts: list[str], kind: np.dtype) -> list[bytes]:
     return [np.array(e.ids, kind).tobytes() for e in many(texts, add_special_tokens=False)]
 
 
+def separator(tok) -> tuple[str, int] | None:
+    """A special token that is found anywhere in a text, and its id."""
+    for i, t in sorted(tok.get_added_tokens_decoder().items()):
+        if t.special and not (t.single_word or t.normalized):
+            return t.content, i
+    return None
+
+
+class Words:
+    """The tokens of words between blanks, each encoded when it is first met.
+
+    Two generations of words are kept: a full one becomes the old one, and old
+    words that come again move on, so common words are never forgotten.
+    """
+
+    def __init__(self, tok, kind: np.dtype, most: int = REMEMBERED):
+        self.tok, self.kind, self.most = tok, kind, most
+        self.mark = separator(tok)
+        self.known: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+
+    def learn(self, words: set[bytes]) -> None:
+        if len(self.known) + len(words) > self.most:
+            self.known, self.old = {}, self.known
+        new = []
+        for w in words:
+            if w not in self.known:
+                if w in self.old:
+                    self.known[w] = self.old[w]
+                else:
+                    new.append(w)
+        alone = [w for w in new if self.mark is None or self.mark[0].encode() in w]
+        if alone:
+            some = set(alone)
+            new = [w for w in new if w not in some]
+            self.known.update(zip(alone, encoded(self.tok, [w.decode("utf-8", "replace") for w in alone], self.kind)))
+        for at in range(0, len(new), TOGETHER):
+            some = new[at:at + TOGETHER]
+            text = self.mark[0].join([w.decode("utf-8", "replace") for w in some])
+            ids = np.frombuffer(encoded(self.tok, [text], self.kind)[0], self.kind)
+            marks = np.flatnonzero(ids == self.mark[1])
+            starts, ends = np.r_[0, marks + 1].tolist(), np.r_[marks, len(ids)].tolist()
+            self.known.update((w, ids[a:b].tobytes()) for w, a, b in zip(some, starts, ends, strict=True))
+
+    def tokens(self, texts: list[bytes]) -> list[bytes]:
+        """Tokens of texts that begin and end with whole words."""
+        split = [t.split() for t in texts]
+        out = []
+        for at in range(0, len(split), ENCODED):
+            some = split[at:at + ENCODED]
+            self.learn({w for ws in some for w in ws})
+            out += [b"".join(map(self.known.__getitem__, ws)) for ws in some]
+        return out
+
+
 def cuts(data: np.ndarray, bits: int = CHUNK_BITS, least: int = LEAST) -> list[int]:
     """Positions at which the rolling hash cuts a text."""
     h = _GEAR[data]
@@ -124,19 +189,17 @@ class _Cutter:
     def __init__(self, vocabulary: str, bits: int = CHUNK_BITS, least: int = LEAST):
         self.tok = tokenizer(vocabulary)
         self.kind, self.bits, self.least = id_type(self.tok), bits, least
+        self.words = Words(self.tok, self.kind)
 
     def batch(self, ids: list, texts: list[bytes]):
         """Distinct chunks {digest: text} of a batch and the recipe: of each
         document its parts, chunks by number and words at joins below zero."""
         found = [joins(t, self.bits, self.least) for t in texts]
-        windows: dict[bytes, bytes] = {}
-        for t, js in zip(texts, found):
-            for a, b, c, d in js:
-                for w in (t[a:d], t[a:b], t[b:c], t[c:d]):
-                    windows.setdefault(w, b"")
-        keys = list(windows)
-        for at in range(0, len(keys), 4 * ENCODED):
-            some = keys[at:at + 4 * ENCODED]
+        keys = list({t[a:d] for t, js in zip(texts, found) for a, b, c, d in js})
+        alone = list({w for t, js in zip(texts, found) for a, b, c, d in js for w in (t[a:b], t[b:c], t[c:d])})
+        windows = dict(zip(alone, self.words.tokens(alone)))
+        for at in range(0, len(keys), ENCODED):  # the three words of a join together, as the library does them
+            some = keys[at:at + ENCODED]
             windows.update(zip(some, encoded(self.tok, [w.decode("utf-8", "replace") for w in some], self.kind)))
         chunks: dict[bytes, bytes] = {}
         place: dict[bytes, int] = {}
@@ -166,7 +229,7 @@ class _Cutter:
 def packed(parts: list[bytes]) -> bytes:
     """Byte strings as one compressed string."""
     body = np.array([len(parts), *map(len, parts)], "<i4").tobytes() + b"".join(parts)
-    return len(body).to_bytes(8, "little") + pa.Codec("zstd").compress(body, asbytes=True)
+    return len(body).to_bytes(8, "little") + pa.Codec("zstd", compression_level=LEVEL).compress(body, asbytes=True)
 
 
 def unpacked(data: bytes) -> list[bytes]:
@@ -176,6 +239,37 @@ def unpacked(data: bytes) -> list[bytes]:
     return [body[a:b] for a, b in zip([4 * (n + 1), *ends[:-1].tolist()], ends.tolist())]
 
 
+def by_rank(parts: list[bytes], kind: np.dtype, ranks: np.ndarray) -> bytes:
+    """Token strings as one compressed string: a byte for each of the commonest
+    240 tokens, two for the next 3,840, four for others."""
+    r = ranks[np.frombuffer(b"".join(parts), kind)].astype(np.int64)
+    high = (r - 240) >> 8
+    first = np.where(r < 240, r, np.where(high < 15, 240 + high, 255)).astype(np.uint8)
+    second = ((r - 240) & 255)[(r >= 240) & (high < 15)].astype(np.uint8)
+    rest = r[first == 255].astype("<u4")
+    sizes = np.array([len(p) // kind.itemsize for p in parts], "<u4")
+    return packed([sizes.tobytes(), first.tobytes(), second.tobytes(), rest.tobytes()])
+
+
+def from_ranks(data: bytes, kind: np.dtype, order: np.ndarray) -> list[bytes]:
+    sizes, first, second, rest = unpacked(data)
+    r = np.frombuffer(first, np.uint8).astype(np.int64)
+    two, far = (r >= 240) & (r < 255), r == 255
+    r[two] = 240 + ((r[two] - 240) << 8) + np.frombuffer(second, np.uint8)
+    r[far] = np.frombuffer(rest, "<u4")
+    ids = order[r].astype(kind).tobytes()
+    ends = (np.cumsum(np.frombuffer(sizes, "<u4"), dtype=np.int64) * kind.itemsize).tolist()
+    return [ids[a:b] for a, b in zip([0, *ends[:-1]], ends)]
+
+
+def token_order(docs: DataFrame, vocabulary: str, sample: int = CODE_DOCS) -> np.ndarray:
+    """All token ids, those that a few documents hold most often first."""
+    tok = tokenizer(vocabulary)
+    few = [r["text"] or "" for r in docs.select(F.substring("text", 1, 1 << 16).alias("text")).limit(sample).collect()]
+    ids = np.frombuffer(b"".join(encoded(tok, few, id_type(tok))), id_type(tok))
+    return np.argsort(-np.bincount(ids, minlength=tok.get_vocab_size(with_added_tokens=True)), kind="stable").astype(np.int32)
+
+
 MESSAGES = "dealt long, bucket int, batch long, body binary"
 
 
@@ -226,10 +320,13 @@ def _asked(batches, vocabulary: str, bits: int, least: int, buckets: int):
         yield from flush()
 
 
-def _answered(batches, vocabulary: str):
+def _answered(batches, vocabulary: str, order: np.ndarray):
     """Rows sorted by bucket: a chunk is encoded when it first comes, and every batch that asked gets its tokens."""
     tok = tokenizer(vocabulary)
     kind = id_type(tok)
+    ranks = np.empty_like(order)
+    ranks[order] = np.arange(len(order))
+    words = Words(tok, kind)
     known: dict[bytes, bytes] = {}
     current = None
     for b in batches:
@@ -242,17 +339,15 @@ def _answered(batches, vocabulary: str):
             parts = unpacked(row[3])
             digests, texts = parts[::2], parts[1::2]
             new = [i for i, d in enumerate(digests) if d not in known]
-            for at in range(0, len(new), ENCODED):
-                some = new[at:at + ENCODED]
-                known.update(zip((digests[i] for i in some),
-                                 encoded(tok, [texts[i].decode("utf-8", "replace") for i in some], kind)))
-            yield _messages([(*row[:3], packed([known[d] for d in digests]))])
+            known.update(zip((digests[i] for i in new), words.tokens([texts[i] for i in new])))
+            yield _messages([(*row[:3], by_rank([known[d] for d in digests], kind, ranks))])
 
 
-def _assembled(rows: pa.Table, kind: np.dtype) -> pa.Table:
+def _assembled(rows: pa.Table, kind: np.dtype, order: np.ndarray) -> pa.Table:
     """The tokens of the documents of one batch."""
-    answers = {bucket: unpacked(body) for bucket, body in zip(rows["bucket"].to_pylist(), rows["body"].to_pylist())}
-    ids, parts, words, places = pickle.loads(answers.pop(None)[0])
+    bodies = dict(zip(rows["bucket"].to_pylist(), rows["body"].to_pylist()))
+    ids, parts, words, places = pickle.loads(unpacked(bodies.pop(None))[0])
+    answers = {bucket: from_ranks(body, kind, order) for bucket, body in bodies.items()}
     tokens = [b"".join(answers[places[p][0]][places[p][1]] if p >= 0 else words[-p - 1] for p in ps.tolist()) for ps in parts]
     ends = np.cumsum([0] + [len(t) // kind.itemsize for t in tokens])
     values = np.frombuffer(b"".join(tokens), kind).astype(np.int32)
@@ -266,17 +361,17 @@ def asked_chunks(docs: DataFrame, vocabulary: str = VOCABULARY, bits: int = CHUN
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long"), "text")
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = max(2 * partitions(spark), -(-size // (bucket_bytes or BUCKET_BYTES)))
+    buckets = max(partitions(spark), -(-size // (bucket_bytes or BUCKET_BYTES)))
     return rows.mapInArrow(lambda b: _asked(b, vocabulary, bits, least, buckets), MESSAGES)
 
 
 def encode(docs: DataFrame, vocabulary: str = VOCABULARY, bits: int = CHUNK_BITS, least: int = LEAST) -> DataFrame:
     """doc_id and ids (array of int) of every document."""
     small_batches(docs.sparkSession)
-    kind = id_type(tokenizer(vocabulary))
+    kind, order = id_type(tokenizer(vocabulary)), token_order(docs, vocabulary)
     asked = asked_chunks(docs, vocabulary, bits, least).repartition("dealt").sortWithinPartitions("bucket", "batch")
-    answered = asked.mapInArrow(lambda b: _answered(b, vocabulary), MESSAGES)
-    return answered.groupBy("batch").applyInArrow(lambda t: _assembled(t, kind), "doc_id long, ids array<int>")
+    answered = asked.mapInArrow(lambda b: _answered(b, vocabulary, order), MESSAGES)
+    return answered.groupBy("batch").applyInArrow(lambda t: _assembled(t, kind, order), "doc_id long, ids array<int>")
 
 
 def decode(tokens: DataFrame, ids: str = "ids", out: str = "decoded", vocabulary: str = VOCABULARY) -> DataFrame:
@@ -285,10 +380,18 @@ def decode(tokens: DataFrame, ids: str = "ids", out: str = "decoded", vocabulary
     @F.arrow_udf(T.StringType())
     def text(lists: pa.Array) -> pa.Array:
         tok = tokenizer(vocabulary)
+        written = None
+        if tok.decoder is None:  # the library then joins the tokens by blanks
+            written = np.array([tok.id_to_token(i) for i in range(tok.get_vocab_size(with_added_tokens=True))], object)
+        values, ends = lists.values.to_numpy(), lists.offsets.to_numpy()
         parts = []
         for at in range(0, len(lists), 64):
-            many = lists.slice(at, 64).to_pylist()
-            parts.append(pa.array(tok.decode_batch([x or [] for x in many], skip_special_tokens=False), pa.string()))
+            many = [values[a:b] for a, b in zip(ends[at:at + 64], ends[at + 1:at + 65])]
+            if written is None:
+                texts = tok.decode_batch([x.tolist() for x in many], skip_special_tokens=False)
+            else:
+                texts = [" ".join(written[x].tolist()) for x in many]
+            parts.append(pa.array(texts, pa.string()))
         return pa.concat_arrays(parts) if parts else pa.array([], pa.string())
 
     return tokens.withColumn(out, text(F.col(ids)))

@@ -257,6 +257,28 @@ def test_chunks_give_the_library_tokens(text):
     assert got.tolist() == cutter.tok.encode(text, add_special_tokens=False).ids
 
 
+@settings(max_examples=150, deadline=None)
+@given(TEXT)
+def test_words_give_the_library_tokens(text):
+    tok = bpe.tokenizer(bpe.VOCABULARY)
+    kind = bpe.id_type(tok)
+    got = bpe.Words(tok, kind, most=5).tokens([text.encode(), b"", text.encode()])
+    want = np.array(tok.encode(text, add_special_tokens=False).ids, kind).tobytes()
+    assert got == [want, b"", want]
+
+
+def test_tokens_by_rank():
+    rng = np.random.default_rng(0)
+    order = rng.permutation(49408).astype(np.int32)
+    ranks = np.empty_like(order)
+    ranks[order] = np.arange(len(order))
+    kind = np.dtype("<u2")
+    parts = [order[rng.integers(0, top, n)].astype(kind).tobytes() for top, n in ((5, 100), (49408, 1000), (4080, 300), (241, 0), (1, 1))]
+    parts.append(order[[0, 239, 240, 4079, 4080, 49407]].astype(kind).tobytes())
+    assert bpe.from_ranks(bpe.by_rank(parts, kind, ranks), kind, order) == parts
+    assert bpe.from_ranks(bpe.by_rank([], kind, ranks), kind, order) == []
+
+
 @given(st.lists(st.binary(max_size=50), max_size=20))
 def test_packed(parts):
     assert bpe.unpacked(bpe.packed(parts)) == parts
