@@ -628,7 +628,44 @@ def climate_silver_summary(spark: SparkSession, d: str) -> DataFrame:
                       F.count_distinct("지점").alias("n_stations"))
 
 
+def _trap_chain(spark, d):
+    """J-4..J-6 with a fault planted for every step: (silver, stations, unmatched report)."""
+    from regiostat.plans.climate import climate_silver, climate_transform
+    from regiostat.plans.tpch import climate_meta_traps, climate_raw, region_std, trap_alias
+    root = scratch_path(spark, "climate-traps")
+    write_legacy_csv(climate_raw(spark, d), f"{root}/raw")
+    write_legacy_csv(climate_meta_traps(spark, d), f"{root}/meta")  # landed as CSV too: ids arrive as text
+    raw, meta = climate_transform(read_legacy_csv(spark, f"{root}/raw"), read_legacy_csv(spark, f"{root}/meta"))
+    stations, report = station_map(materialize(meta), materialize(trap_alias(spark, d)))
+    stations = materialize(stations)
+    return climate_silver(raw, stations, region_std(spark, d)), stations, report
+
+
+def climate_traps_trend(spark: SparkSession, d: str) -> DataFrame:
+    """J-7 over metadata with planted faults: mountain, single closed, late
+    closed and open stations, equal closing dates, a missing address, an
+    unmapped province, leading blanks (O-27, O-30, O-32, O-48, O-57, O-39)."""
+    from regiostat.plans.climate import fact_climate_trend
+    configure(spark)
+    return fact_climate_trend(_trap_chain(spark, d)[0], complete_years_only=True)
+
+
+def climate_traps_stations(spark: SparkSession, d: str) -> DataFrame:
+    """Stations and provinces that J-5 and J-6 leave of the faulty metadata."""
+    configure(spark)
+    return _trap_chain(spark, d)[1].select(F.col("지점").cast("long").alias("station"), "sd_code")
+
+
+def climate_traps_unmatched(spark: SparkSession, d: str) -> DataFrame:
+    """The unmatched report of the chain (O-39)."""
+    configure(spark)
+    return _trap_chain(spark, d)[2].select(F.col("지점").cast("long").alias("station"), F.col("지점명").alias("name"), "sd_raw")
+
+
 QUERIES = {
+    "climate_traps_trend": climate_traps_trend,
+    "climate_traps_stations": climate_traps_stations,
+    "climate_traps_unmatched": climate_traps_unmatched,
     "region_year_trend": region_year_trend,
     "region_year_trend_complete": region_year_trend_complete,
     "region_month_normals": region_month_normals,

@@ -106,17 +106,19 @@ def station_map(meta: DataFrame, alias: DataFrame, c: ClimateCols | None = None,
     O-57, O-34a, O-39, O-28).
 
     ``keep='last'`` needs an order: by default the closing date with an open
-    station (NULL) as the latest record.
+    station (NULL) as the latest record; of equal closing dates the greatest
+    address is the last, so that the result doesn't depend on row order.
     """
     c = c or ClimateCols()
     m = fix_meta(meta, c.station_name, c.address)
     if dict(m.dtypes)[c.station] == "string":  # CSV-landed meta: type the id like the raw side
         m = m.withColumn(c.station, strict_int(c.station, c.station))
     m = drop_contains(m, c.address, MOUNTAIN_MARKER)
+    by = [order]
     if order is None:
         m = m.withColumn("_ord", F.coalesce(F.col(c.closed), F.lit("9999-12-31")))
-        order = "_ord"
-    m = keep_last(m, c.station, [order])
+        by = ["_ord", c.address]
+    m = keep_last(m, c.station, by)
     m = m.withColumn("sd_raw", first_token(c.address))
     assert_unique(alias, ["sd_name_alias"], "sd_name_alias")
     mapped = lookup_join(m, alias, "sd_raw", "sd_name_alias", how="left")

@@ -631,7 +631,58 @@ m AS (SELECT batch_id, COUNT(*) AS landed, COUNT(*) FILTER (event_type = 'error'
              COUNT(*) FILTER (event_type <> 'error') AS stored FROM e GROUP BY batch_id)
 SELECT CAST(batch_id AS BIGINT) AS batch_id, metric, value FROM m UNPIVOT (value FOR metric IN (landed, rejected, stored))"""
 
+# J-5 and J-6 from the metadata rows on (regiostat.plans.tpch.climate_meta_traps)
+TRAP_META = """
+meta AS (
+  SELECT n_nationkey AS station, CASE WHEN k = 5 THEN '서청주(예)' ELSE n_name END AS name, m.address, m.closed
+  FROM (SELECT n.*, r.r_name || ' ' || n.n_name AS here, r.r_name, n.n_nationkey % 8 AS k
+        FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey) x,
+  LATERAL (SELECT unnest(CASE k
+      WHEN 0 THEN [{'address': here || ' (산지)', 'closed': NULL::VARCHAR}]
+      WHEN 1 THEN [{'address': here, 'closed': '1999-12-31'}]
+      WHEN 2 THEN [{'address': here, 'closed': '2001-05-31'}]
+      WHEN 3 THEN [{'address': here, 'closed': NULL::VARCHAR}]
+      WHEN 4 THEN [{'address': here, 'closed': '2015-03-01'}, {'address': 'ASIA ' || n_name, 'closed': '2015-03-01'}]
+      WHEN 5 THEN [{'address': NULL::VARCHAR, 'closed': NULL::VARCHAR}]
+      WHEN 6 THEN [{'address': 'UNKNOWN ' || n_name, 'closed': NULL::VARCHAR}]
+      ELSE [{'address': 'OLD ' || r_name, 'closed': '1994-12-31'}, {'address': '  ' || here, 'closed': NULL::VARCHAR}] END) AS m)
+),
+fixed AS (SELECT station, name, CASE WHEN name = '서청주(예)' THEN '충청북도 청주시' ELSE address END AS address, closed FROM meta),
+counted AS (SELECT *, COUNT(*) OVER (PARTITION BY station) AS n FROM fixed),
+open_ones AS (
+  SELECT * FROM counted WHERE NOT (n = 1 AND COALESCE(closed <= '2000-12-31', false))
+     AND NOT COALESCE(contains(address, '(산지)'), false)
+),
+latest AS (
+  SELECT *, regexp_extract(address, '^\\s*(\\S+)', 1) AS sd_raw FROM open_ones
+  QUALIFY ROW_NUMBER() OVER (PARTITION BY station ORDER BY COALESCE(closed, '9999-12-31') DESC, address DESC) = 1
+),
+alias AS (
+  SELECT DISTINCT a, r_regionkey FROM region, LATERAL (SELECT unnest([r_name, lower(r_name), split_part(r_name, ' ', 1)]) AS a)
+  UNION ALL SELECT '충청북도', MIN(r_regionkey) FROM region
+),
+mapped AS (SELECT l.station, l.name, l.sd_raw, CAST(a.r_regionkey AS INTEGER) AS sd_code FROM latest l LEFT JOIN alias a ON l.sd_raw = a.a)"""
+
+CLIMATE_TRAPS_STATIONS = f"""
+WITH {TRAP_META}
+SELECT CAST(station AS BIGINT) AS station, sd_code FROM mapped WHERE sd_code IS NOT NULL"""
+
+CLIMATE_TRAPS_UNMATCHED = f"""
+WITH {TRAP_META}
+SELECT CAST(station AS BIGINT) AS station, name, sd_raw FROM mapped WHERE sd_code IS NULL"""
+
+# the same fact over observations whose province comes from the metadata
+CLIMATE_TRAPS_TREND = CLIMATE_TREND.replace(OBS, OBS.replace("obs AS (", "every_obs AS (", 1) + "," + TRAP_META + """,
+obs AS (
+  SELECT o.* REPLACE (m.sd_code AS sd_code, r.r_name AS sd_name_std)
+  FROM every_obs o JOIN mapped m ON m.station = o.station AND m.sd_code IS NOT NULL
+  LEFT JOIN region r ON r.r_regionkey = m.sd_code
+)""", 1)
+
 ORACLE.update({
+    "climate_traps_trend": CLIMATE_TRAPS_TREND,
+    "climate_traps_stations": CLIMATE_TRAPS_STATIONS,
+    "climate_traps_unmatched": CLIMATE_TRAPS_UNMATCHED,
     "interpolate_incremental": ACCTBAL_INTERPOLATE,
     "profile_sketched": PROFILE_SKETCHED,
     "csv_quarantine": CSV_QUARANTINE,

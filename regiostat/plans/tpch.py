@@ -150,3 +150,44 @@ def region_alias(spark: SparkSession, d: str) -> DataFrame:
 def region_std(spark: SparkSession, d: str) -> DataFrame:
     r = read_table(spark, d, "region", ["r_regionkey", "r_name"])
     return r.select(F.col("r_regionkey").cast("int").alias("sd_code"), F.col("r_name").alias("sd_name"))
+
+
+# Faults planted in the station metadata, by station key modulo their number:
+# each is caught by one step of J-5 or J-6 and changes the facts without it.
+TRAPS = ("mountain", "single closed", "single closed late", "single open", "equal dates", "fixed", "unmapped", "two records")
+
+
+def climate_meta_traps(spark: SparkSession, d: str) -> DataFrame:
+    """Station metadata with a fault for every step of J-5 and J-6."""
+    from regiostat.plans.climate import META_FIX, MOUNTAIN_MARKER
+    n = read_table(spark, d, "nation", ["n_nationkey", "n_name", "n_regionkey"])
+    r = read_table(spark, d, "region", ["r_regionkey", "r_name"])
+    j = lookup_join(n, r, "n_regionkey", "r_regionkey", how="left")
+    kind = F.col("n_nationkey") % len(TRAPS)
+    here, other = F.concat_ws(" ", "r_name", "n_name"), F.concat(F.lit("ASIA "), F.col("n_name"))
+
+    def record(address, closed):
+        return F.struct(address.alias("address"), closed.cast("string").alias("closed"))
+
+    open_ = F.lit(None)
+    records = (F.when(kind == 0, F.array(record(F.concat(here, F.lit(" " + MOUNTAIN_MARKER)), open_)))
+                .when(kind == 1, F.array(record(here, F.lit("1999-12-31"))))
+                .when(kind == 2, F.array(record(here, F.lit("2001-05-31"))))
+                .when(kind == 3, F.array(record(here, open_)))
+                .when(kind == 4, F.array(record(here, F.lit("2015-03-01")), record(other, F.lit("2015-03-01"))))
+                .when(kind == 5, F.array(record(F.lit(None).cast("string"), open_)))
+                .when(kind == 6, F.array(record(F.concat(F.lit("UNKNOWN "), F.col("n_name")), open_)))
+                .otherwise(F.array(record(F.concat(F.lit("OLD "), F.col("r_name")), F.lit("1994-12-31")),
+                                   record(F.concat(F.lit("  "), here), open_))))
+    rows = j.select("n_nationkey", F.when(kind == 5, F.lit(META_FIX[0])).otherwise(F.col("n_name")).alias("name"),
+                    F.explode(records).alias("m"))
+    return rows.select(F.col("n_nationkey").alias("지점"), F.col("name").alias("지점명"),
+                       F.col("m.address").alias("지점주소"), F.col("m.closed").alias("종료일"))
+
+
+def trap_alias(spark: SparkSession, d: str) -> DataFrame:
+    """The region aliases and the province of the corrected address, mapped to the first region."""
+    from regiostat.plans.climate import META_FIX
+    first = read_table(spark, d, "region", ["r_regionkey"]).agg(F.min("r_regionkey").alias("sd_code"))
+    fixed = first.where("sd_code IS NOT NULL").select(F.lit(META_FIX[1].split()[0]).alias("sd_name_alias"), "sd_code")
+    return region_alias(spark, d).unionByName(fixed)
