@@ -7,8 +7,9 @@ shortest text.  The sum goes back to a double and is divided there, so a mean
 follows the reference (float mean, rounded once at the end) and does not
 depend on partitioning.
 
-Nothing is cut silently: a sum or value beyond DECIMAL(38,18) is an error
-(ANSI mode), and so is an input below about 1e-9 that 18 decimals distort.
+Nothing is cut and nothing refused: where a value or a sum does not fit
+DECIMAL(38,18) (beyond 1e20, infinite, or an input below about 1e-9 that 18
+decimals distort), that group's sum is the plain sum of its doubles.
 """
 
 from __future__ import annotations
@@ -21,28 +22,22 @@ def q(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def decimal_sql(x: str, dtype: str, strict: bool = True) -> str:
-    """SQL: a numeric value as a decimal.
+def decimal_sql(x: str, dtype: str) -> str:
+    """SQL: a decimal or integer value as a decimal."""
+    return x if dtype.startswith("decimal") else f"CAST({x} AS DECIMAL(20,0))"
 
-    Infinite values raise.  ``strict`` (for inputs) also raises where 18
-    decimals change a double by more than one part in 1e9; computed values are
-    rounded to 18 decimals.
-    """
-    if dtype.startswith("decimal"):
-        return x
+
+def sum_sql(x: str, dtype: str, strict: bool = True) -> str:
+    """SQL: exact sum as a double, where the group's values fit one, else the
+    sum of doubles; NULL without values."""
     if dtype not in ("double", "float"):
-        return f"CAST({x} AS DECIMAL(20,0))"
-    d = f"CAST({x} AS {DOUBLE_AS})"
-    off = f"{d} IS NULL"  # infinite: the cast gives no value
+        return f"CAST(sum({decimal_sql(x, dtype)}) AS DOUBLE)"
+    d = f"try_cast({x} AS {DOUBLE_AS})"
+    off = f"{d} IS NULL"  # too large or infinite
     if strict:
         off += f" OR abs(CAST({d} AS DOUBLE) - {x}) > abs({x}) * 1e-9D"
-    fail = f"CAST(raise_error('a value does not fit an exact sum') AS {DOUBLE_AS})"
-    return f"CASE WHEN {x} IS NOT NULL AND ({off}) THEN {fail} ELSE {d} END"
-
-
-def sum_sql(x: str, dtype: str, strict: bool = True) -> str:
-    """SQL: exact sum as a double; NULL without values."""
-    return f"CAST(sum({decimal_sql(x, dtype, strict)}) AS DOUBLE)"
+    fits = f"NOT bool_or({x} IS NOT NULL AND ({off}))"
+    return f"coalesce(CASE WHEN {fits} THEN CAST(try_sum({d}) AS DOUBLE) END, sum(CAST({x} AS DOUBLE)))"
 
 
 def mean_sql(x: str, dtype: str, strict: bool = True) -> str:

@@ -2,21 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from regiostat.operators.joins import broadcast_if_small
-
-
-def equals_all(conds: Mapping[str, object]) -> Column:
-    """Conjunctive equality ``(a==x)&(b==y)&...`` (O-26)."""
-    out = F.lit(True)
-    for k, v in conds.items():
-        out = out & (F.col(k) == F.lit(v))
-    return out
-
 
 def contains_literal(col: str, needle: str, na: bool | None = False) -> Column:
     """``str.contains(needle, regex=False, na=na)`` (O-27).
@@ -50,8 +40,9 @@ def prune_single_closed(df: DataFrame, key: str | Sequence[str], closed_col: str
 
     pandas compares a missing date as False, so the negation keeps it (S7):
     the predicate is coalesced to False before negating.  The per-key count is
-    an aggregate (partial, skew-tolerant), and only the small set of keys that
-    qualify for removal is joined back, as an anti join.
+    an aggregate (partial, skew-tolerant), and only the keys that qualify for
+    removal are joined back, as an anti join on the aggregate's own keys: it is
+    computed once and dealt already.
     """
     keys = [key] if isinstance(key, str) else list(key)
     singles = (df.groupBy(*keys)
@@ -60,7 +51,7 @@ def prune_single_closed(df: DataFrame, key: str | Sequence[str], closed_col: str
                  .select(*keys))
     # pandas gives a missing key no count, so such rows are never pruned; in
     # the anti join a NULL key never matches, with the same effect.
-    return df.join(broadcast_if_small(singles), on=keys, how="left_anti")
+    return df.join(singles, on=keys, how="left_anti")
 
 
 def complete_groups(df: DataFrame, keys: Sequence[str], period: str,

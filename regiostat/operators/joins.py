@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Lookups above this many rows, or above this many estimated bytes, are not
@@ -94,32 +94,17 @@ def lookup_join(left: DataFrame, right: DataFrame, left_on: Sequence[str] | str,
     return left.join(right, on=cond, how=how)
 
 
-def join_back(df: DataFrame, agg: DataFrame, keys: Sequence[str], how: str = "inner",
-              max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Join rows to an aggregate of themselves on composite keys (O-35)."""
-    return df.join(broadcast_if_small(agg, max_rows), on=list(keys), how=how)
+def anti_join(df: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of ``df`` whose key has no row in ``existing`` (O-36, O-05 set-based).
 
-
-def anti_join(df: DataFrame, existing: DataFrame, keys: Sequence[str],
-              max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Rows of ``df`` whose key has no row in ``existing`` (O-36, O-05 set-based)."""
-    seen = existing.select(*keys).distinct()
-    return df.join(broadcast_if_small(seen, max_rows), on=list(keys), how="left_anti")
-
-
-def semi_join(df: DataFrame, keys_df: DataFrame, keys: Sequence[str],
-              max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    return df.join(broadcast_if_small(keys_df.select(*keys).distinct(), max_rows),
-                   on=list(keys), how="left_semi")
+    ``existing`` is usually derived from much data, so it isn't counted first:
+    that would compute it twice.  Its keys are shuffled once, and adaptive
+    execution turns the join into a broadcast if they prove small.
+    """
+    return df.join(existing.select(*keys).distinct(), on=list(keys), how="left_anti")
 
 
 def unmatched(df: DataFrame, key: str, report_cols: Sequence[str]) -> DataFrame:
     """Rows whose lookup produced no code: a data-quality table (O-39)."""
     return df.where(F.col(key).isNull()).select(*report_cols)
 
-
-def cond_and(*conds: Column) -> Column:
-    out = None
-    for c in conds:
-        out = c if out is None else out & c
-    return out

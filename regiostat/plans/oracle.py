@@ -691,6 +691,7 @@ ORACLE.update({
     "retry_stream": RETRY_STREAM,
     "power_collect": POWER_COLLECT,
     "power_collect_bronze": BRONZE_INGEST,
+    "power_collect_stream": BRONZE_INGEST,
     "incremental_trend": _trend(True),
     "missing_slots_pruned": MISSING_SLOTS_PRUNED,
     "stable_keys": STABLE_KEYS,

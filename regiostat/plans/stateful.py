@@ -81,6 +81,21 @@ def power_collect_bronze(spark: SparkSession, d: str) -> DataFrame:
     return store.bronze().drop("epoch")
 
 
+def power_collect_stream(spark: SparkSession, d: str) -> DataFrame:
+    """The closed loop as an availableNow stream over two drops (O-19)."""
+    from regiostat.plans.catalog import _land_second_drop, _payload
+    from regiostat.streaming.incremental import collect_stream
+    configure(spark)
+    root = scratch_path(spark, "collect-stream")
+    store = PowerStore(spark, f"{root}/store")
+    payload = materialize(_payload(spark, d))
+    payload.where("year = '1995'").write.json(f"{root}/landing/drop1")
+    collect_stream(spark, f"{root}/landing/*", store, f"{root}/checkpoint")
+    _land_second_drop(payload, f"{root}/landing/drop2")
+    collect_stream(spark, f"{root}/landing/*", store, f"{root}/checkpoint")
+    return store.bronze().drop("epoch")
+
+
 def incremental_trend(spark: SparkSession, d: str) -> DataFrame:
     """J-7 kept up to date (O-08): a first load without some months and with
     wrong readings, then a delta of late and corrected slots."""
@@ -257,6 +272,6 @@ def stream_metrics(spark: SparkSession, d: str) -> DataFrame:
     return batch_metrics(spark, f"{root}/metrics").select("batch_id", "metric", "value")
 
 
-QUERIES = {f.__name__: f for f in (retry_stream, power_collect, power_collect_bronze, incremental_trend,
+QUERIES = {f.__name__: f for f in (retry_stream, power_collect, power_collect_bronze, power_collect_stream, incremental_trend,
                                    missing_slots_pruned, stable_keys, interpolate_incremental, profile_sketched,
                                    csv_quarantine, zorder_layout, stream_metrics)}

@@ -15,17 +15,16 @@ from collections.abc import Callable, Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from regiostat.sources.epochs import path_exists
+
 
 def _stored_slots(spark: SparkSession, path: str, keys: list[str]) -> DataFrame | None:
-    """Distinct slot keys already in bronze, or None before the first write."""
-    try:
-        return spark.read.parquet(path).select(*keys).distinct()
-    except AnalysisException:  # the table does not exist yet
-        return None
+    """Distinct slot keys already in bronze, or None before the first write.
+    Only a missing table counts as that: a table without a key column fails."""
+    return spark.read.parquet(path).select(*keys).distinct() if path_exists(spark, path) else None
 
 
 def ingest_available(spark: SparkSession, source_dir: str, source_format: str, schema: StructType,
@@ -86,3 +85,18 @@ def ingest_landing_stream(spark: SparkSession, landing_dir: str, bronze_path: st
                .option("checkpointLocation", checkpoint)
                .trigger(availableNow=True).start())
     q.awaitTermination()
+
+
+def collect_stream(spark: SparkSession, landing_dir: str, store, checkpoint: str, name: str = "collect") -> None:
+    """The closed loop of J-1 as a stream: each micro-batch is one run of a
+    :class:`~regiostat.plans.collect.PowerStore`, so bronze and dead letter are
+    committed together, dead slots are passed over, only the months in
+    question are looked up, and a replayed batch is skipped."""
+    from regiostat.sources.landing import explode_payload, read_responses
+
+    def process(batch: DataFrame, epoch_id: int) -> None:
+        store.ingest(explode_payload(batch), run=f"{name}-{epoch_id}")
+
+    stream = read_responses(spark.readStream, landing_dir)
+    (stream.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
+           .trigger(availableNow=True).start().awaitTermination())
