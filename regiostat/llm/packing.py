@@ -109,13 +109,14 @@ def _packer(capacity: int):
     return pack
 
 
-def pieces(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
+def pieces(docs: DataFrame, capacity: int = CAPACITY, cluster: str | None = None) -> DataFrame:
     """row_id, doc_id, source, cluster, piece, start_word, n_words of every piece.
 
-    The cluster is the hash of the text: documents with equal texts conflict.
+    The cluster is the column ``cluster``, as near-duplicate components, and
+    without one the hash of the text: documents with equal texts conflict.
     """
-    rows = docs.select(F.monotonically_increasing_id().alias("row_id"), "doc_id", "source",
-                       F.when(F.length("text") > 0, F.xxhash64("text")).alias("cluster"),
+    own = F.col(cluster) if cluster else F.when(F.length("text") > 0, F.xxhash64("text"))
+    rows = docs.select(F.monotonically_increasing_id().alias("row_id"), "doc_id", "source", own.alias("cluster"),
                        word_count(F.col("text")).alias("words"))
     last = F.greatest(F.lit(0), F.ceil(F.col("words") / capacity) - 1)
     rows = rows.withColumn("piece", F.explode(F.sequence(F.lit(0), last.cast("int"))))
@@ -132,6 +133,6 @@ def pack_pieces(rows: DataFrame, capacity: int = CAPACITY, shard: int = SHARD) -
     return dealt.groupBy("shard").applyInArrow(_packer(capacity), PACKED)
 
 
-def pack(docs: DataFrame, capacity: int = CAPACITY, shard: int = SHARD) -> DataFrame:
+def pack(docs: DataFrame, capacity: int = CAPACITY, shard: int = SHARD, cluster: str | None = None) -> DataFrame:
     """The packing of whole documents: which words lie where in which bin."""
-    return pack_pieces(pieces(docs, capacity), capacity, shard)
+    return pack_pieces(pieces(docs, capacity, cluster), capacity, shard)

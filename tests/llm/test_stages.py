@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from regiostat.llm import secret_scan
+from regiostat.llm import near_dup, packing, secret_scan
 from regiostat.llm.common import free_name
 
 STAGES = dict(corpus_pipeline.STAGES)
@@ -149,3 +149,16 @@ def test_scan_is_linear():
         t = time.process_time()
         secret_scan.spans_of(text)
         assert time.process_time() - t < 5, text[:20]
+
+
+def test_near_duplicates_as_clusters(spark):
+    """Packed with the components of the near-duplicates, no bin holds two documents of one."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    parts = near_dup.near_duplicates(docs).select(F.col("doc_id").alias("d"), F.col("component_id").alias("component"))
+    rows = docs.join(parts, F.col("doc_id") == F.col("d")).drop("d")
+    of = {r.doc_id: r.component for r in rows.select("doc_id", "component").collect()}
+    held = {}
+    for r in packing.pack(rows, cluster="component").collect():
+        held.setdefault(r.bin_id, []).append(of[r.doc_id])
+    assert len(set(of.values())) < len(of)
+    assert all(len(set(b)) == len(b) for b in held.values())
