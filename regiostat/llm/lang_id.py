@@ -202,11 +202,12 @@ def fit(docs: DataFrame, training: Column | None = None, fit_docs: int = FIT_DOC
 def identify(docs: DataFrame, model: Model, text: str = "text", out: str = "language") -> DataFrame:
     """``docs`` with the struct column ``out``: lang, score."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # at most max_words + max_grams rows
+    cache: dict = {}  # of a task: it outlives the batches
 
     @F.arrow_udf("struct<lang:string,score:double>")
     def predict(texts: pa.Array) -> pa.Array:
-        cache: dict = {}
-        found = [shared.value.predict(t, cache) for t in texts.to_pylist()]
+        known = shared.value
+        found = [known.predict(t, cache) for at in range(0, len(texts), 256) for t in texts.slice(at, 256).to_pylist()]
         return pa.StructArray.from_arrays(
             [pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())],
             ["lang", "score"])
