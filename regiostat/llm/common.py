@@ -27,7 +27,6 @@ def words(text: str | None) -> list[bytes]:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
