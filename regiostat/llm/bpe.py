@@ -51,7 +51,7 @@ VOCABULARY = "word_bpe_49k.json"
 #: Bytes that the rolling hash sees (a power of two).
 WINDOW = 32
 #: A cut falls on one of so many bytes, as a power of two.
-CHUNK_BITS = 9
+CHUNK_BITS = 10
 #: Least bytes between two cuts.
 LEAST = 128
 BATCH_BYTES = 8 << 20
@@ -59,7 +59,7 @@ BATCH_DOCS = 8192
 #: Text whose distinct chunks a task remembers.
 BUCKET_BYTES = 64 << 20
 #: Texts that are encoded at once, words of one call, and words that a task remembers (twice so many at most).
-ENCODED, TOGETHER, REMEMBERED = 512, 256, 200_000
+ENCODED, TOGETHER, REMEMBERED = 512, 64, 200_000
 #: Compression level: at 6, 20 to 40 MB a second.
 LEVEL = 6
 #: Documents whose tokens give the ranks that tokens are written by.
@@ -101,6 +101,13 @@ def separator(tok) -> tuple[str, int] | None:
     return None
 
 
+def word_ends(tok) -> np.ndarray | None:
+    suffix = getattr(tok.model, "end_of_word_suffix", None)
+    if not suffix:
+        return None
+    return np.array([tok.id_to_token(i).endswith(suffix) for i in range(tok.get_vocab_size(with_added_tokens=True))])
+
+
 class Words:
     """The tokens of words between blanks, each encoded when it is first met.
 
@@ -111,24 +118,34 @@ class Words:
     def __init__(self, tok, kind: np.dtype, most: int = REMEMBERED):
         self.tok, self.kind, self.most = tok, kind, most
         self.mark = separator(tok)
+        #: Tokens that end a word, if the vocabulary marks these.
+        self.ends = word_ends(tok)
         self.known: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
 
     def learn(self, words: set[bytes]) -> None:
         if len(self.known) + len(words) > self.most:
             self.known, self.old = {}, self.known
-        new = []
-        for w in words:
-            if w not in self.known:
-                if w in self.old:
-                    self.known[w] = self.old[w]
-                else:
-                    new.append(w)
+        missing = words.difference(self.known)
+        again = missing.intersection(self.old)
+        self.known.update({w: self.old[w] for w in again})
+        new = list(missing - again)
         alone = [w for w in new if self.mark is None or self.mark[0].encode() in w]
         if alone:
             some = set(alone)
             new = [w for w in new if w not in some]
             self.known.update(zip(alone, encoded(self.tok, [w.decode("utf-8", "replace") for w in alone], self.kind)))
+        if self.ends is not None:  # words of letters alone are told apart by their last tokens
+            new, rest = [w for w in new if w.isalpha()], [w for w in new if not w.isalpha()]  # of bytes: A-Z, a-z
+            for at in range(0, len(new), TOGETHER):
+                some = new[at:at + TOGETHER]
+                ids = np.frombuffer(encoded(self.tok, [b" ".join(some).decode()], self.kind)[0], self.kind)
+                ends = np.flatnonzero(self.ends[ids]) + 1
+                if len(ends) != len(some):
+                    rest += some
+                    continue
+                self.known.update((w, ids[a:b].tobytes()) for w, a, b in zip(some, [0, *ends[:-1].tolist()], ends.tolist()))
+            new = rest
         for at in range(0, len(new), TOGETHER):
             some = new[at:at + TOGETHER]
             text = self.mark[0].join([w.decode("utf-8", "replace") for w in some])
