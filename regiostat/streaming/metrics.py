@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.listener import StreamingQueryListener
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from regiostat.sources.epochs import read_if_exists
+from regiostat.sources.epochs import path_exists
 
 METRICS = StructType([StructField("query", StringType()), StructField("batch_id", LongType()), StructField("name", StringType()),
                       StructField("metric", StringType()), StructField("value", LongType())])
@@ -62,6 +62,8 @@ class MetricsListener(StreamingQueryListener):
 
 def batch_metrics(spark: SparkSession, path: str) -> DataFrame:
     """(query, batch_id, name, metric, value), each once."""
-    rows = read_if_exists(spark, path, METRICS)
+    if not path_exists(spark, path):  # no batch had rows yet
+        return spark.createDataFrame([], METRICS)
+    rows = spark.read.schema(METRICS).parquet(path)
     latest = F.max_by("value", F.col("_metadata.file_modification_time"))
     return rows.groupBy("query", "batch_id", "name", "metric").agg(latest.alias("value"))
