@@ -17,7 +17,10 @@ until all joins agree; a text without any blank is one chunk.
 
 Blanks part words for good in this vocabulary (the joins rest on that, and check
 it), so a task remembers the tokens of words and encodes those that it has not
-met, many in one call with a special token between them.
+met, many in one call with a special token between them.  Where normalizer and
+pre-tokenizer are known to lower-case and to part letters from other characters
+(:func:`parts_letters`), the Latin letters that a word begins with are looked up
+in lower case and apart from what follows them.
 
 Texts cross the network once (distinct in each batch), tokens once, both
 compressed, the chunks of a batch for one bucket together.  Tokens are written
@@ -35,8 +38,10 @@ gives no rows.  The vocabulary is a parameter: a file name that
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import pickle
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -51,7 +56,7 @@ VOCABULARY = "word_bpe_49k.json"
 #: Bytes that the rolling hash sees (a power of two).
 WINDOW = 32
 #: A cut falls on one of so many bytes, as a power of two.
-CHUNK_BITS = 10
+CHUNK_BITS = 9
 #: Least bytes between two cuts.
 LEAST = 128
 BATCH_BYTES = 8 << 20
@@ -66,6 +71,14 @@ LEVEL = 6
 CODE_DOCS = 64
 _GEAR = np.frombuffer(b"".join(hashlib.blake2b(bytes([i]), digest_size=8).digest() for i in range(256)), np.uint64)
 _BLANK = np.isin(np.arange(256), [9, 10, 13, 32])
+_SPACE = np.isin(np.arange(256), list(b" \t\n\v\f\r"))  # as bytes.split has it
+_ASCII_LETTER = np.isin(np.arange(256) & ~32, np.arange(65, 91)) & (np.arange(256) < 128)
+#: The letters U+00C0 to U+017F, without U+0130, whose lower case is more than a letter, as UTF-8.
+_LATIN = b"(?:\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]|\xc4[\x80-\xaf\xb1-\xbf]|\xc5[\x80-\xbf])"
+_LETTERS = re.compile(b"(?:[A-Za-z]|" + _LATIN + b")+")
+#: Normalizers and the pre-tokenizer under which letters and the rest of a word have tokens of their own.
+_NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
+_PARTING = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
 def tokenizer(vocabulary: str):
@@ -108,6 +121,44 @@ def word_ends(tok) -> np.ndarray | None:
     return np.array([tok.id_to_token(i).endswith(suffix) for i in range(tok.get_vocab_size(with_added_tokens=True))])
 
 
+def parts_letters(tok) -> bool:
+    """Whether the letters that a word begins with, in lower case, and the rest of the word have the word's tokens."""
+    if tok.normalizer is None or tok.pre_tokenizer is None or any(
+            t.single_word or t.normalized or _LETTERS.match(t.content.encode()) for t in tok.get_added_tokens_decoder().values()):
+        return False
+    normalizer, pre = (json.loads(x.__getstate__()) for x in (tok.normalizer, tok.pre_tokenizer))
+    steps = pre.get("pretokenizers", [])
+    return normalizer.get("normalizers") == _NORMALIZERS and [x["type"] for x in steps] == ["Split", "ByteLevel"] and (
+        steps[0]["pattern"], steps[0]["behavior"], steps[0]["invert"]) == ({"Regex": _PARTING}, "Removed", True) and not (
+        steps[1]["add_prefix_space"] or steps[1]["use_regex"])
+
+
+def parted(text: bytes) -> bytes:
+    """The text with a blank after the letters (ASCII, Latin) that a word begins
+    with and those in lower case, if an ASCII character follows them."""
+    data = np.frombuffer(text, np.uint8)
+    if not len(data):
+        return text
+    letter = _ASCII_LETTER[data]
+    lead = np.flatnonzero((data >= 0xC3) & (data <= 0xC5))
+    lead = lead[lead + 1 < len(data)]
+    pair = data[lead].astype(np.int32) << 8 | data[lead + 1]
+    lead = lead[(pair & 0xC0 == 0x80) & (pair != 0xC397) & (pair != 0xC3B7) & (pair != 0xC4B0)]
+    letter[lead] = letter[lead + 1] = True
+    space = _SPACE[data]
+    other = np.flatnonzero(np.append(~letter, True))
+    starts = np.flatnonzero(letter & np.append(True, space[:-1]))
+    ends = other[np.searchsorted(other, starts)]  # behind the letters
+    next_byte = np.append(data, 32)[ends]
+    whole = next_byte < 128
+    starts, ends, next_byte = starts[whole], ends[whole], next_byte[whole]
+    inside = np.zeros(len(data) + 1, np.int8)
+    inside[starts] = 1
+    inside[ends] = -1
+    small = data | (inside[:-1].cumsum(dtype=np.int8) & (data >= 65) & (data <= 90)).astype(np.uint8) << 5
+    return np.insert(small, ends[~_SPACE[next_byte]], 32).tobytes()
+
+
 class Words:
     """The tokens of words between blanks, each encoded when it is first met.
 
@@ -120,34 +171,43 @@ class Words:
         self.mark = separator(tok)
         #: Tokens that end a word, if the vocabulary marks these.
         self.ends = word_ends(tok)
+        self.parted = parts_letters(tok)
         self.known: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
 
+    def unmet(self, words: set[bytes]) -> set[bytes]:
+        """Those of the words that are not remembered; old ones move on."""
+        missing = words.difference(self.known)
+        new = missing.difference(self.old)
+        self.known.update((w, self.old[w]) for w in missing - new)
+        return new
+
     def learn(self, words: set[bytes]) -> None:
         if len(self.known) + len(words) > self.most:
             self.known, self.old = {}, self.known
         missing = words.difference(self.known)
-        again = missing.intersection(self.old)
-        self.known.update({w: self.old[w] for w in again})
-        new = list(missing - again)
-        alone = [w for w in new if self.mark is None or self.mark[0].encode() in w]
+        new = missing.difference(self.old)
+        self.known.update([(w, self.old[w]) for w in missing.difference(new)])
+        mark = self.mark[0].encode() if self.mark else b""
+        alone = [w for w in new if mark in w]
         if alone:
-            some = set(alone)
-            new = [w for w in new if w not in some]
+            new = new.difference(alone)
             self.known.update(zip(alone, encoded(self.tok, [w.decode("utf-8", "replace") for w in alone], self.kind)))
+        rest = list(new)
         if self.ends is not None:  # words of letters alone are told apart by their last tokens
-            new, rest = [w for w in new if w.isalpha()], [w for w in new if not w.isalpha()]  # of bytes: A-Z, a-z
-            for at in range(0, len(new), TOGETHER):
-                some = new[at:at + TOGETHER]
+            plain = [w for w in rest if w.isalpha() or self.parted and _LETTERS.fullmatch(w)]  # isalpha of bytes: A-Z, a-z
+            rest = list(new.difference(plain))
+            for at in range(0, len(plain), TOGETHER):
+                some = plain[at:at + TOGETHER]
                 ids = np.frombuffer(encoded(self.tok, [b" ".join(some).decode()], self.kind)[0], self.kind)
                 ends = np.flatnonzero(self.ends[ids]) + 1
                 if len(ends) != len(some):
                     rest += some
                     continue
-                self.known.update((w, ids[a:b].tobytes()) for w, a, b in zip(some, [0, *ends[:-1].tolist()], ends.tolist()))
-            new = rest
-        for at in range(0, len(new), TOGETHER):
-            some = new[at:at + TOGETHER]
+                body, ends = ids.tobytes(), (ends * self.kind.itemsize).tolist()
+                self.known.update([(w, body[a:b]) for w, a, b in zip(some, [0, *ends[:-1]], ends)])
+        for at in range(0, len(rest), TOGETHER):
+            some = rest[at:at + TOGETHER]
             text = self.mark[0].join([w.decode("utf-8", "replace") for w in some])
             ids = np.frombuffer(encoded(self.tok, [text], self.kind)[0], self.kind)
             marks = np.flatnonzero(ids == self.mark[1])
@@ -156,12 +216,14 @@ class Words:
 
     def tokens(self, texts: list[bytes]) -> list[bytes]:
         """Tokens of texts that begin and end with whole words."""
-        split = [t.split() for t in texts]
         out = []
-        for at in range(0, len(split), ENCODED):
-            some = split[at:at + ENCODED]
-            self.learn({w for ws in some for w in ws})
-            out += [b"".join(map(self.known.__getitem__, ws)) for ws in some]
+        for at in range(0, len(texts), ENCODED):
+            some = texts[at:at + ENCODED]
+            if self.parted:  # together; a line break and a form feed stand between texts
+                some = parted(b"\n\f".join([t.replace(b"\f", b" ") for t in some])).split(b"\f")
+            split = [t.split() for t in some]
+            self.learn(set().union(*split))
+            out += [b"".join(map(self.known.__getitem__, ws)) for ws in split]
         return out
 
 

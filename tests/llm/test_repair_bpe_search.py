@@ -267,6 +267,51 @@ def test_words_give_the_library_tokens(text):
     assert got == [want, b"", want]
 
 
+PARTS = st.lists(st.sampled_from(
+    [" ", "\n", "\x0c", "\x1c", "\x85", "\xa0", "Ab", "Éa", "ñ", "ß", "Ÿ", "ŉ", "ſ", "İ", "ı", "×", "÷", "Ж", "한", "̇", "́", "ǆ", ",", "...",
+     "'s", "'S", "'", "7", "<|endoftext|>", "<|ENDOFTEXT|>", "<|", "|>", "\x00", "ª", "²", "-", "’"]), max_size=30).map("".join)
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(PARTS, min_size=1, max_size=4))
+def test_parted_words_give_the_library_tokens(texts):
+    tok = bpe.tokenizer(bpe.VOCABULARY)
+    kind = bpe.id_type(tok)
+    want = [tok.encode(t, add_special_tokens=False).ids for t in texts]
+    got = bpe.Words(tok, kind).tokens([t.encode() for t in texts])
+    assert [np.frombuffer(x, kind).tolist() for x in got] == want
+    assert [tok.encode(bpe.parted(t.encode()).decode(), add_special_tokens=False).ids for t in texts] == want
+
+
+def test_parted():
+    assert bpe.parted("Écoles, it's ABC×D İa, Ab7 AbЖ, <|endoftext|>x A<|ENDOFTEXT|>".encode()).decode() == \
+        "Écoles , it 's ABC×D İa, ab 7 AbЖ, <|endoftext|>x a <|ENDOFTEXT|>"
+    assert bpe.parted(b"") == b"" and bpe.parted(b"A") == b"a" and bpe.parted(b"\xc3") == b"\xc3" and bpe.parted(b"a\xc3 B.") == b"a\xc3 b ."
+
+
+def test_letters_of_words_are_encoded_once(monkeypatch):
+    """Words that differ in case of ASCII letters or in what follows the letters ask the library once for them."""
+    tok = bpe.tokenizer(bpe.VOCABULARY)
+    asked = Counter()
+    plain = bpe.encoded
+    monkeypatch.setattr(bpe, "encoded", lambda tok, texts, kind: asked.update(
+        w for t in texts for w in t.replace(bpe.separator(tok)[0], " ").split()) or plain(tok, texts, kind))
+    text = "stone, Stone. STONE!! stone### (stone) éaireç éaireç, éaireç.".encode()
+    words = bpe.Words(tok, bpe.id_type(tok))
+    words.tokens([text])
+    words.tokens([text])
+    assert asked == Counter(["stone", "éaireç", ",", ".", "!!", "###", "(stone)"])
+
+
+def test_other_vocabularies_are_not_parted():
+    import tokenizers
+    same = tokenizers.Tokenizer.from_str(bpe.tokenizer(bpe.VOCABULARY).to_str())
+    assert bpe.parts_letters(same)
+    same.normalizer = tokenizers.normalizers.NFC()  # tells cases apart
+    assert not bpe.parts_letters(same)
+    assert not bpe.parts_letters(tokenizers.Tokenizer(tokenizers.models.BPE()))
+
+
 def test_tokens_by_rank():
     rng = np.random.default_rng(0)
     order = rng.permutation(49408).astype(np.int32)
