@@ -175,13 +175,6 @@ class Words:
         self.known: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
 
-    def unmet(self, words: set[bytes]) -> set[bytes]:
-        """Those of the words that are not remembered; old ones move on."""
-        missing = words.difference(self.known)
-        new = missing.difference(self.old)
-        self.known.update((w, self.old[w]) for w in missing - new)
-        return new
-
     def learn(self, words: set[bytes]) -> None:
         if len(self.known) + len(words) > self.most:
             self.known, self.old = {}, self.known

@@ -43,13 +43,17 @@ def odd(spark, tmp_path_factory):
     vectors = [(0, [1.0, 0.5]), (100, [1.0, 0.5]), (100, [0.25, -1.0]), (1, [nan, 1.0]), (2, [inf, 1.0]), (3, None),
                (4, [None, 1.0]), (None, [1.0, 1.0]), (200, []), (5, [3e30, 1.0]), (6, [0.5]), (7, [1.0, 0.5])]
     spark.createDataFrame(vectors, "vec_id long, embedding array<float>").write.parquet(f"{path}/embeddings.parquet")
+    turns = [(1, 1, "user", "Hi."), (1, 1, "user", "Hi."), (1, 2, None, None), (None, None, "assistant", ""), (2, 5, "user", "a b")]
+    spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").write.parquet(f"{path}/conversations.parquet")
+    items = [(1, "one two"), (1, "one two"), (2, None), (None, "ЖЖ seven"), (3, "")]
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{path}/benchmark.parquet")
     return path
 
 
 @pytest.fixture(scope="module")
 def empty(spark, tmp_path_factory):
     path = str(tmp_path_factory.mktemp("empty"))
-    for t in ("documents", "pages", "embeddings"):
+    for t in ("documents", "pages", "embeddings", "conversations", "benchmark"):
         spark.createDataFrame([], spark.read.parquet(f"{SMALL}/{t}.parquet").schema).write.parquet(f"{path}/{t}.parquet")
     return path
 
